@@ -51,11 +51,13 @@ class Tables:
     """The driver tables of one folder with everything derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        testviews.register(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.table(name)
+        testviews.register(self.spark, self.sf_dir, name)
+        found = self.spark.table(name)
+        setattr(self, name, found)
+        return found
 
     # cleaned and staged tables
 
@@ -87,7 +89,7 @@ class Tables:
             F.col("customer_id").alias("customer_key"),
             F.lit(True).alias("scd_is_current"),
         )
-        clean = silver.clean_crm_sales_details(self.spark.table(sales))
+        clean = silver.clean_crm_sales_details(getattr(self, sales))
         return gold.stage_sales(clean, products, customers)
 
     def feeds(self) -> dict[str, str]:
@@ -250,6 +252,12 @@ def key_summary(keyed: DataFrame) -> DataFrame:
     )
 
 
+def table_list(t: Tables) -> DataFrame:
+    testviews.register(t.spark, t.sf_dir, *STAR_NAMES)
+    listed = list_tables(t.spark, STAR_NAMES, with_rows=True)
+    return listed.select("table_name", "table_type", "table_rows")
+
+
 STAR_NAMES = ["dim_customers", "dim_products", "fact_sales"]
 LOG_COLUMNS = "log_id procedure_name rows_inserted rows_updated rows_expired status error_message"
 
@@ -283,9 +291,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "gold_load_all": load_all,
     # exploration
-    "eda_tables": lambda t: list_tables(t.spark, STAR_NAMES, with_rows=True).select(
-        "table_name", "table_type", "table_rows"
-    ),
+    "eda_tables": table_list,
     "eda_columns": lambda t: list_columns(t.dim_customers, with_nulls=True),
     "eda_countries": lambda t: explore.countries(t.dim_customers),
     "eda_product_tree": lambda t: explore.product_tree(t.dim_products),

@@ -271,10 +271,9 @@ BODIES = {
        CAST(if(changed, s.price, t.price) AS DOUBLE) AS price,
        if(changed, s.order_date, t.order_date) AS order_date,
        CASE WHEN t.order_number IS NULL THEN 'insert' WHEN changed THEN 'update' ELSE 'keep' END AS merge_action
-       FROM (SELECT *, true AS present FROM merge_target) AS t FULL JOIN merge_source AS s
-         ON t.order_number = s.order_number AND t.product_number = s.product_number
-       CROSS JOIN LATERAL (SELECT s.order_number IS NOT NULL AND (t.order_number IS NULL
-         OR (t.sales_amount, t.quantity, t.price) IS DISTINCT FROM (s.sales_amount, s.quantity, s.price)) AS changed)""",
+       FROM (SELECT t, s, s.order_number IS NOT NULL AND (t.order_number IS NULL
+               OR (t.sales_amount, t.quantity, t.price) IS DISTINCT FROM (s.sales_amount, s.quantity, s.price)) AS changed
+             FROM merge_target AS t FULL JOIN merge_source AS s USING (order_number, product_number))""",
     "gold_load_all": """SELECT order_number, product_number, CAST(customer_key AS BIGINT) AS customer_id,
        CAST(product_key AS BIGINT) AS product_id, date_key, order_date, CAST(sales_amount AS DOUBLE) AS sales_amount,
        CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price FROM loadable""",
@@ -408,7 +407,7 @@ BODIES = {
         for d in ("order", "ship", "due")
     ),
     "dq_scd_ranges": """SELECT customer_id, DATE '2001-01-01' AS scd_start_date, DATE '2000-12-31' AS scd_end_date,
-       false AS scd_is_current FROM dim_customers WHERE customer_key % 10 = 0""",
+       false AS scd_is_current FROM dim_customers WHERE customer_key % 10 = 0 AND customer_key % 97 <> 1""",
 }
 
 UNIQUE_SALES = {"gold_surrogate_keys", "gold_fact_merge", "gold_load_all", "dq_load_log_tail"}

@@ -27,23 +27,26 @@ def next_in_group(df: DataFrame, keys: list[str], order: str, name: str) -> Data
 
     A key may hold any share of the rows, so no window ever spans a whole key.
     Rows are windowed within one value of `order` and one salt; only the distinct
-    (key, order, salt) steps are put in sequence per key.
+    (key, order, salt) steps are put in sequence per key. Rows and steps meet on
+    the partitioning of the first window. The step is a struct, as its fields may
+    be NULL and still have to match.
     """
     rest = [c for c in df.columns if c not in (*keys, order)]
     salt = F.pmod(F.xxhash64(*rest), F.lit(SALTS)) if rest else F.lit(0)
-    step = [*keys, order, "_salt"]
-    rows = df.withColumn("_salt", salt)
+    rows = df.withColumn("_step", F.struct(*keys, order, salt.alias("_salt")))
 
-    within = Window.partitionBy(*step).orderBy(*(rest or [order]))
+    within = Window.partitionBy("_step").orderBy(*(rest or [order]))
     marked = rows.withColumn("_more", F.lead(F.lit(True)).over(within))
-    along = Window.partitionBy(*keys).orderBy(order, "_salt")
-    steps = rows.select(*step).distinct().withColumn("_far", F.lead(order).over(along))
-    steps = steps.select(*[F.col(c).alias(f"_step_{c}") for c in step], "_far")
 
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_step_{c}")) for c in step])
+    along = Window.partitionBy(*[f"_step.{k}" for k in keys]).orderBy(
+        f"_step.{order}", "_step._salt"
+    )
+    steps = rows.select("_step").distinct()
+    steps = steps.withColumn("_far", F.lead(f"_step.{order}").over(along))
+
     # rows of one step share their `order` value, so all but the last are followed by it
     following = F.when(F.col("_more"), F.col(order)).otherwise(F.col("_far")).alias(name)
-    return marked.join(steps, same, "left").select(*df.columns, following)
+    return marked.join(steps, "_step", "left").select(*df.columns, following)
 
 
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:

@@ -45,10 +45,12 @@ def run_logged(
 
 
 def _write(log, name, start, end, done: Outcome, status: str) -> None:
-    last = log.read().agg(F.max("log_id")).first()[0] or 0
+    log_id = log.version() + 1  # the log gains one row per version
     message = done.message[:MESSAGE_LENGTH] if done.message else None
-    row = (last + 1, name, start, end, done.inserted, done.updated, done.expired, status, message)
-    log.append(log.spark.createDataFrame([row], log.schema))
+    values = (log_id, name, start, end, done.inserted, done.updated, done.expired, status, message)
+    fields = log.schema.fields
+    row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
+    log.append(log.spark.range(1, numPartitions=1).select(*row))
 
 
 def with_duration(log_rows):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import history, merge
@@ -19,6 +20,7 @@ from .runlog import Outcome, run_logged, utc_now
 
 MAX_REJECTS = 10  # rows of one feed that may be unreadable before its load fails
 CURRENT, PAST = "current", "past"
+ACCEPTED, REJECTED = "accepted", "rejected"
 
 
 class Warehouse:
@@ -30,24 +32,34 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], dt.datetime] = utc_now):
         self.spark, self.clock = spark, clock
         versions = F.when(F.col("scd_is_current"), CURRENT).otherwise(PAST)
+        accepted = F.when(F.col(REJECT).isNull(), ACCEPTED).otherwise(REJECTED)
         parts = {
             "dim_customers": versions,
             "dim_products": versions,
             "fact_sales": F.year("date_key").cast("string"),
         }
-        self.tables = {
-            (layer, name): SnapshotTable(
-                spark, f"{root.rstrip('/')}/{layer}/{name}", schema, parts.get(name)
-            )
-            for layer, layout in schemas.LAYERS.items()
-            for name, schema in layout.items()
-        }
+        self.tables: dict[tuple[str, str], SnapshotTable] = {}
+        for layer, layout in schemas.LAYERS.items():
+            for name, schema in layout.items():
+                folder = f"{root.rstrip('/')}/{layer}/{name}"
+                if layer == "bronze":
+                    raw = T.StructType(schema.fields + [T.StructField(REJECT, T.StringType())])
+                    table = SnapshotTable(spark, folder, raw, accepted)
+                else:
+                    part = parts.get(name)
+                    table = SnapshotTable(spark, folder, schema, part, part is not None)
+                self.tables[layer, name] = table
 
     def table(self, layer: str, name: str) -> SnapshotTable:
         return self.tables[layer, name]
 
     def load(self, layer: str, name: str) -> DataFrame:
-        return self.table(layer, name).read()
+        table = self.table(layer, name)
+        return table.read([ACCEPTED]).drop(REJECT) if layer == "bronze" else table.read()
+
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of the last feed that could not be read as declared."""
+        return self.table("bronze", name).read([REJECTED])
 
     @property
     def log(self) -> SnapshotTable:
@@ -64,13 +76,15 @@ class Warehouse:
             self._run(f"bronze.{name}", lambda n=name, p=path: self._load_feed(n, p, max_rejects))
 
     def _load_feed(self, name: str, path: str, max_rejects: int) -> Outcome:
-        rows = materialize(read_feed(self.spark, path, schemas.BRONZE[name]))  # one parse
-        rejected = rows.filter(F.col(REJECT).isNotNull()).count()
-        if rejected > max_rejects:
-            raise ValueError(f"{name}: {rejected} unreadable rows, {max_rejects} allowed")
-        written = self.table("bronze", name).replace(rows.filter(F.col(REJECT).isNull()))
+        def check(written: dict[str, int]) -> None:
+            if (count := written.get(REJECTED, 0)) > max_rejects:
+                raise ValueError(f"{name}: {count} unreadable rows, {max_rejects} allowed")
+
+        feed = read_feed(self.spark, path, schemas.BRONZE[name])
+        written = self.table("bronze", name).replace(feed, check)  # parsed once
+        rejected = written.get(REJECTED, 0)
         note = f"Rows rejected: {rejected}" if rejected else None
-        return Outcome(inserted=sum(written.values()), message=note)
+        return Outcome(inserted=written.get(ACCEPTED, 0), message=note)
 
     # -- silver -----------------------------------------------------------
 

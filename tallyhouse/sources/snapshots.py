@@ -3,30 +3,32 @@
 Data files lie in `part=<p>/batch=<b>` below the table folder; every write adds
 files under a batch name of its own and touches no older file. A version is the
 set of (part, batch) pairs listed in `_versions`, a small parquet log that gets
-one file per write, after the data. Readers take the newest version, so they see
+one row per write, after the data. Readers take the newest version, so they see
 all of a write or nothing of it, and a failed write leaves the old state.
 One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_TAGS = [T.StructField("part", T.StringType()), T.StructField("batch", T.StringType())]
 _LOG = T.StructType(
     [
         T.StructField("version", T.LongType()),
-        T.StructField("part", T.StringType()),
-        T.StructField("batch", T.StringType()),
+        T.StructField("live", T.ArrayType(T.StructType(_TAGS))),
     ]
 )
-_TAGS = _LOG.fields[1:]
 
 Parts = dict[str, list[str]]
+Check = Callable[[dict[str, int]], None] | None
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -38,13 +40,22 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 class SnapshotTable:
-    """`part` is the column expression a row is filed under, none for one part."""
+    """`part` is the column expression a row is filed under, none for one part.
+
+    `balance` redistributes rows before a write so that each part gets few,
+    evenly sized files: Spark splits large parts and merges small ones.
+    """
 
     def __init__(
-        self, spark: SparkSession, folder: str, schema: T.StructType, part: Column | None = None
+        self,
+        spark: SparkSession,
+        folder: str,
+        schema: T.StructType,
+        part: Column | None = None,
+        balance: bool = False,
     ):
         self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
-        self.part = part
+        self.part, self.balance = part, balance
 
     # -- reading ----------------------------------------------------------
 
@@ -72,19 +83,20 @@ class SnapshotTable:
             if _missing(error):
                 return 0, {}
             raise
-        newest = log.agg(F.max("version")).scalar()
-        rows = log.filter(F.col("version") == newest).collect()  # one row per part and batch
+        last = log.orderBy(F.col("version").desc()).first()
         live: Parts = {}
-        for row in rows:
-            if row.part is not None:
-                live.setdefault(row.part, []).append(row.batch)
-        return (rows[0].version if rows else 0), live
+        for entry in last.live if last else []:
+            live.setdefault(entry.part, []).append(entry.batch)
+        return (last.version if last else 0), live
 
     # -- writing ----------------------------------------------------------
 
-    def replace(self, df: DataFrame) -> dict[str, int]:
-        """Full refresh: the new version holds exactly `df`."""
-        return self._publish(df, lambda live: {})
+    def replace(self, df: DataFrame, check: Check = None) -> dict[str, int]:
+        """Full refresh: the new version holds exactly `df`.
+
+        `check` gets the rows written per part and may raise to keep them unpublished.
+        """
+        return self._publish(df, lambda live: {}, check)
 
     def append(self, df: DataFrame) -> dict[str, int]:
         return self._publish(df, lambda live: live)
@@ -95,25 +107,27 @@ class SnapshotTable:
             df, lambda live: {p: batches for p, batches in live.items() if p not in parts}
         )
 
-    def _publish(self, df: DataFrame, keep) -> dict[str, int]:
+    def _publish(self, df: DataFrame, keep, check: Check = None) -> dict[str, int]:
         batch = f"b{uuid.uuid4().hex}"
         rows = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        if self.part is None:
-            rows = rows.withColumn("part", F.lit("all"))
-        else:
-            # few, evenly sized files per part: large parts are split, small ones merged
-            rows = rows.withColumn("part", self.part).hint("rebalance", "part")
+        rows = rows.withColumn("part", F.lit("all") if self.part is None else self.part)
+        if self.balance:
+            rows = rows.hint("rebalance", "part")
         rows = rows.withColumn("batch", F.lit(batch))
         rows.write.mode("append").partitionBy("part", "batch").parquet(self.folder)
 
         written = self._written(batch)
+        if check is not None:
+            check(written)
         version, live = self._newest()
         live = {p: list(batches) for p, batches in keep(live).items()}
         for part in written:
             live.setdefault(part, []).append(batch)
-        entries = [(version + 1, p, b) for p, batches in live.items() for b in batches]
-        entries.append((version + 1, None, None))  # a version may be empty
-        log = self.spark.createDataFrame(entries, _LOG).coalesce(1)
+        pairs = [{"part": p, "batch": b} for p, batches in live.items() for b in batches]
+        entry = json.dumps({"version": version + 1, "live": pairs})
+        log = self.spark.range(1, numPartitions=1).select(
+            F.inline(F.array(F.from_json(F.lit(entry), _LOG)))
+        )
         log.write.mode("append").parquet(f"{self.folder}/_versions")
         return written
 
