@@ -8,12 +8,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tallyhouse-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below `spark.checkpoint.dir`.
 
@@ -23,8 +29,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SHARED_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallyhouse-")
-        spark.conf.set(SHARED_DIR, base)
+        base = _local_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
