@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.snapshots import SnapshotTable
+from ..schemas import GOLD
+from ..sources.snapshots import empty_table, is_missing
 
+SCHEMA = GOLD["dw_load_log"]
 MESSAGE_LENGTH = 4000
 
+Work = Callable[[], "Outcome"]
+
 
 @dataclass
 class Outcome:
@@ -23,37 +30,68 @@ class Outcome:
     message: str | None = None
 
 
+@dataclass
+class Attempt:
+    name: str
+    start: dt.datetime
+    end: dt.datetime
+    outcome: Outcome
+    error: Exception | None = None
+
+
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def run_logged(
-    log: SnapshotTable,
-    name: str,
-    work: Callable[[], Outcome],
-    clock: Callable[[], dt.datetime] = utc_now,
-) -> Outcome:
-    """Run a step and log start, end, counts and status; an error is logged, then raised."""
-    start = clock()
-    try:
-        done = work()
-    except Exception as error:
-        _write(log, name, start, clock(), Outcome(message=str(error)), "FAILED")
-        raise
-    _write(log, name, start, clock(), done, "SUCCESS")
-    return done
-
-
-def _write(log, name, start, end, done: Outcome, status: str) -> None:
-    log_id = log.version() + 1  # the log gains one row per version
-    message = done.message[:MESSAGE_LENGTH] if done.message else None
-    values = (log_id, name, start, end, done.inserted, done.updated, done.expired, status, message)
-    fields = log.schema.fields
-    row = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields)]
-    log.append(log.spark.range(1, numPartitions=1).select(*row))
-
-
-def with_duration(log_rows):
+class RunLog:
+    """An append-only table; `clock` stamps the steps."""
+
+    def __init__(self, spark: SparkSession, folder: str, clock: Callable[[], dt.datetime] = utc_now):
+        self.spark, self.folder, self.clock = spark, folder, clock
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(SCHEMA).parquet(self.folder)
+        except AnalysisException as error:
+            if is_missing(error):
+                return empty_table(self.spark, SCHEMA)
+            raise
+
+    def run(self, steps: dict[str, Work]) -> list[Outcome]:
+        """Run steps that do not depend on each other side by side, then log them in order.
+
+        A failure lets the others finish; it is logged and then raised.
+        """
+        with ThreadPoolExecutor(len(steps)) as pool:
+            attempts = list(pool.map(lambda step: self._attempt(*step), steps.items()))
+        self._append(attempts)
+        for attempt in attempts:
+            if attempt.error is not None:
+                raise attempt.error
+        return [attempt.outcome for attempt in attempts]
+
+    def _attempt(self, name: str, work: Work) -> Attempt:
+        start = self.clock()
+        try:
+            outcome, error = work(), None
+        except Exception as failure:
+            outcome, error = Outcome(message=str(failure)[:MESSAGE_LENGTH]), failure
+        return Attempt(name, start, self.clock(), outcome, error)
+
+    def _append(self, attempts: list[Attempt]) -> None:
+        logged = self.read().count()
+        rows = []
+        for log_id, a in enumerate(attempts, logged + 1):
+            done, status = a.outcome, "FAILED" if a.error else "SUCCESS"
+            counts = (done.inserted, done.updated, done.expired)
+            values = (log_id, a.name, a.start, a.end, *counts, status, done.message)
+            typed = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, SCHEMA.fields)]
+            rows.append(F.struct(*typed))
+        frame = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+        frame.write.mode("append").parquet(self.folder)
+
+
+def with_duration(log_rows: DataFrame) -> DataFrame:
     """Add the whole seconds each step took."""
     seconds = F.unix_timestamp("load_end") - F.unix_timestamp("load_start")
     return log_rows.withColumn("duration_seconds", seconds)

@@ -16,7 +16,7 @@ from ..sources.feeds import REJECT, read_feed
 from ..sources.scratch import materialize
 from ..sources.snapshots import SnapshotTable
 from . import gold, silver
-from .runlog import Outcome, run_logged, utc_now
+from .runlog import Outcome, RunLog, utc_now
 
 MAX_REJECTS = 10  # rows of one feed that may be unreadable before its load fails
 CURRENT, PAST = "current", "past"
@@ -31,6 +31,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], dt.datetime] = utc_now):
         self.spark, self.clock = spark, clock
+        self.log = RunLog(spark, f"{root.rstrip('/')}/gold/dw_load_log", clock)
         versions = F.when(F.col("scd_is_current"), CURRENT).otherwise(PAST)
         accepted = F.when(F.col(REJECT).isNull(), ACCEPTED).otherwise(REJECTED)
         parts = {
@@ -41,6 +42,8 @@ class Warehouse:
         self.tables: dict[tuple[str, str], SnapshotTable] = {}
         for layer, layout in schemas.LAYERS.items():
             for name, schema in layout.items():
+                if name == "dw_load_log":
+                    continue
                 folder = f"{root.rstrip('/')}/{layer}/{name}"
                 if layer == "bronze":
                     raw = T.StructType(schema.fields + [T.StructField(REJECT, T.StringType())])
@@ -61,19 +64,16 @@ class Warehouse:
         """Rows of the last feed that could not be read as declared."""
         return self.table("bronze", name).read([REJECTED])
 
-    @property
-    def log(self) -> SnapshotTable:
-        return self.table("gold", "dw_load_log")
-
-    def _run(self, name: str, work: Callable[[], Outcome]) -> Outcome:
-        return run_logged(self.log, name, work, self.clock)
-
     # -- bronze -----------------------------------------------------------
 
     def load_bronze(self, feeds: dict[str, str], max_rejects: int = MAX_REJECTS) -> None:
         """Full refresh of the raw tables from `feeds`, table name to path."""
-        for name, path in feeds.items():
-            self._run(f"bronze.{name}", lambda n=name, p=path: self._load_feed(n, p, max_rejects))
+        self.log.run(
+            {
+                f"bronze.{name}": lambda n=name, p=path: self._load_feed(n, p, max_rejects)
+                for name, path in feeds.items()
+            }
+        )
 
     def _load_feed(self, name: str, path: str, max_rejects: int) -> Outcome:
         def check(written: dict[str, int]) -> None:
@@ -91,8 +91,12 @@ class Warehouse:
     def load_silver(self) -> None:
         """Full refresh of the cleaned tables."""
         now = self.clock()
-        for name, clean in self._cleaning(now.date()).items():
-            self._run(f"silver.{name}", lambda n=name, c=clean: self._refresh(n, c, now))
+        self.log.run(
+            {
+                f"silver.{name}": lambda n=name, c=clean: self._refresh(n, c, now)
+                for name, clean in self._cleaning(now.date()).items()
+            }
+        )
 
     def _cleaning(self, as_of: dt.date) -> dict[str, Callable[[DataFrame], DataFrame]]:
         return {
@@ -117,40 +121,42 @@ class Warehouse:
 
     def load_dim_date(
         self, start: dt.date = gold.CALENDAR_START, end: dt.date = gold.CALENDAR_END
-    ) -> Outcome:
-        def work() -> Outcome:
-            calendar = gold.build_dim_date(self.spark, start, end)
-            return Outcome(inserted=self._add_days(calendar))
-
-        return self._run("gold.load_dim_date", work)
+    ) -> None:
+        calendar = gold.build_dim_date(self.spark, start, end)
+        self.log.run(
+            {"gold.load_dim_date": lambda: Outcome(inserted=self._add_days(calendar))}
+        )
 
     def _add_days(self, calendar: DataFrame) -> int:
         table = self.table("gold", "dim_date")
         return sum(table.append(merge.missing_rows(table.read(), calendar, ["date_key"])).values())
 
-    def load_dim_customers(self) -> Outcome:
-        def work() -> Outcome:
-            stage = gold.stage_customers(
-                self.load("silver", "crm_cust_info"),
-                self.load("silver", "erp_cust_az12"),
-                self.load("silver", "erp_loc_a101"),
-            )
-            return self._apply_history(
-                "dim_customers", stage, "customer_id", gold.CUSTOMER_TRACKED, "customer_key", False
-            )
-
-        return self._run("gold.load_dim_customers", work)
+    def load_dimensions(self) -> None:
+        """Customers and products; products missing from the source are expired."""
+        self.log.run(
+            {
+                "gold.load_dim_customers": self._load_customers,
+                "gold.load_dim_products": self._load_products,
+            }
+        )
 
-    def load_dim_products(self) -> Outcome:
-        def work() -> Outcome:
-            stage = gold.stage_products(
-                self.load("silver", "crm_prd_info"), self.load("silver", "erp_px_cat_g1v2")
-            )
-            return self._apply_history(
-                "dim_products", stage, "product_id", gold.PRODUCT_TRACKED, "product_key", True
-            )
+    def _load_customers(self) -> Outcome:
+        stage = gold.stage_customers(
+            self.load("silver", "crm_cust_info"),
+            self.load("silver", "erp_cust_az12"),
+            self.load("silver", "erp_loc_a101"),
+        )
+        return self._apply_history(
+            "dim_customers", stage, "customer_id", gold.CUSTOMER_TRACKED, "customer_key", False
+        )
 
-        return self._run("gold.load_dim_products", work)
+    def _load_products(self) -> Outcome:
+        stage = gold.stage_products(
+            self.load("silver", "crm_prd_info"), self.load("silver", "erp_px_cat_g1v2")
+        )
+        return self._apply_history(
+            "dim_products", stage, "product_id", gold.PRODUCT_TRACKED, "product_key", True
+        )
 
     def _apply_history(self, name, stage, business_key, tracked, key, expire_missing) -> Outcome:
         """Join once, write only what moved: past versions are appended to, never rewritten."""
@@ -178,8 +184,8 @@ class Warehouse:
             inserted=counts.get(history.INSERT, 0), expired=counts.get(history.EXPIRE, 0)
         )
 
-    def load_fact_sales(self) -> Outcome:
-        return self._run("gold.load_fact_sales", self._merge_sales)
+    def load_fact_sales(self) -> None:
+        self.log.run({"gold.load_fact_sales": self._merge_sales})
 
     def _merge_sales(self) -> Outcome:
         now = self.clock()
@@ -224,8 +230,7 @@ class Warehouse:
     def load_gold(self) -> None:
         """Calendar, dimensions, then the fact that refers to them."""
         self.load_dim_date()
-        self.load_dim_customers()
-        self.load_dim_products()
+        self.load_dimensions()
         self.load_fact_sales()
 
     def load_all(self, feeds: dict[str, str]) -> None:

@@ -31,7 +31,7 @@ Parts = dict[str, list[str]]
 Check = Callable[[dict[str, int]], None] | None
 
 
-def _missing(error: AnalysisException) -> bool:
+def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
@@ -80,7 +80,7 @@ class SnapshotTable:
         try:
             log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
         except AnalysisException as error:
-            if _missing(error):
+            if is_missing(error):
                 return 0, {}
             raise
         last = log.orderBy(F.col("version").desc()).first()
@@ -139,7 +139,7 @@ class SnapshotTable:
                 f"{self.folder}/part=*/batch={batch}"
             )
         except AnalysisException as error:
-            if _missing(error):
+            if is_missing(error):
                 return {}
             raise
         return {r["part"]: r["count"] for r in files.groupBy("part").count().collect()}
