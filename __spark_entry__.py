@@ -54,10 +54,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        testviews.register(self.spark, self.sf_dir, name)
-        found = self.spark.table(name)
-        setattr(self, name, found)
-        return found
+        return testviews.frame(self.spark, self.sf_dir, name)
 
     # cleaned and staged tables
 

@@ -23,11 +23,21 @@ def us_week(day: Column) -> Column:
 
 
 def yyyymmdd(number: Column) -> Column:
-    """Date of an integer such as 20130703; NULL for anything that is not a day."""
-    return F.when(eight_digits(number), F.try_to_date(number.cast("string"), "yyyyMMdd"))
+    """Date of an integer such as 20130703; NULL for anything that is not a day.
+
+    Whole-number arithmetic, several times cheaper than parsing the digits as text.
+    """
+    year, month, day = F.floor(number / 10000), F.floor(number / 100) % 100, number % 100
+    year, month = year.cast("int"), month.cast("int")
+    real_month = number.between(10_000_000, 99_999_999) & month.between(1, 12)
+    first = F.when(real_month, F.make_date(year, month, F.lit(1)))
+    return F.when(
+        day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1)
+    )
 
 
 def eight_digits(number: Column) -> Column:
+    """True for the numbers a yyyymmdd feed means as a day, real or not."""
     return F.length(number.cast("string")) == 8
 
 

@@ -5,16 +5,23 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", app: str = "tallyhouse"):
+def local_session(
+    cores: int | str = "*",
+    memory: str = "8g",
+    app: str = "tallyhouse",
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
     parallel = "8" if cores == "*" else str(max(int(cores), 1))
-    return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.driver.memory", memory)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", parallel)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
-    )
+    settings = {
+        "spark.driver.memory": memory,
+        "spark.ui.enabled": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": parallel,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        **(conf or {}),
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()

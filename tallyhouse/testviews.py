@@ -8,8 +8,9 @@ each kind of flaw into a share of the rows; no row is left out.
 from __future__ import annotations
 
 import re
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ["customer", "nation", "part", "orders", "lineitem"]
 
@@ -123,23 +124,17 @@ FROM bronze_sales_details GROUP BY sls_ord_num, sls_prd_key
 }
 
 
-def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Make driver tables and the views above readable by name, with all they read."""
-    done: set[str] = set()
+@cache
+def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table or a view; its metadata is read once per session."""
+    if name not in VIEWS:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    words = set(re.findall(r"\w+", VIEWS[name]))
+    register(spark, sf_dir, *[n for n in (*DRIVER_TABLES, *VIEWS) if n in words and n != name])
+    return spark.sql(VIEWS[name])
 
-    def need(name: str) -> None:
-        if name in done:
-            return
-        done.add(name)
-        if name in VIEWS:
-            words = set(re.findall(r"\w+", VIEWS[name]))
-            for other in [*DRIVER_TABLES, *VIEWS]:
-                if other in words and other != name:
-                    need(other)
-            found = spark.sql(VIEWS[name])
-        else:
-            found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        found.createOrReplaceTempView(name)
 
-    for name in names or (*DRIVER_TABLES, *VIEWS):
-        need(name)
+def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Make tables and views readable by name in SQL."""
+    for name in names:
+        frame(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -13,7 +13,8 @@ DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, memory="6g", app="tallyhouse-tests")
+    small = {"spark.sql.shuffle.partitions": "3", "spark.default.parallelism": "3"}
+    session = local_session(8, memory="6g", app="tallyhouse-tests", conf=small)
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
