@@ -161,7 +161,8 @@ class Tables:
 
     def merged_sales(self) -> DataFrame:
         """All loadable sales merged into an older copy with other prices and dates."""
-        loadable, _ = gold.split_orphans(self.stage_sales("bronze_sales_unique"))
+        stage = materialize(self.stage_sales("bronze_sales_unique"))  # read as both sides
+        loadable, _ = gold.split_orphans(stage)
         n = F.substring("order_number", 3, 20).cast("long")
         target = loadable.filter(n % 5 != 0).withColumns(
             {

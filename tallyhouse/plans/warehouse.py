@@ -56,9 +56,12 @@ class Warehouse:
     def table(self, layer: str, name: str) -> SnapshotTable:
         return self.tables[layer, name]
 
-    def load(self, layer: str, name: str) -> DataFrame:
+    def load(self, layer: str, name: str, parts: list[str] | None = None) -> DataFrame:
+        """A table, or only some parts of it, such as years of the fact."""
         table = self.table(layer, name)
-        return table.read([ACCEPTED]).drop(REJECT) if layer == "bronze" else table.read()
+        if layer == "bronze":
+            return table.read([ACCEPTED]).drop(REJECT)
+        return table.read(parts)
 
     def rejects(self, name: str) -> DataFrame:
         """Rows of the last feed that could not be read as declared."""

@@ -95,17 +95,19 @@ SELECT 'SO' || CAST(l_orderkey AS STRING) AS sls_ord_num, 'P' || CAST(l_partkey
             ELSE CAST(floor(l_extendedprice / l_quantity) AS INT) END AS sls_price
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """,
+    # some numbers match no customer, so some customers have no partner row
     "bronze_erp_cust": """
-SELECT CASE WHEN c_custkey % 2 = 0 THEN 'NAS' || c_name ELSE c_name END AS cid,
+SELECT CASE WHEN c_custkey % 20 = 3 THEN 'NASLOST' || c_name WHEN c_custkey % 2 = 0 THEN 'NAS' || c_name ELSE c_name END AS cid,
        CASE WHEN c_custkey % 45 = 0 THEN DATE '2050-01-01'
             ELSE DATE '1940-01-01' + CAST((c_custkey * 37) % 16000 AS INT) END AS bdate,
        CASE c_custkey % 6 WHEN 0 THEN 'F ' WHEN 1 THEN 'Male' WHEN 2 THEN ' female' WHEN 3 THEN 'm' WHEN 4 THEN '' END AS gen
-FROM customer WHERE c_custkey % 20 <> 3
+FROM customer
 """,
     "bronze_erp_loc": """
-SELECT substring(c_name, 1, 3) || '-' || substring(c_name, 4) AS cid,
+SELECT CASE WHEN c_custkey % 25 = 4 THEN 'LOST-' || c_name
+            ELSE substring(c_name, 1, 3) || '-' || substring(c_name, 4) END AS cid,
        CASE c_custkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN 'US' WHEN 2 THEN ' USA' WHEN 3 THEN ' ' WHEN 4 THEN NULL ELSE ' ' || n_name || ' ' END AS cntry
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 25 <> 4
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
     "bronze_erp_cat": """
 SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN 'AC_HE' WHEN 1 THEN 'BI_RB' ELSE 'CO_PD' END AS id,

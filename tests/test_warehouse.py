@@ -73,6 +73,7 @@ def test_feeds_to_star_and_back_again(house, spark):
     fact = facts(w)
     assert set(fact) == {("SO1", "H1"), ("SO1", "B1"), ("SO2", "B1"), ("SO6", "H1")}
     assert fact["SO2", "B1"].date_key == dt.date(2014, 1, 5)
+    assert w.load("gold", "fact_sales", ["2013"]).count() == 2
     log = {r.procedure_name: r for r in w.log.read().collect()}
     assert len(log) == 16 and {r.status for r in log.values()} == {"SUCCESS"}
     assert log["gold.load_fact_sales"].rows_inserted == 4
