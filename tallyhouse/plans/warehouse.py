@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], dt.datetime] = utc_now):
         self.spark, self.clock = spark, clock
+        # scratch tables of this warehouse; its loads have one writer at a time
+        self.slot = f"tallyhouse-{hashlib.sha256(root.encode()).hexdigest()[:16]}"
         self.log = RunLog(spark, f"{root.rstrip('/')}/gold/dw_load_log", clock)
         versions = F.when(F.col("scd_is_current"), CURRENT).otherwise(PAST)
         accepted = F.when(F.col(REJECT).isNull(), ACCEPTED).otherwise(REJECTED)
@@ -168,7 +171,9 @@ class Warehouse:
         changes = history.scd2_changes(
             current, stage, business_key, tracked, key, now.date(), now, expire_missing
         )
-        moved = materialize(changes.filter(F.col(history.ACTION) != history.KEEP))
+        moved = materialize(
+            changes.filter(F.col(history.ACTION) != history.KEEP), f"{self.slot}/{name}-moved"
+        )
         counts = history.action_counts(moved)
         if not counts:
             return Outcome()
@@ -197,7 +202,8 @@ class Warehouse:
                 self.load("silver", "crm_sales_details"),
                 self.table("gold", "dim_products").read([CURRENT]),
                 self.table("gold", "dim_customers").read([CURRENT]),
-            )
+            ),
+            f"{self.slot}/sales-stage",
         )
         sales, orphans = gold.split_orphans(stage)
         skipped = orphans.count()
@@ -213,7 +219,8 @@ class Warehouse:
                 gold.FACT_COMPARE,
                 gold.FACT_SET,
                 {"_old_part": table.part},
-            )
+            ),
+            f"{self.slot}/sales-delta",
         )
         counts = history.action_counts(delta, merge.ACTION)
         if counts:

@@ -20,8 +20,8 @@ def _local_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix="tallyhouse-")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below `spark.checkpoint.dir`.
+def scratch_dir(spark: SparkSession, slot: str | None = None) -> str:
+    """A folder below `spark.checkpoint.dir`: a fresh one, or the one of a slot.
 
     Only a local session without that setting falls back to a temporary folder.
     """
@@ -30,11 +30,14 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {SHARED_DIR} to a folder all executors share")
         base = _local_dir(spark.sparkContext.applicationId)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{slot or uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once and return it as a table to be read many times."""
-    folder = scratch_dir(df.sparkSession)
-    df.write.parquet(folder)
+def materialize(df: DataFrame, slot: str | None = None) -> DataFrame:
+    """Write `df` once and return it as a table to be read many times.
+
+    A slot is overwritten by its next use, so repeated loads leave one copy.
+    """
+    folder = scratch_dir(df.sparkSession, slot)
+    df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

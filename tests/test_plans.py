@@ -1,10 +1,15 @@
 """Shape of the physical plans: what would hurt at scale must not be in them."""
 
+import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tallyhouse import schemas
+from tallyhouse.operators import history, merge
+from tallyhouse.plans import gold
 
 # queries that load tables while they are built, so their last plan is a mere scan
 LOADS = {"bronze_load", "gold_load_all", "dq_load_log_tail", "dq_scd_ranges"}
@@ -65,3 +70,79 @@ def test_distinct_counts_spread_a_hot_key(plans):
     for key, other in (("report_customers", "product_key"), ("report_products", "customer_key")):
         wide = re.findall(r"hashpartitioning\(([^)]*gid[^)]*)\)", plans[key])
         assert wide and all("order_number" in w and other in w for w in wide)
+
+
+@pytest.fixture
+def large(spark):
+    """Settings under which small tables are planned like large ones."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {n: spark.conf.get(n) for n in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def sample(spark, layout):
+    """Rows of any layout; numbers and texts differ per row."""
+    n = F.col("id")
+    plain = ("int", "bigint", "string")
+    return spark.range(0, 100, 1, 4).select(
+        *[
+            (n if f.dataType.simpleString() in plain else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in layout.fields
+        ]
+    )
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len(re.findall(r"Exchange hashpartitioning", plan))
+
+
+def test_history_and_merge_shuffle_each_side_once(spark, large):
+    """The uniqueness check rides on the shuffle and sort of the join."""
+    dim = sample(spark, schemas.GOLD["dim_customers"])
+    changes = history.scd2_changes(
+        dim, dim, "customer_id", gold.CUSTOMER_TRACKED, "customer_key",
+        dt.date(2020, 1, 1), dt.datetime(2020, 1, 1),
+    )
+    assert shuffles(changes) == 2
+    fact = sample(spark, schemas.GOLD["fact_sales"])
+    args = (gold.FACT_KEYS, gold.FACT_COMPARE, gold.FACT_SET)
+    assert shuffles(merge.merge_delta(fact, fact, *args, {})) == 2
+    assert shuffles(merge.upsert(fact, fact, *args)) == 2
+
+
+def test_hot_product_is_split_when_sales_are_staged(spark, large):
+    """Half of the sales are of one product; its join partition is read in slices."""
+    n = F.col("id")
+    sales = spark.range(0, 200_000, 1, 16).select(
+        F.concat(F.lit("SO"), n).alias("sls_ord_num"),
+        F.when(n % 2 == 0, "P0").otherwise(F.concat(F.lit("P"), n % 500)).alias("sls_prd_key"),
+        (n % 50).cast("int").alias("sls_cust_id"),
+        *[F.lit(dt.date(2020, 1, 1)).alias(c) for c in gold.SALES_DATE_ORDER],
+        *[n.cast("int").alias(c) for c in ("sls_sales", "sls_quantity", "sls_price")],
+    )
+    products = spark.range(500).select(
+        F.concat(F.lit("P"), n).alias("product_number"),
+        n.alias("product_key"),
+        F.lit(True).alias("scd_is_current"),
+    )
+    customers = spark.range(50).select(
+        n.cast("int").alias("customer_id"),
+        n.alias("customer_key"),
+        F.lit(True).alias("scd_is_current"),
+    )
+    staged = gold.stage_sales(sales, products, customers)
+    staged.collect()
+    plan = staged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "skew=true" in plan
+    assert staged.filter("product_key IS NULL").count() == 0
