@@ -25,15 +25,13 @@ def us_week(day: Column) -> Column:
 def yyyymmdd(number: Column) -> Column:
     """Date of an integer such as 20130703; NULL for anything that is not a day.
 
-    Whole-number arithmetic, several times cheaper than parsing the digits as text.
+    The ISO form is cast, which is cheaper than parsing by a pattern.
     """
-    year, month, day = F.floor(number / 10000), F.floor(number / 100) % 100, number % 100
-    year, month = year.cast("int"), month.cast("int")
-    real_month = number.between(10_000_000, 99_999_999) & month.between(1, 12)
-    first = F.when(real_month, F.make_date(year, month, F.lit(1)))
-    return F.when(
-        day.between(1, F.dayofmonth(F.last_day(first))), F.date_add(first, day - 1)
+    digits = number.cast("string")
+    day = F.concat_ws(
+        "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
     )
+    return F.when(number.between(10_000_000, 99_999_999), day.try_cast("date"))
 
 
 def eight_digits(number: Column) -> Column:
