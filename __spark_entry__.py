@@ -7,6 +7,7 @@ feeds of `tallyhouse.testviews`; `oracle_sql` holds the DuckDB counterpart.
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -386,12 +387,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["mag_revenue_by_category"](spark, "/root/testdata/sf0.001")
 
 
+def optional_parts() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    found: dict[str, Query] = {}
+    sql: dict[str, str] = {}
+    for name in ("tallyhouse.llm.queries", "corpus_pipeline"):
+        try:
+            part = importlib.import_module(name)
+        except ModuleNotFoundError as error:
+            # only the parts themselves may be absent, nothing that they need
+            if error.name not in {"tallyhouse.llm", "tallyhouse.llm.queries", "corpus_pipeline"}:
+                raise
+            continue
+        found.update(part.QUERIES)
+        sql.update({key: text for key, text in part.ORACLES.items() if text})
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
     def bind(plan: Callable[[Tables], DataFrame]) -> Query:
         return lambda spark, sf_dir: plain(plan(Tables(spark, sf_dir)))
 
-    return {key: bind(plan) for key, plan in PLANS.items()}
+    return {key: bind(plan) for key, plan in PLANS.items()} | optional_parts()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle()
+    return oracle() | optional_parts()[1]
