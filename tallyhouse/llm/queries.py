@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
+from tallyhouse.llm.quality_rules import op10_quality_rules
+from tallyhouse.llm.secret_scans import op1_secret_scans
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
