@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
+from tallyhouse.llm.mixing import op2_mixing
 from tallyhouse.llm.quality_rules import op10_quality_rules
 from tallyhouse.llm.secret_scans import op1_secret_scans
+from tallyhouse.llm.token_counts import op7_token_counts
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
+    "op2_mixing": op2_mixing,
+    "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -59,6 +59,26 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(out)
 
 
+def shingle_sets(texts: list[np.ndarray], width: int, at_once: int = 1 << 20) -> Iterator[np.ndarray]:
+    """`shingles` of many texts, hashed together in stretches of about `at_once` words."""
+    first = 0
+    while first < len(texts):
+        last, held = first, 0
+        while last < len(texts) and (held == 0 or held + len(texts[last]) <= at_once):
+            held += len(texts[last])
+            last += 1
+        flat = np.concatenate(texts[first:last])
+        out = np.full(max(len(flat) - width + 1, 0), width, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for k in range(width):
+                out = mixed(out * PRIME + flat[k : len(flat) - width + 1 + k]) if len(out) else out
+        at = 0
+        for text in texts[first:last]:
+            yield np.unique(out[at : at + len(text) - width + 1]) if len(text) >= width else shingles(text, width)
+            at += len(text)
+        first = last
+
+
 def set_key(shingle_set: np.ndarray) -> bytes:
     """128 bits that name a set."""
     return xxhash.xxh3_128_digest(shingle_set.tobytes())
