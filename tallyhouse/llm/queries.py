@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.decontamination import op6_decontamination
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
+from tallyhouse.llm.packing import op9_token_packing
 from tallyhouse.llm.quality_rules import op10_quality_rules
 from tallyhouse.llm.secret_scans import op1_secret_scans
 from tallyhouse.llm.token_counts import op7_token_counts
+from tallyhouse.llm.url_filters import op4_url_filters
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
+    "op4_url_filters": op4_url_filters,
+    "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_token_packing": op9_token_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 

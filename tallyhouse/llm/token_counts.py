@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,18 +127,18 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
     repeated rows stay repeated; an empty table gives no rows. No shuffle.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocabulary)
         width = encoder.kind.itemsize
         for batch in batches:
-            n = [len(encoder.ids(t)) // width for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": n})
+            n = [len(encoder.ids(t)) // width for t in batch.column("text").to_pylist()]
+            yield batch.drop_columns(["text"]).append_column("n_tokens", pa.array(n, pa.int64()))
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text")
     )
-    counted = read.mapInPandas(count, "doc_id long, n_bytes long, n_tokens long")
+    counted = read.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
