@@ -6,6 +6,7 @@ from tallyhouse.llm.decontamination import op6_decontamination
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
 from tallyhouse.llm.packing import op9_token_packing
+from tallyhouse.llm.pii import op5_pii_surrogates
 from tallyhouse.llm.quality_rules import op10_quality_rules
 from tallyhouse.llm.secret_scans import op1_secret_scans
 from tallyhouse.llm.token_counts import op7_token_counts
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
     "op4_url_filters": op4_url_filters,
+    "op5_pii_surrogates": op5_pii_surrogates,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
