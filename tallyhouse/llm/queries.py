@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.chat_format import op3_chat_format
 from tallyhouse.llm.decontamination import op6_decontamination
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
@@ -15,6 +16,7 @@ from tallyhouse.llm.url_filters import op4_url_filters
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_mixing": op2_mixing,
+    "op3_chat_format": op3_chat_format,
     "op4_url_filters": op4_url_filters,
     "op5_pii_surrogates": op5_pii_surrogates,
     "op6_decontamination": op6_decontamination,
