@@ -8,7 +8,9 @@ d <= eps. The join runs in three nested levels.
    the block's least text is its pivot document, and every member of the block is
    replicated to the pivot's region: both ends of each link meet in a region.
    Frequent shingles come last in the order, so passages that many texts share
-   rarely make blocks. Exact copies count once.
+   rarely make blocks. Exact copies count once. Before any text moves, members
+   that no other member can link with leave the region: counts of hash groups,
+   a 1-Lipschitz image of the sets, bound the distance from below.
 2. Cells. A region above `cell_docs` is dealt into chunks, each joined on its own
    and with the pivot. Members which that leaves outside the pivot's component
    meet the other chunks in a second step. No task holds more than two chunks.
@@ -24,20 +26,25 @@ distances are 1); level 1 therefore takes pivots from shared shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.components import components
-from tallyhouse.llm.textops import WordHashes, as_long, lowered_words, runs, set_key, shingles
+from tallyhouse.llm.textops import WordHashes, as_long, lowered_words, runs, set_key, shingle_sets
 from tallyhouse.sources.scratch import materialize
 
 #: Most frequent shingles that come last in the order (one MB); any order is exact.
 HOT_SHINGLES = 131_072
 #: Shingles counted together in a task, and the count from which one is reported.
-COUNT_BUFFER, REPORTED = 4_000_000, 3
+COUNT_BUFFER, REPORTED = 2_000_000, 3
+#: Documents that a task holds as sets at a time.
+AT_ONCE = 1_000
 #: Documents of one chunk of a region.
 CELL_DOCS = 1_500
 #: Pivots of a Voronoi step and members below which a region is compared directly.
@@ -159,8 +166,61 @@ class Cell:
                 self.solve(inside, outside)
 
 
-def _row_hashes(text: str | None, hashes: WordHashes, width: int) -> np.ndarray:
-    return shingles(hashes.of(lowered_words(text)), width)
+def _sets(texts, hashes: WordHashes, width: int) -> Iterator[np.ndarray]:
+    return shingle_sets([hashes.of(lowered_words(t)) for t in texts], width)
+
+
+def sketch_of(shingle_set: np.ndarray) -> bytes:
+    """Shingle counts of hash groups, about one group for 8 shingles, as bytes."""
+    groups = 64
+    while groups * 8 < len(shingle_set):
+        groups *= 2
+    counts = np.bincount((shingle_set & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _folded(sketch: np.ndarray, groups: int) -> np.ndarray:
+    return sketch.reshape(-1, groups).sum(axis=0)
+
+
+def with_partner(sizes: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """Members that may link with another one by what the sketches allow.
+
+    Counts of hash groups move by at most one for each shingle that only one of two
+    sets has, so the L1 distance of the counts is a lower bound of the difference.
+    """
+    n = len(sizes)
+    ok = np.zeros(n, dtype=bool)
+    raw = [np.frombuffer(b, dtype=np.uint8).astype(np.int32) for b in sketches]
+    width = np.array([len(b) for b in sketches])
+    for groups in np.unique(width):
+        wide = np.flatnonzero(width >= groups)
+        wide = wide[np.argsort(sizes[wide], kind="stable")]
+        table = np.stack([_folded(raw[i], groups) for i in wide])
+        size = sizes[wide]
+        until = np.searchsorted(size * percent, size * 100, side="right")
+        for at in range(len(wide)):
+            if width[wide[at]] != groups or until[at] == at + 1:
+                continue
+            apart = np.abs(table[at + 1 : until[at]] - table[at]).sum(axis=1)
+            fits = apart * (100 + percent) <= (size[at + 1 : until[at]] + size[at]) * (100 - percent)
+            if fits.any():
+                ok[wide[at]] = True
+                ok[wide[at + 1 : until[at]][fits]] = True
+    return ok
+
+
+def _sifting(percent: int):
+    """(p, k) of the members of small regions that may link with another member."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in runs(batches, ["p"]):
+            group = group.drop_duplicates("k")
+            ok = with_partner(group["n"].to_numpy(), group["sketch"].tolist(), percent)
+            if ok.any():
+                yield group.loc[ok, ["p", "k"]]
+
+    return run
 
 
 def _counting(width: int):
@@ -174,8 +234,8 @@ def _counting(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, buffer, held, seen = WordHashes(), [], 0, set()
         for batch in batches:
-            for text in batch["text"]:
-                s = _row_hashes(text, hashes, width)
+            parts = (batch["text"][at : at + AT_ONCE] for at in range(0, len(batch), AT_ONCE))
+            for s in chain.from_iterable(_sets(part.tolist(), hashes, width) for part in parts):
                 key = set_key(s)
                 if not len(s) or key in seen:
                     continue
@@ -191,45 +251,88 @@ def _counting(width: int):
     return run
 
 
+SIGNED = (
+    "doc_id long, n long, sid binary, k long, cold array<long>, hot array<long>, sketch binary, packed binary"
+)
+
+
 def _signing(width: int, percent: int, hot_sorted: np.ndarray, hot_rank: np.ndarray):
-    """One row per document; its text and prefix where the task sees the set first."""
+    """One row per document; its compressed text and prefix where the task sees the set first."""
+    longs = pa.list_(pa.int64())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
-        for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                s = _row_hashes(text, hashes, width)
-                n, key = len(s), set_key(s)
-                row = [None if pd.isna(doc_id) else int(doc_id), n, key, as_long(key), None, None, None]
-                if n and key not in seen:
-                    seen.add(key)
-                    take = n - (percent * n + 99) // 100 + 1
-                    at = np.searchsorted(hot_sorted, s)
-                    at[at == len(hot_sorted)] = 0
-                    is_hot = hot_sorted[at] == s if len(hot_sorted) else np.zeros(n, dtype=bool)
-                    cold = s[~is_hot][:take]
-                    hot = s[is_hot][np.argsort(hot_rank[at[is_hot]], kind="stable")][: take - len(cold)]
-                    row[4:] = [cold.view(np.int64), hot.view(np.int64), text]
-                out.append(row)
-            yield pd.DataFrame(out, columns=["doc_id", "n", "sid", "k", "cold", "hot", "text"])
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for whole in batches:
+            for start in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(start, AT_ONCE)
+                texts, rows = batch.column("text").to_pylist(), []
+                for text, s in zip(texts, _sets(texts, hashes, width)):
+                    n, key = len(s), set_key(s)
+                    row = [n, key, as_long(key), None, None, None, None]
+                    if n and key not in seen:
+                        seen.add(key)
+                        take = n - (percent * n + 99) // 100 + 1
+                        at = np.searchsorted(hot_sorted, s)
+                        at[at == len(hot_sorted)] = 0
+                        is_hot = hot_sorted[at] == s if len(hot_sorted) else np.zeros(n, dtype=bool)
+                        cold = s[~is_hot][:take]
+                        hot = s[is_hot][np.argsort(hot_rank[at[is_hot]], kind="stable")][: take - len(cold)]
+                        packed = pack(text.encode("utf-8", "surrogatepass"))
+                        row[3:] = [cold.view(np.int64), hot.view(np.int64), sketch_of(s), packed]
+                    rows.append(row)
+                kinds = [pa.int64(), pa.binary(), pa.int64(), longs, longs, pa.binary(), pa.binary()]
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), *columns], names=[c.split()[0] for c in SIGNED.split(", ")]
+                )
 
     return run
 
 
-def _pivoting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(p, k): members of each block beside the block's least text; rows sorted by block."""
-    last, pivot, sole = None, None, False
-    for batch in batches:
-        s, k = batch["s"].to_numpy(), batch["k"].to_numpy()
-        if not len(s):
-            continue
-        new = np.concatenate([[last is None or s[0] != last], s[1:] != s[:-1]])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-        p = np.where(first >= 0, k[first], pivot if pivot is not None else 0)
-        ok = p != k
-        yield pd.DataFrame({"p": p[ok], "k": k[ok]})
-        last, pivot = s[-1], p[-1]
+def _unpacked(packed) -> list[str]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(p).decode("utf-8", "surrogatepass") for p in packed]
+
+
+def _pivoting(percent: int):
+    """(p, k): members of each block beside the block's least text.
+
+    Rows come sorted by block, set size and text. A block ends where the next size
+    is too large for a link. `rest` counts a set's shingles from this one on in the
+    order: at the first shingle that two linked texts share, it bounds their
+    intersection, so a member with too small a rest finds no partner here.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last_s, last_n, run_n, pivot = None, 0, 0, None
+        for batch in batches:
+            s, n, rest, k = (batch[c].to_numpy() for c in ("s", "n", "rest", "k"))
+            if not len(s):
+                continue
+            before_s = np.concatenate([[s[0] if last_s is None else last_s], s[:-1]])
+            before_n = np.concatenate([[last_n], n[:-1]])
+            new = (s != before_s) | (100 * before_n < percent * n)
+            new[0] |= last_s is None
+            block = np.cumsum(new)
+            starts = np.flatnonzero(new)
+            least = np.concatenate([[run_n], n[starts]])[block]
+            partner = np.maximum(least, -(-percent * n // 100))
+            ok = (100 + percent) * rest >= percent * (n + partner)
+            kept_block, kept_k = block[ok], k[ok]
+            last_s, last_n, run_n = s[-1], n[-1], least[-1]
+            if not len(kept_k):
+                pivot = pivot if block[-1] == 0 else None
+                continue
+            first = np.concatenate([[True], kept_block[1:] != kept_block[:-1]])
+            p = kept_k[np.maximum.accumulate(np.where(first, np.arange(len(kept_k)), 0))]
+            if pivot is not None:
+                p = np.where(kept_block == 0, pivot, p)
+            apart = p != kept_k
+            yield pd.DataFrame({"p": p[apart], "k": kept_k[apart]})
+            pivot = p[-1] if kept_block[-1] == block[-1] else None
+
+    return run
 
 
 def _edges(sids: list[bytes], cell: Cell) -> pd.DataFrame:
@@ -251,7 +354,7 @@ def _first_step(width: int, percent: int):
             if len(group) < 2:
                 continue
             sids = group["sid"].tolist()
-            cell = Cell([_row_hashes(t, hashes, width) for t in group["text"]], percent)
+            cell = Cell(list(_sets(_unpacked(group["packed"]), hashes, width)), percent)
             pivot = np.flatnonzero((group["k"] == group["p"]).to_numpy())
             everyone = np.arange(len(sids))
             for p in pivot:
@@ -282,7 +385,7 @@ def _second_step(width: int, percent: int):
             if apart.all() or not apart.any():
                 continue
             sids = group["sid"].tolist()
-            cell = Cell([_row_hashes(t, hashes, width) for t in group["text"]], percent)
+            cell = Cell(list(_sets(_unpacked(group["packed"]), hashes, width)), percent)
             where = np.arange(len(sids))
             cell.solve(where[apart], where[~apart])
             yield _edges(sids, cell)
@@ -313,39 +416,48 @@ def jaccard_sets(
     by_value = np.argsort(hot)
     # the most frequent shingle has the last place
     ranks = (len(hot) - 1 - np.arange(len(hot)))[by_value] if len(hot) else np.zeros(0, dtype=np.int64)
-    signed = materialize(
-        docs.mapInPandas(
-            _signing(width, percent, hot[by_value], ranks),
-            "doc_id long, n long, sid binary, k long, cold array<long>, hot array<long>, text string",
-        )
-    )
+    signed = materialize(docs.mapInArrow(_signing(width, percent, hot[by_value], ranks), SIGNED))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = signed.select("k", F.explode("cold").alias("s"))
+    size = F.col("n").cast("int").alias("n")
+    blocks = signed.select("k", size, F.posexplode("cold").alias("at", "s"))
     cold = (
-        blocks.repartition(parts, "s").sortWithinPartitions("s", "k").mapInPandas(_pivoting, "p long, k long")
+        blocks.select("s", "n", (F.col("n") - F.col("at")).alias("rest"), "k")
+        .repartition(parts, "s")
+        .sortWithinPartitions("s", "n", "k")
+        .mapInPandas(_pivoting(percent), "p long, k long")
     )
-    hot_blocks = signed.select("k", F.explode("hot").alias("s"))
+    hot_blocks = signed.select("k", size, F.explode("hot").alias("s"))
     # at most HOT_SHINGLES rows
-    hot_pivots = hot_blocks.groupBy("s").agg(F.min("k").alias("p"))
+    hot_pivots = hot_blocks.groupBy("s").agg(F.min_by("k", F.struct("n", "k")).alias("p"))
     frequent = (
         hot_blocks.join(F.broadcast(hot_pivots), "s").where(F.col("p") != F.col("k")).select("p", "k")
     )
     links = materialize(cold.unionByName(frequent).distinct())
-    sizes = links.groupBy("p").agg((F.count("*") + 1).alias("size"))
-    sizes = sizes.withColumn("chunks", F.ceil(F.col("size") / cell_docs).cast("int"))
     members = links.unionByName(links.select("p", F.col("p").alias("k")).distinct())
+    sizes = links.groupBy("p").agg((F.count("*") + 1).alias("size"))
+    sketches = signed.where(F.col("sketch").isNotNull()).select("k", "n", "sketch")
+    # a set has one row for each task that saw it first
+    small = (
+        members.join(sizes.where(F.col("size") <= cell_docs), "p", "left_semi")
+        .join(sketches, "k")
+        .repartition(parts, "p")
+        .sortWithinPartitions("p", "k")
+        .mapInPandas(_sifting(percent), "p long, k long")
+    )
     # one text for each set and task that saw it
-    texts = signed.where(F.col("text").isNotNull()).select("k", "sid", "text")
-    dealt = (
-        members.join(sizes, "p")
+    texts = signed.where(F.col("packed").isNotNull()).select("k", "sid", "packed").hint("merge")
+    large = (
+        members.join(sizes.where(F.col("size") > cell_docs), "p")
+        .withColumn("chunks", F.ceil(F.col("size") / cell_docs).cast("int"))
         .withColumn(
             "chunk",
-            F.when((F.col("k") == F.col("p")) & (F.col("chunks") > 1), F.expr("sequence(0, chunks - 1)")).otherwise(
+            F.when(F.col("k") == F.col("p"), F.expr("sequence(0, chunks - 1)")).otherwise(
                 F.array(F.expr("pmod(xxhash64(k), chunks)").cast("int"))
             ),
         )
         .select("p", "k", "chunks", F.explode("chunk").alias("chunk"))
     )
+    dealt = materialize(small.select("p", "k", F.lit(1).alias("chunks"), F.lit(0).alias("chunk")).unionByName(large))
     cells = dealt.join(texts, "k")
     first = materialize(
         cells.repartition(parts, "p", "chunk")
@@ -355,7 +467,8 @@ def jaccard_sets(
     edges = first.where(F.col("a").isNotNull()).select("a", "b")
     apart = first.where(F.col("a").isNull()).select("p", "k").distinct()
     if not apart.isEmpty():
-        apart = apart.join(sizes.where(F.col("chunks") > 1), "p").withColumn(
+        chunks = dealt.where("chunks > 1").select("p", "chunks").distinct()
+        apart = apart.join(chunks, "p").withColumn(
             "other", F.expr("pmod(xxhash64(k), chunks)").cast("int")
         )
         others = apart.select("p", "other").distinct()

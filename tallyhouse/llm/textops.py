@@ -13,7 +13,7 @@ import pandas as pd
 import xxhash
 
 #: Entries that a task remembers before it starts over; bounds its memory only.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
