@@ -109,8 +109,8 @@ def fit(labelled: DataFrame, conversations: int = FITTED, turns: int = FITTED_TU
     ordered = Window.partitionBy("conv_id").orderBy("line_no", "line")
     rows = rows.withColumn("before", F.lag("state").over(ordered))
     size = len(STATES)
-    first, step = np.ones(size), np.ones((size, size))
-    shown = {name: np.ones((size, n)) for name, n in FEATURES.items()}
+    first, step = np.zeros(size), np.zeros((size, size))
+    shown = {name: np.zeros((size, n)) for name, n in FEATURES.items()}
     # counts of states and of feature values: a bounded table
     for r in rows.groupBy("before", "state").count().collect():
         if r.before is None:
@@ -120,8 +120,26 @@ def fit(labelled: DataFrame, conversations: int = FITTED, turns: int = FITTED_TU
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("int").alias("value")) for n in FEATURES]))
     for r in rows.select("state", pairs.alias("f")).groupBy("state", "f.name", "f.value").count().collect():
         shown[r["name"]][r.state, r.value] += r["count"]
-    logs = lambda table: np.log(table / table.sum(axis=-1, keepdims=True))
-    return Model(logs(first), logs(step), {name: logs(table) for name, table in shown.items()})
+    # a marker speaks for its role, also where none was seen
+    for k, (role, begins) in enumerate(STATES):
+        shown["marker"][k, 1 + ROLES.index(role) if begins else 0] += 1
+    states = _smoothed(first + step.sum(axis=0), np.full(size, 1 / size))
+    return Model(
+        np.log(_smoothed(first, states)),
+        np.log(_smoothed(step, states)),
+        {name: np.log(_smoothed(t, _shared(t))) for name, t in shown.items()},
+    )
+
+
+def _shared(counts: np.ndarray) -> np.ndarray:
+    """Between the frequencies of all states together and equal ones."""
+    even = np.full(counts.shape[1], 1 / counts.shape[1])
+    return (_smoothed(counts.sum(axis=0), even) + even) / 2
+
+
+def _smoothed(counts: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Frequencies of each row, with one more observation spread by `prior`."""
+    return (counts + prior) / (counts.sum(axis=-1, keepdims=True) + 1)
 
 
 def _matrices(model: Model):

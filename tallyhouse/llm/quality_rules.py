@@ -21,7 +21,7 @@ BUCKETS = 16_384
 TRUSTED_ROWS = 20_000
 SEED = 20
 #: Mean log ratio (natural, per n-gram) below which a document is rejected.
-THRESHOLD = -0.12
+THRESHOLD = -0.08
 WINDOW = 8
 
 

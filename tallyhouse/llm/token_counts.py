@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.textops import REMEMBERED
 
+#: Units that a Python worker remembers before it starts over; bounds its memory only.
+REMEMBERED = 1_000_000
 VOCABULARY = "byte_bpe_50k.json"
 #: Characters of a chunk, of the first overlap, and kept clear of a chunk's ends.
 CHUNK, OVERLAP, MARGIN = 65_536, 256, 32
