@@ -34,8 +34,8 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def int_div(a: str, b: str) -> Column:
-    """Integer quotient of two columns cut towards zero; NULL when `b` is 0."""
-    return F.expr(f"CAST({a} DIV nullif({b}, 0) AS INT)")
+    """Integer quotient of two columns cut towards zero; NULL when `b` is 0 or no INT holds it."""
+    return F.expr(f"TRY_CAST(CAST({a} AS BIGINT) DIV nullif({b}, 0) AS INT)")
 
 
 def ratio(top: Column, bottom: Column) -> Column:

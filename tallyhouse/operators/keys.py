@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets where the session has fewer shuffle partitions.
 BUCKETS = 1024
 
 
-def assign_keys(df: DataFrame, name: str, by: list[str], after: int | Column = 0) -> DataFrame:
+def assign_keys(
+    df: DataFrame, name: str, by: list[str], after: int | Column = 0, buckets: int | None = None
+) -> DataFrame:
     """Fill `name` with dense keys `after`+1, `after`+2, … in a repeatable order.
 
     `by` must identify a row. Rows are numbered inside hash buckets of `by`, and
     each bucket starts where the sizes of the buckets before it end. Only the
-    bucket sizes, at most BUCKETS rows, are ever brought together.
+    bucket sizes, one row each, are ever brought together. `buckets` follows the
+    shuffle partitions unless given, so that a bucket stays as small as a task.
     """
-    bucket = F.pmod(F.xxhash64(*by), F.lit(BUCKETS))
+    buckets = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bucket = F.pmod(F.xxhash64(*by), F.lit(buckets))
     rows = df.withColumn("_bucket", bucket)
     inside = Window.partitionBy("_bucket").orderBy(*by)
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -27,7 +32,7 @@ def assign_keys(df: DataFrame, name: str, by: list[str], after: int | Column = 0
     )
     base = F.lit(after) if isinstance(after, int) else after
     numbered = rows.withColumn("_nth", F.row_number().over(inside)).join(
-        F.broadcast(starts), "_bucket"  # at most BUCKETS rows
+        F.broadcast(starts), "_bucket"  # one row per bucket
     )
     key = (base + F.col("_start") + F.col("_nth")).cast("long")
     return numbered.withColumn(name, key).select(*dict.fromkeys([*df.columns, name]))

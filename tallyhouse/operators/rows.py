@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Salts where the session has fewer shuffle partitions.
 SALTS = 32
 
 
@@ -22,7 +23,9 @@ def keep_latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return numbered.filter("_nth = 1").drop("_nth")
 
 
-def next_in_group(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+def next_in_group(
+    df: DataFrame, keys: list[str], order: str, name: str, salts: int | None = None
+) -> DataFrame:
     """Add `name`: the `order` value of the following row of the same key.
 
     A key may hold any share of the rows, so no window ever spans a whole key.
@@ -31,8 +34,9 @@ def next_in_group(df: DataFrame, keys: list[str], order: str, name: str) -> Data
     the partitioning of the first window. The step is a struct, as its fields may
     be NULL and still have to match.
     """
+    salts = salts or max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rest = [c for c in df.columns if c not in (*keys, order)]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(SALTS)) if rest else F.lit(0)
+    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0)
     rows = df.withColumn("_step", F.struct(*keys, order, salt.alias("_salt")))
 
     within = Window.partitionBy("_step").orderBy(*(rest or [order]))

@@ -51,29 +51,45 @@ def primary_key_faults(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def foreign_key_faults(tables: dict[str, DataFrame]) -> DataFrame:
-    """Values of the declared references that the parent lacks."""
-    found = [
-        orphan_keys(tables[child], column, tables[parent], key).select(
-            F.lit(child).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.col(column).cast("string").alias("key_text"),
-            "row_count",
+    """Values of the declared references that the parent lacks.
+
+    A reference that cannot be checked, as a table or column of it is missing, is a
+    fault of its own: one row with NULL for key and rows.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    found, absent = [], []
+    for child, column, parent, key in schemas.FOREIGN_KEYS:
+        if column not in _columns(tables, child) or key not in _columns(tables, parent):
+            absent.append((child, column, None, None))
+            continue
+        found.append(
+            orphan_keys(tables[child], column, tables[parent], key).select(
+                F.lit(child).alias("table_name"),
+                F.lit(column).alias("column_name"),
+                F.col(column).cast("string").alias("key_text"),
+                "row_count",
+            )
         )
-        for child, column, parent, key in schemas.FOREIGN_KEYS
-        if child in tables and parent in tables
-    ]
-    return reduce(DataFrame.unionByName, found)
+    kind = "table_name string, column_name string, key_text string, row_count bigint"
+    return reduce(DataFrame.unionByName, found, spark.createDataFrame(absent, kind))
+
+
+def _columns(tables: dict[str, DataFrame], name: str) -> list[str]:
+    return tables[name].columns if name in tables else []
 
 
 def not_null_faults(tables: dict[str, DataFrame]) -> DataFrame:
-    """NULLs in required columns; columns a table does not carry are passed over."""
-    found = [
-        missing_values(df, [c for c in schemas.REQUIRED[name] if c in df.columns])
-        .filter("null_rows > 0")
-        .select(F.lit(name).alias("table_name"), "column_name", "null_rows")
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, found)
+    """NULLs in required columns; `null_rows` is NULL for a column the table lacks."""
+    spark = next(iter(tables.values())).sparkSession
+    found, absent = [], []
+    for name, df in tables.items():
+        carried = [c for c in schemas.REQUIRED[name] if c in df.columns]
+        absent += [(name, c, None) for c in schemas.REQUIRED[name] if c not in carried]
+        if carried:
+            faults = missing_values(df, carried).filter("null_rows > 0")
+            found.append(faults.select(F.lit(name).alias("table_name"), "column_name", "null_rows"))
+    kind = "table_name string, column_name string, null_rows bigint"
+    return reduce(DataFrame.unionByName, found, spark.createDataFrame(absent, kind))
 
 
 def period_faults(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

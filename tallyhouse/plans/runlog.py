@@ -15,7 +15,6 @@ from ..schemas import GOLD
 from ..sources.snapshots import empty_table, is_missing
 
 SCHEMA = GOLD["dw_load_log"]
-MESSAGE_LENGTH = 4000
 
 Work = Callable[[], "Outcome"]
 
@@ -75,7 +74,7 @@ class RunLog:
         try:
             outcome, error = work(), None
         except Exception as failure:
-            outcome, error = Outcome(message=str(failure)[:MESSAGE_LENGTH]), failure
+            outcome, error = Outcome(message=str(failure)), failure
         return Attempt(name, start, self.clock(), outcome, error)
 
     def _append(self, attempts: list[Attempt]) -> None:
@@ -95,3 +94,13 @@ def with_duration(log_rows: DataFrame) -> DataFrame:
     """Add the whole seconds each step took."""
     seconds = F.unix_timestamp("load_end") - F.unix_timestamp("load_start")
     return log_rows.withColumn("duration_seconds", seconds)
+
+
+def layer_durations(log_rows: DataFrame) -> DataFrame:
+    """Steps and whole seconds of each layer: of its steps together, and from first start to last end."""
+    timed = with_duration(log_rows).withColumn("layer", F.split_part("procedure_name", F.lit("."), F.lit(1)))
+    return timed.groupBy("layer").agg(
+        F.count("*").alias("steps"),
+        F.sum("duration_seconds").alias("step_seconds"),
+        (F.unix_timestamp(F.max("load_end")) - F.unix_timestamp(F.min("load_start"))).alias("layer_seconds"),
+    )

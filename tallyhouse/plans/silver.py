@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import eight_digits, yyyymmdd
@@ -68,19 +68,31 @@ def clean_crm_sales_details(raw: DataFrame) -> DataFrame:
     by the quantity, cut to a whole number.
     """
     amount, price = F.col("sls_sales"), F.col("sls_price")
-    expected = F.col("sls_quantity") * F.abs(price)
+    expected = expected_amount()
     amount_wrong = amount.isNull() | (amount <= 0) | (amount != expected)
     price_wrong = price.isNull() | (price <= 0)
     dates = {c: yyyymmdd(F.col(c)) for c in SALES_DATES}
     return raw.withColumns(
         {
             **dates,
-            "sls_sales": F.when(amount_wrong, expected).otherwise(amount),
+            "sls_sales": F.when(amount_wrong, expected.try_cast("int")).otherwise(amount),
             "sls_price": F.when(price_wrong, int_div("sls_sales", "sls_quantity")).otherwise(price),
         }
     )
 
 
+def expected_amount() -> Column:
+    """Quantity times absolute price, as a BIGINT."""
+    return F.col("sls_quantity").cast("bigint") * F.abs(F.col("sls_price").cast("bigint"))
+
+
+def too_large_amounts(raw: DataFrame) -> DataFrame:
+    """One row: repaired amounts that no INT holds (they become NULL)."""
+    amount, expected = F.col("sls_sales"), expected_amount()
+    wrong = amount.isNull() | (amount <= 0) | (amount != expected)
+    return raw.agg(F.count_if(wrong & expected.isNotNull() & expected.try_cast("int").isNull()).alias("bad_rows"))
+
+
 def bad_sales_dates(raw: DataFrame) -> DataFrame:
     """Per date column, values with eight digits that are no day (they become NULL)."""
     counts = raw.agg(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators import history, merge
 from ..operators.keys import assign_keys
+from ..sources.catalog import ensure_layers
 from ..sources.feeds import REJECT, read_feed
 from ..sources.scratch import materialize
 from ..sources.snapshots import SnapshotTable
-from . import gold, silver
+from . import gold, reports, silver
 from .runlog import Outcome, RunLog, utc_now
 
-MAX_REJECTS = 10  # rows of one feed that may be unreadable before its load fails
 CURRENT, PAST = "current", "past"
 ACCEPTED, REJECTED = "accepted", "rejected"
 
@@ -27,13 +27,21 @@ ACCEPTED, REJECTED = "accepted", "rejected"
 class Warehouse:
     """Tables of the three layers below one folder.
 
-    `clock` gives the load time; its date is the day a version starts.
+    `clock` gives the load time; its date is the day a version starts. `fact_keys`
+    are the columns that name a row of the fact: order number and product unless
+    the orders of a source repeat a product.
     """
 
-    def __init__(self, spark: SparkSession, root: str, clock: Callable[[], dt.datetime] = utc_now):
-        self.spark, self.clock = spark, clock
-        # scratch tables of this warehouse; its loads have one writer at a time
-        self.slot = f"tallyhouse-{hashlib.sha256(root.encode()).hexdigest()[:16]}"
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        clock: Callable[[], dt.datetime] = utc_now,
+        fact_keys: list[str] | None = None,
+    ):
+        self.spark, self.clock, self.fact_keys = spark, clock, fact_keys or gold.FACT_KEYS
+        # scratch tables of this object; two writers never share them
+        self.slot = f"tallyhouse-{uuid.uuid4().hex}"
         self.log = RunLog(spark, f"{root.rstrip('/')}/gold/dw_load_log", clock)
         versions = F.when(F.col("scd_is_current"), CURRENT).otherwise(PAST)
         accepted = F.when(F.col(REJECT).isNull(), ACCEPTED).otherwise(REJECTED)
@@ -70,21 +78,58 @@ class Warehouse:
         """Rows of the last feed that could not be read as declared."""
         return self.table("bronze", name).read([REJECTED])
 
+    # -- names ------------------------------------------------------------
+
+    def register(self) -> None:
+        """Views `<layer>.<table>` over the newest versions, replaced at each call."""
+        ensure_layers(self.spark)
+        for (layer, name), table in self.tables.items():
+            select = table.view_sql()
+            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {select}")
+
+    def register_reports(self, as_of: dt.date) -> None:
+        """Session views `report_customers` and `report_products` over the newest versions."""
+        fact = self.load("gold", "fact_sales")
+        for name, build, dim in (
+            ("report_customers", reports.report_customers, "dim_customers"),
+            ("report_products", reports.report_products, "dim_products"),
+        ):
+            build(fact, self.load("gold", dim), as_of, keys_resolved=True).createOrReplaceTempView(name)
+
+    def vacuum(self, keep_versions: int = 1) -> int:
+        """Delete what the newest versions of all tables no longer list; batches deleted."""
+        return sum(table.vacuum(keep_versions) for table in self.tables.values())
+
+    def compact(self, most_batches: int = 16) -> dict[str, list[str]]:
+        """Merge parts that lie in many batches; table to parts rewritten."""
+        return {name: parts for (_, name), t in self.tables.items() if (parts := t.compact(most_batches))}
+
     # -- bronze -----------------------------------------------------------
 
-    def load_bronze(self, feeds: dict[str, str], max_rejects: int = MAX_REJECTS) -> None:
-        """Full refresh of the raw tables from `feeds`, table name to path."""
+    def load_bronze(
+        self, feeds: dict[str, str], max_rejects: int | None = None, max_reject_share: float | None = None
+    ) -> None:
+        """Full refresh of the raw tables from `feeds`, table name to path.
+
+        Unreadable rows are set aside, counted and logged. With a limit, a feed that
+        has more of them, in rows or as a share of its rows, fails instead.
+        """
         self.log.run(
             {
-                f"bronze.{name}": lambda n=name, p=path: self._load_feed(n, p, max_rejects)
+                f"bronze.{name}": lambda n=name, p=path: self._load_feed(n, p, max_rejects, max_reject_share)
                 for name, path in feeds.items()
             }
         )
 
-    def _load_feed(self, name: str, path: str, max_rejects: int) -> Outcome:
+    def _load_feed(
+        self, name: str, path: str, max_rejects: int | None, max_share: float | None
+    ) -> Outcome:
         def check(written: dict[str, int]) -> None:
-            if (count := written.get(REJECTED, 0)) > max_rejects:
+            count, rows = written.get(REJECTED, 0), sum(written.values())
+            if max_rejects is not None and count > max_rejects:
                 raise ValueError(f"{name}: {count} unreadable rows, {max_rejects} allowed")
+            if max_share is not None and count > max_share * rows:
+                raise ValueError(f"{name}: {count} of {rows} rows unreadable, a share of {max_share} allowed")
 
         feed = read_feed(self.spark, path, schemas.BRONZE[name])
         written = self.table("bronze", name).replace(feed, check)  # parsed once
@@ -120,7 +165,9 @@ class Warehouse:
         note = None
         if name == "crm_sales_details":
             bad = sum(r.bad_rows for r in silver.bad_sales_dates(raw).collect())  # 3 rows
-            note = f"Dates set to NULL: {bad}" if bad else None
+            large = silver.too_large_amounts(raw).first().bad_rows
+            notes = [f"Dates set to NULL: {bad}"] * bool(bad) + [f"Amounts set to NULL: {large}"] * bool(large)
+            note = "; ".join(notes) or None
         return Outcome(inserted=sum(written.values()), message=note)
 
     # -- gold -------------------------------------------------------------
@@ -139,34 +186,37 @@ class Warehouse:
 
     def load_dimensions(self) -> None:
         """Customers and products; products missing from the source are expired."""
+        now = self.clock()
         self.log.run(
             {
-                "gold.load_dim_customers": self._load_customers,
-                "gold.load_dim_products": self._load_products,
+                "gold.load_dim_customers": lambda: self._load_customers(now),
+                "gold.load_dim_products": lambda: self._load_products(now),
             }
         )
 
-    def _load_customers(self) -> Outcome:
+    def _load_customers(self, now: dt.datetime) -> Outcome:
         stage = gold.stage_customers(
             self.load("silver", "crm_cust_info"),
             self.load("silver", "erp_cust_az12"),
             self.load("silver", "erp_loc_a101"),
         )
         return self._apply_history(
-            "dim_customers", stage, "customer_id", gold.CUSTOMER_TRACKED, "customer_key", False
+            "dim_customers", stage, "customer_id", gold.CUSTOMER_TRACKED, "customer_key", False, now
         )
 
-    def _load_products(self) -> Outcome:
+    def _load_products(self, now: dt.datetime) -> Outcome:
         stage = gold.stage_products(
             self.load("silver", "crm_prd_info"), self.load("silver", "erp_px_cat_g1v2")
         )
         return self._apply_history(
-            "dim_products", stage, "product_id", gold.PRODUCT_TRACKED, "product_key", True
+            "dim_products", stage, "product_id", gold.PRODUCT_TRACKED, "product_key", True, now
         )
 
-    def _apply_history(self, name, stage, business_key, tracked, key, expire_missing) -> Outcome:
+    def _apply_history(
+        self, name, stage, business_key, tracked, key, expire_missing, now
+    ) -> Outcome:
         """Join once, write only what moved: past versions are appended to, never rewritten."""
-        table, now = self.table("gold", name), self.clock()
+        table = self.table("gold", name)
         current = table.read([CURRENT])
         changes = history.scd2_changes(
             current, stage, business_key, tracked, key, now.date(), now, expire_missing
@@ -215,7 +265,7 @@ class Warehouse:
             merge.merge_delta(
                 table.read(),
                 sales.withColumn("dw_insert_date", F.lit(now)),
-                gold.FACT_KEYS,
+                self.fact_keys,
                 gold.FACT_COMPARE,
                 gold.FACT_SET,
                 {"_old_part": table.part},
@@ -228,7 +278,7 @@ class Warehouse:
             updates = delta.filter(F.col(merge.ACTION) == merge.UPDATE)
             touched = [r[0] for r in updates.select("_old_part").distinct().collect()]  # years
             stay = table.read(touched).join(
-                updates.select(*gold.FACT_KEYS), gold.FACT_KEYS, "left_anti"
+                updates.select(*self.fact_keys), self.fact_keys, "left_anti"
             )
             table.rewrite(stay.unionByName(delta.select(*table.schema.names)), touched)
         return Outcome(
@@ -237,13 +287,22 @@ class Warehouse:
             message=f"Orphan rows skipped: {skipped}" if skipped else None,
         )
 
-    def load_gold(self) -> None:
-        """Calendar, dimensions, then the fact that refers to them."""
-        self.load_dim_date()
+    def load_gold(
+        self, start: dt.date = gold.CALENDAR_START, end: dt.date = gold.CALENDAR_END
+    ) -> None:
+        """Calendar from `start` to `end`, dimensions, then the fact that refers to them."""
+        self.load_dim_date(start, end)
         self.load_dimensions()
         self.load_fact_sales()
 
-    def load_all(self, feeds: dict[str, str]) -> None:
-        self.load_bronze(feeds)
+    def load_all(
+        self,
+        feeds: dict[str, str],
+        max_rejects: int | None = None,
+        max_reject_share: float | None = None,
+        start: dt.date = gold.CALENDAR_START,
+        end: dt.date = gold.CALENDAR_END,
+    ) -> None:
+        self.load_bronze(feeds, max_rejects, max_reject_share)
         self.load_silver()
-        self.load_gold()
+        self.load_gold(start, end)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -21,6 +23,8 @@ def local_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **(conf or {}),
     }
+    # one machine, so a folder of its own is shared by all of the session
+    settings.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyhouse-"))
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for name, value in settings.items():
         builder = builder.config(name, value)

@@ -20,28 +20,38 @@ def ensure_layers(spark: SparkSession) -> list[str]:
 
 
 def list_tables(
-    spark: SparkSession, names: list[str] | None = None, with_rows: bool = False
+    spark: SparkSession,
+    names: list[str] | None = None,
+    with_rows: bool = False,
+    schemas: list[str] | None = None,
 ) -> DataFrame:
     """Catalog, schema, name and type of the visible tables and views.
 
-    `with_rows` adds the row count of each, read from the tables themselves.
+    `schemas` lists those of some databases, such as the layers, instead of what is
+    visible without a database name. `with_rows` adds the row count of each, read
+    from the tables themselves; an empty table has 0.
     """
+    listed = spark.catalog.listTables() if schemas is None else [
+        t for schema in schemas for t in spark.catalog.listTables(schema) if not t.isTemporary
+    ]
     found = [
         (t.catalog, ".".join(t.namespace or []) or None, t.name, _KIND.get(t.tableType, "VIEW"))
-        for t in spark.catalog.listTables()
+        for t in listed
         if names is None or t.name in names
     ]
     columns = "table_catalog string, table_schema string, table_name string, table_type string"
     if not with_rows:
         return spark.createDataFrame(found, columns)
     counted = [
-        spark.table(row[2]).select(
+        spark.table(f"{row[1]}.{row[2]}" if row[1] else row[2])
+        .agg(F.count("*").alias("table_rows"))
+        .select(
             *[
                 F.lit(value).cast("string").alias(name)
                 for name, value in zip("table_catalog table_schema table_name table_type".split(), row)
-            ]
-        ).groupBy("table_catalog", "table_schema", "table_name", "table_type")
-        .agg(F.count("*").alias("table_rows"))
+            ],
+            "table_rows",
+        )
         for row in found
     ]
     if not counted:

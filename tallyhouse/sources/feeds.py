@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,12 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     Columns are bound by position, the header row is skipped. A row is rejected
     when a value does not parse, fields are missing or surplus, or a text is
     longer than declared; text columns of a rejected row keep what was read.
+    Numbers and dates may have outer blanks, texts keep theirs. The line of a row
+    with the right number of fields is put together again, each field in its place.
     """
+    texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
     parsed = (
-        spark.read.schema(T.StructType(schema.fields + [T.StructField(REJECT, T.StringType())]))
+        spark.read.schema(T.StructType([*texts, T.StructField(REJECT, T.StringType())]))
         .option("header", True)
         .option("sep", ",")
         .option("mode", "PERMISSIVE")
@@ -33,12 +36,27 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
             if "max_length" in f.metadata
         ]
     )
-    line = F.concat_ws(",", *[F.col(f.name).cast("string") for f in schema.fields])
-    return parsed.withColumn(
-        REJECT, F.coalesce(F.col(REJECT), F.when(too_long, line))
+    typed = {
+        f.name: F.nullif(F.trim(f.name), F.lit("")).try_cast(f.dataType)
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    }
+    unread = any_of([(F.trim(name) != "") & value.isNull() for name, value in typed.items()])
+    wrong = too_long | F.coalesce(unread, F.lit(False))
+    line = F.concat_ws(",", *[F.coalesce(_quoted(F.col(f.name)), F.lit("")) for f in schema.fields])
+    marked = parsed.withColumn(REJECT, F.coalesce(F.col(REJECT), F.when(wrong, line)))
+    kept = {f.name: F.col(f.name) for f in schema.fields if f.name not in typed}
+    return marked.select(
+        *[(typed | kept)[f.name].alias(f.name, metadata=f.metadata) for f in schema.fields], REJECT
     )
 
 
+def _quoted(text: Column) -> Column:
+    """A field as the feed would have it; the reader's own quoting."""
+    inner = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    return F.when(text.rlike('[,"\n\r]'), F.concat(F.lit('"'), inner, F.lit('"'))).otherwise(text)
+
+
 def split(df: DataFrame, condition) -> tuple[DataFrame, DataFrame]:
     """Rows that do not meet `condition` (or leave it NULL), and rows that do."""
     hit = F.coalesce(condition, F.lit(False))

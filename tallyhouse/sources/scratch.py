@@ -6,6 +6,7 @@ executor never recomputes a different answer and readers prune columns.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -23,13 +24,14 @@ def _local_dir(application: str) -> str:
 def scratch_dir(spark: SparkSession, slot: str | None = None) -> str:
     """A folder below `spark.checkpoint.dir`: a fresh one, or the one of a slot.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without that setting, the warehouse of the session is the folder all executors
+    share; a session whose executor is the driver itself has a temporary folder.
     """
     base = spark.conf.get(SHARED_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SHARED_DIR} to a folder all executors share")
+    if not base and re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         base = _local_dir(spark.sparkContext.applicationId)
+    elif not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{slot or uuid.uuid4().hex}"
 
 

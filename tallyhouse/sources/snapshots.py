@@ -99,6 +99,7 @@ class SnapshotTable:
         return self._publish(df, lambda live: {}, check)
 
     def append(self, df: DataFrame) -> dict[str, int]:
+        """Add rows; without any, no version is published."""
         return self._publish(df, lambda live: live)
 
     def rewrite(self, df: DataFrame, parts: list[str]) -> dict[str, int]:
@@ -108,6 +109,7 @@ class SnapshotTable:
         )
 
     def _publish(self, df: DataFrame, keep, check: Check = None) -> dict[str, int]:
+        begun, _ = self._newest()
         batch = f"b{uuid.uuid4().hex}"
         rows = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         rows = rows.withColumn("part", F.lit("all") if self.part is None else self.part)
@@ -119,8 +121,12 @@ class SnapshotTable:
         written = self._written(batch)
         if check is not None:
             check(written)
-        version, live = self._newest()
-        live = {p: list(batches) for p, batches in keep(live).items()}
+        version, before = self._newest()
+        if version != begun:
+            raise RuntimeError(f"{self.folder}: version {version} came up while {begun} was written over")
+        live = {p: list(batches) for p, batches in keep(before).items()}
+        if not written and live == before and version:
+            return written
         for part in written:
             live.setdefault(part, []).append(batch)
         pairs = [{"part": p, "batch": b} for p, batches in live.items() for b in batches]
@@ -131,6 +137,53 @@ class SnapshotTable:
         log.write.mode("append").parquet(f"{self.folder}/_versions")
         return written
 
+    # -- upkeep -----------------------------------------------------------
+
+    def compact(self, most_batches: int = 16) -> list[str]:
+        """Rewrite the parts that lie in more than `most_batches` batches; their names."""
+        _, live = self._newest()
+        parts = [p for p, batches in live.items() if len(batches) > most_batches]
+        if parts:
+            self.rewrite(self.read(parts), parts)
+        return parts
+
+    def vacuum(self, keep_versions: int = 1) -> int:
+        """Delete batches that none of the newest `keep_versions` versions lists; their number.
+
+        Files of a version stay until no kept version has them, however old they are.
+        Not to be run beside a write, whose batch is not listed yet.
+        """
+        if keep_versions < 1:
+            raise ValueError("the newest version has to stay")
+        try:
+            log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
+        except AnalysisException as error:
+            if is_missing(error):
+                return 0
+            raise
+        kept = log.orderBy(F.col("version").desc()).limit(keep_versions)
+        listed = {(x.part, x.batch) for row in kept.collect() for x in row.live}
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/part=*/batch=*")
+        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = 0
+        for status in files.globStatus(pattern) or []:
+            path = status.getPath()
+            part = path.getParent().getName().removeprefix("part=")
+            if (part, path.getName().removeprefix("batch=")) not in listed:
+                gone += bool(files.delete(path, True))
+        return gone
+
+    def view_sql(self) -> str:
+        """A SELECT over the files of the newest version, for a view."""
+        _, live = self._newest()
+        names = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema.fields)
+        paths = [f"{self.folder}/part={p}/batch={b}" for p, batches in live.items() for b in batches]
+        if not paths:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema.fields)
+            return f"SELECT {nothing} WHERE false"
+        return " UNION ALL ".join(f"SELECT {names} FROM parquet.`{path}`" for path in paths)
+
     def _written(self, batch: str) -> dict[str, int]:
         """Rows per part of a batch, from the parquet footers."""
         reader = self.spark.read.schema(T.StructType(self.schema.fields + _TAGS))

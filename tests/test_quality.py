@@ -29,10 +29,14 @@ def test_seeded_faults_are_found(spark, tuples):
     wide = fact.selectExpr("*", "1 AS product_key", "DATE '2020-01-01' AS date_key")
     star = {"fact_sales": wide, "dim_customers": customers, "dim_products": goods, "dim_date": days}
     assert tuples(quality.foreign_key_faults(star)) == [("fact_sales", "customer_key", "5", 2)]
-    assert tuples(quality.not_null_faults(tables)) == [
+    found = tuples(quality.not_null_faults(tables))
+    assert [f for f in found if f[2] is not None] == [
         ("dim_customers", "customer_id", 1),
         ("fact_sales", "customer_key", 1),
     ]
+    assert ("fact_sales", "date_key", None) in found and ("dim_customers", "customer_number", None) in found
+    unchecked = tuples(quality.foreign_key_faults({"fact_sales": wide, "dim_customers": customers, "dim_date": days}))
+    assert ("fact_sales", "product_key", None, None) in unchecked and ("fact_sales", "customer_key", "5", 2) in unchecked
     assert quality.unresolved_customers(fact, customers).first()[0] == 3
     assert tuples(quality.current_not_unique(customers, "customer_id")) == [(7, 2)]
     assert tuples(quality.period_faults({"dim_customers": (customers, "customer_key")})) == [
