@@ -8,8 +8,10 @@ again after an edit. Sampling a few places of the walk gives LSH keys; walks rep
 until a pair at the largest allowed distance is found with the target recall, by a
 match rate measured on mutated items. Exact edit distance decides.
 
-Only windows that could pass the exact test at all are walked: each word that no
-item has costs one edit. Documents are scanned whole and in place, without a
+Only windows that could pass the exact test at all are walked. Each word that no
+item has costs one edit. And of any floor(rate * words) + 1 words of an item, one
+is left in place by as many edits, moved by no more: so a window has one of its
+item's rarest words where that puts it. Both lose nothing. Documents are scanned whole and in place, without a
 shuffle. Items go to the tasks in blocks of a bounded number and length.
 """
 
@@ -24,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.llm.textops import mixed
+from tallyhouse.llm.textops import PRIME, mixed
 
 RATE, RECALL, SAMPLED, SEED = 0.2, 0.98, 3, 6
+#: Independent sets of places that one walk is sampled at.
+SETS = 4
 #: Items of one block, which is what a task holds of the benchmark.
 BLOCK_ITEMS = 20_000
 #: Windows walked at once.
@@ -62,26 +66,28 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
 
 class Walk:
-    """One CGK walk for sequences of one length, and the places sampled from it."""
+    """One CGK walk for sequences of one length, and the sets of places sampled from it."""
 
     def __init__(self, length: int, sampled: int, seed: int):
         rng = np.random.default_rng([seed, length, SEED])
         reach = max(1, 2 * length)
-        self.places = np.sort(rng.choice(reach, size=min(sampled, reach), replace=False))
+        self.places = [set(rng.choice(reach, size=min(sampled, reach), replace=False).tolist()) for _ in range(SETS)]
         self.bits = rng.integers(0, 2**63, size=reach, dtype=np.uint64)
 
-    def keys(self, windows: np.ndarray) -> np.ndarray:
-        """Keys of the rows of a matrix of word numbers."""
+    def keys(self, windows: np.ndarray) -> list[np.ndarray]:
+        """For each set of places, the keys of the rows of a matrix of word numbers."""
         n, length = windows.shape
-        flat = np.concatenate([windows.ravel(), np.zeros(1, windows.dtype)]).astype(np.uint64)
-        base, at = np.arange(n) * length, np.zeros(n, dtype=np.int64)
-        out = np.zeros(n, dtype=np.uint64)
+        flat = np.concatenate([windows, np.zeros((n, 1), windows.dtype)], axis=1).ravel().astype(np.uint64)
+        base, at = np.arange(n) * (length + 1), np.zeros(n, dtype=np.int64)
+        out = [np.zeros(n, dtype=np.uint64) for _ in self.places]
         with np.errstate(over="ignore"):
-            for step in range(int(self.places[-1]) + 1):
-                word = np.where(at < length, flat[np.minimum(base + at, n * length)], np.uint64(0))
-                if step in self.places:
-                    out = mixed(out * np.uint64(31) + word + np.uint64(step))
-                at += (mixed(word ^ self.bits[step]) >> np.uint64(63)).astype(np.int64)
+            for step in range(max(map(max, self.places)) + 1):
+                word = flat[base + at]
+                for k, places in enumerate(self.places):
+                    if step in places:
+                        out[k] = mixed(out[k] * np.uint64(31) + word + np.uint64(step))
+                at += ((word ^ self.bits[step]) * PRIME >> np.uint64(63)).astype(np.int64)
+                np.minimum(at, length, out=at)
         return out
 
 
@@ -96,25 +102,65 @@ class Index:
             if words:
                 self.items.setdefault(len(words), []).append((item_id, np.array(words)))
         self.most = {n: math.floor(rate * n) for n in self.items}
-        self.walks: dict[int, list[tuple[Walk, np.ndarray, np.ndarray]]] = {}
+        self.anchored()
+        self.walks: dict[int, list[tuple[Walk, list[tuple[np.ndarray, np.ndarray]]]]] = {}
         for n, group in self.items.items():
             self.walks[n] = self.tables(n, np.stack([w for _, w in group]), recall, sampled)
 
+    def anchored(self) -> None:
+        """The rarest words of each item, one more than it may lose, by word: size and place."""
+        used = np.zeros(len(self.number) + 1, dtype=np.int64)
+        for group in self.items.values():
+            for _, words in group:
+                used[np.unique(words)] += 1
+        length = np.zeros(len(self.number) + 1, dtype=np.int64)
+        length[list(self.number.values())] = [len(w) for w in self.number]
+        rows = set()
+        for n, group in self.items.items():
+            for _, words in group:
+                # few items and many letters: rare in documents too, most likely
+                rare = np.lexsort((-length[words], used[words]))[: self.most[n] + 1]
+                rows.update((int(words[j]), n, int(j)) for j in rare)
+        table = np.array(sorted(rows), dtype=np.int64).reshape(-1, 3)
+        self.anchor_size, self.anchor_place = table[:, 1], table[:, 2]
+        self.anchor_from = np.searchsorted(table[:, 0], np.arange(len(used)))
+        self.anchor_to = np.searchsorted(table[:, 0], np.arange(len(used)), side="right")
+
+    def possible(self, flat: np.ndarray) -> dict[int, np.ndarray]:
+        """By size, the starts of windows that have a rare word of an item in its place."""
+        count = (self.anchor_to - self.anchor_from)[flat]
+        at = np.flatnonzero(count)
+        times = count[at]
+        first = np.repeat(self.anchor_from[flat[at]], times)
+        row = first + np.arange(len(first)) - np.repeat(np.cumsum(times) - times, times)
+        begin, size = np.repeat(at, times) - self.anchor_place[row], self.anchor_size[row]
+        order = np.argsort(size, kind="stable")
+        begin, size = begin[order], size[order]
+        cuts = np.flatnonzero(np.diff(size)) + 1
+        out = {}
+        for starts, sizes in zip(np.split(begin, cuts), np.split(size, cuts)):
+            if len(sizes):
+                most = self.most[int(sizes[0])]
+                near = np.unique(starts)[:, None] + np.arange(-most, most + 1)
+                out[int(sizes[0])] = np.unique(near)
+        return out
+
     def tables(self, n: int, words: np.ndarray, recall: float, sampled: int):
         """Enough walks for the target recall at the largest allowed distance."""
         rng = np.random.default_rng([n, SEED])
         base = words[rng.integers(0, len(words), size=256)]
         changed = np.stack([self.mutated(w, self.most[n], rng) for w in base])
-        walks, missed = [], 1.0
+        met = np.zeros(len(base), dtype=bool)
         tables = []
-        while missed > 1 - recall and len(walks) < 400:
-            walk = Walk(n, sampled, len(walks))
-            walks.append(walk)
-            met = float(np.mean(walk.keys(base) == walk.keys(changed)))
-            missed *= 1 - met
-            keys = walk.keys(words)
-            order = np.argsort(keys, kind="stable")
-            tables.append((walk, keys[order], order))
+        while met.mean() < recall and len(tables) < 400:
+            walk = Walk(n, sampled, len(tables))
+            for a, b in zip(walk.keys(base), walk.keys(changed)):
+                met |= a == b
+            sides = []
+            for keys in walk.keys(words):
+                order = np.argsort(keys, kind="stable")
+                sides.append((keys[order], order))
+            tables.append((walk, sides))
         return tables
 
     def mutated(self, words: np.ndarray, edits: int, rng) -> np.ndarray:
@@ -140,11 +186,11 @@ class Index:
         unknown = np.concatenate([[0], np.cumsum(flat == 0)])
         until = np.repeat(ends, lengths)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for n, group in self.items.items():
-            if len(flat) < n:
-                continue
-            starts = np.flatnonzero(unknown[n:] - unknown[: len(flat) - n + 1] <= self.most[n])
+        for n, starts in self.possible(flat).items():
+            group = self.items[n]
+            starts = starts[(starts >= 0) & (starts + n <= len(flat))]
             starts = starts[starts + n <= until[starts]]
+            starts = starts[unknown[starts + n] - unknown[starts] <= self.most[n]]
             for lo in range(0, len(starts), AT_ONCE):
                 self.walked(n, group, flat, starts[lo : lo + AT_ONCE], ends, lengths, best)
         return [(t, item, start, end, d) for (t, item), (d, start, end) in sorted(best.items())]
@@ -154,12 +200,11 @@ class Index:
             return
         windows = flat[starts[:, None] + np.arange(n)]
         pairs = set()
-        for walk, keys, order in self.walks[n]:
-            found = walk.keys(windows)
-            lo, hi = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-            for k in np.flatnonzero(hi > lo):
-                pairs.update((int(k), int(j)) for j in order[lo[k] : hi[k]])
-        # close windows are compared by position first
+        for walk, sides in self.walks[n]:
+            for found, (keys, order) in zip(walk.keys(windows), sides):
+                lo, hi = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+                for k in np.flatnonzero(hi > lo):
+                    pairs.update((int(k), int(j)) for j in order[lo[k] : hi[k]])
         for k, j in sorted(pairs):
             item_id, words = group[j]
             text = int(np.searchsorted(ends, starts[k], side="right"))
@@ -206,7 +251,7 @@ def leaks(
             for batch in batches:
                 texts = batch.column("text").cast(pa.string()).to_pylist()
                 # a few megabytes of text at a time
-                part = np.cumsum([len(t or "") for t in texts]) // 2_000_000
+                part = np.cumsum([len(t or "") for t in texts]) // 4_000_000
                 found: list[list[dict]] = [[] for _ in texts]
                 for p in np.unique(part):
                     at = np.flatnonzero(part == p)
