@@ -6,6 +6,7 @@ from tallyhouse.llm.chat_format import op3_chat_format
 from tallyhouse.llm.decontamination import op6_decontamination
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
+from tallyhouse.llm.oracles import JACCARD
 from tallyhouse.llm.packing import op9_token_packing
 from tallyhouse.llm.pii import op5_pii_surrogates
 from tallyhouse.llm.quality_rules import op10_quality_rules
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_jaccard_join": JACCARD}
