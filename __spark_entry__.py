@@ -26,6 +26,7 @@ from tallyhouse.operators.keys import assign_keys  # noqa: E402
 from tallyhouse.plans import analytics, explore, gold, quality, reports, silver  # noqa: E402
 from tallyhouse.plans.warehouse import Warehouse  # noqa: E402
 from tallyhouse.sources.catalog import list_columns, list_tables  # noqa: E402
+from tallyhouse.sources.feeds import REJECT  # noqa: E402
 from tallyhouse.sources.scratch import materialize, scratch_dir  # noqa: E402
 from tallyhouse.sources.snapshots import empty_table  # noqa: E402
 
@@ -257,6 +258,31 @@ def table_list(t: Tables) -> DataFrame:
     return listed.select("table_name", "table_type", "table_rows")
 
 
+def layer_tables(t: Tables) -> DataFrame:
+    """The raw layer by name, after a load of all feeds."""
+    warehouse = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW)
+    feeds = t.feeds() | {"crm_sales_details": write_feed(t.bronze_sales_details)}
+    warehouse.load_bronze(feeds)
+    warehouse.register()
+    listed = list_tables(t.spark, list(feeds), with_rows=True, schemas=["bronze"])
+    return listed.select("table_schema", "table_name", "table_rows")
+
+
+def rejected_rows(t: Tables) -> DataFrame:
+    """A feed in which part of the lines has a word for a number: read, set aside, put together again."""
+    raw = t.bronze_sales_details
+    spoiled = F.when(F.col("sls_quantity") % 7 == 3, F.lit("many")).otherwise(F.col("sls_quantity").cast("string"))
+    warehouse = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW)
+    warehouse.load_bronze({"crm_sales_details": write_feed(raw.withColumn("sls_quantity", spoiled))})
+    lines = warehouse.table("bronze", "crm_sales_details").read()
+    fields = F.size(F.split(REJECT, ","))
+    return lines.agg(
+        F.count("*").alias("lines_read"),
+        F.count(REJECT).alias("rejected"),
+        F.count_if((fields == len(raw.columns)) & F.col(REJECT).contains(",many,")).alias("rebuilt"),
+    )
+
+
 STAR_NAMES = ["dim_customers", "dim_products", "fact_sales"]
 LOG_COLUMNS = "log_id procedure_name rows_inserted rows_updated rows_expired status error_message"
 
@@ -362,12 +388,16 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
         ),
         "customer_id",
     ),
+    "dq_layer_tables": layer_tables,
+    "dq_rejected_rows": rejected_rows,
     "dq_primary_key": lambda t: quality.primary_key_faults(star(t)),
     "dq_foreign_key": lambda t: quality.foreign_key_faults(star(t)),
     "dq_not_null": lambda t: quality.not_null_faults(
         {
             "fact_sales": t.stage_sales(),
             "dim_customers": t.bronze_cust_info.select(F.col("cst_id").alias("customer_id")),
+            "dim_products": t.dim_products,
+            "dim_date": star(t)["dim_date"],
         }
     ),
     "dq_bad_dates": lambda t: silver.bad_sales_dates(t.bronze_sales_details),

@@ -401,7 +401,24 @@ BODIES = {
        SELECT 'fact_sales' AS table_name, 'product_key' AS column_name, count(*) - count(product_key) AS null_rows FROM stage_sales
        UNION ALL SELECT 'fact_sales', 'customer_key', count(*) - count(customer_key) FROM stage_sales
        UNION ALL SELECT 'fact_sales', 'date_key', count(*) - count(date_key) FROM stage_sales
-       UNION ALL SELECT 'dim_customers', 'customer_id', count(*) - count(cst_id) FROM bronze_cust_info) WHERE null_rows > 0""",
+       UNION ALL SELECT 'dim_customers', 'customer_id', count(*) - count(cst_id) FROM bronze_cust_info) WHERE null_rows > 0
+       UNION ALL SELECT t, c, CAST(NULL AS BIGINT) FROM (VALUES ('fact_sales', 'dw_insert_date'), ('dim_customers', 'customer_key'),
+          ('dim_customers', 'customer_number'), ('dim_customers', 'scd_start_date'), ('dim_customers', 'scd_is_current'),
+          ('dim_customers', 'dw_insert_date'), ('dim_products', 'scd_start_date'), ('dim_products', 'scd_is_current'),
+          ('dim_products', 'dw_insert_date')) AS absent(t, c)""",
+    "dq_layer_tables": " UNION ALL ".join(
+        f"SELECT 'bronze' AS table_schema, '{t}' AS table_name, count(*) AS table_rows FROM {v}"
+        for t, v in (
+            ("crm_cust_info", "bronze_cust_info"),
+            ("crm_prd_info", "bronze_prd_info"),
+            ("crm_sales_details", "bronze_sales_details"),
+            ("erp_cust_az12", "bronze_erp_cust"),
+            ("erp_loc_a101", "bronze_erp_loc"),
+            ("erp_px_cat_g1v2", "bronze_erp_cat"),
+        )
+    ),
+    "dq_rejected_rows": """SELECT count(*) AS lines_read,
+       count(*) FILTER (sls_quantity % 7 = 3) AS rejected, count(*) FILTER (sls_quantity % 7 = 3) AS rebuilt FROM bronze_sales_details""",
     "dq_bad_dates": " UNION ALL ".join(
         f"SELECT 'sls_{d}_dt' AS column_name, count(*) FILTER (length(CAST(sls_{d}_dt AS VARCHAR)) = 8 AND {d}_day IS NULL) AS bad_rows FROM sales_parsed"
         for d in ("order", "ship", "due")
