@@ -9,9 +9,13 @@ found in a segment tree over the rows' free capacities. Ids travel as binary.
 
 from __future__ import annotations
 
+import base64
 import math
+import sys
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -19,13 +23,57 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.token_counts import VOCABULARY, worker_encoder
+from tallyhouse.llm.token_counts import LOOSE, REMEMBERED, vocabulary_path
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
 CAPACITY, END = 2048, 50256
 #: Text bytes that a shard holds on average; bounds a task's memory.
 SHARD_BYTES = 8_000_000
 
 
+class RankEncoder(dict):
+    """Token ids as bytes from a rank file; special strings are ordinary text.
+
+    A piece never joins a visible character with white space after it, so words with
+    the space before them are encoded on their own and remembered.
+    """
+
+    def __init__(self, path: str, width: int):
+        import public_tokenizers
+        import tiktoken
+
+        super().__init__()
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        coding = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encode, self.kind = coding.encode_ordinary, np.dtype(f"<u{width}")
+        self.code = {2: "H", 4: "I"}[width]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = value = self.direct(" " + word)
+        return value
+
+    def direct(self, text: str) -> bytes:
+        ids = array(self.code, self.encode(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def ids(self, text: str) -> bytes:
+        if LOOSE.search(text):
+            return self.direct(text)
+        first, *rest = text.split(" ")
+        return b"".join([self.direct(first), *map(self.__getitem__, rest)])
+
+
+@cache
+def rank_encoder(vocabulary: str, width: int) -> RankEncoder:
+    """The encoder of a Python worker: its remembered words serve all of the worker's tasks."""
+    return RankEncoder(vocabulary_path(vocabulary), width)
+
+
 class FreeSpace:
     """Rows by free capacity; the tree says which capacities have a row."""
 
@@ -84,9 +132,9 @@ PACKED = (
 )
 
 
-def _segmenting(vocabulary: str, capacity: int, end: int, shards: int):
+def _segmenting(vocabulary: str, capacity: int, end: int, width: int, shards: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = worker_encoder(vocabulary, True)
+        encoder = rank_encoder(vocabulary, width)
         stop = np.array([end], dtype=encoder.kind).tobytes()
         step = capacity * encoder.kind.itemsize
         seen: defaultdict[int, int] = defaultdict(int)
@@ -171,7 +219,7 @@ def pack_tokens(
     )
     size = read.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
-    segments = read.mapInPandas(_segmenting(vocabulary, capacity, end, shards), SEGMENTS)
+    segments = read.mapInPandas(_segmenting(vocabulary, capacity, end, width, shards), SEGMENTS)
     packed = segments.groupBy("shard").applyInPandas(_packing(capacity, end, width), PACKED)
     return packed.withColumn("doc_ids", F.col("doc_ids").cast("array<long>"))
 
