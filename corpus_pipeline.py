@@ -19,7 +19,7 @@ from tallyhouse.sources.scratch import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules(docs, trusted_ids(spark, sf_dir)).where("kept").select(docs.columns)
+    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).where("kept").select(docs.columns)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,9 +3,11 @@
 Word unigrams and bigrams are hashed into `buckets` cells. Two multinomials over
 the cells are counted, one from trusted documents and one from all documents; a
 document's score is the mean log ratio of its n-grams, so length does not count.
-All columns are built-in functions. What leaves the tasks is one row per cell,
-summed before the shuffle, so neither hot sources nor copies matter; the ratios
-come back as one array of `buckets` numbers.
+All columns are built-in functions. With `distinct_texts`, as the query and the
+pipeline ask for, equal texts count once in both multinomials, so copies do not
+move the ratios: texts are shuffled once for that, copies of one task as one row.
+What leaves the counting tasks is one row per cell, summed before the shuffle; the
+ratios come back as one array of `buckets` numbers.
 """
 
 from __future__ import annotations
@@ -87,7 +89,9 @@ def repeated_lines(text: Column) -> Column:
     return let(filled, lambda lines: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows: int) -> DataFrame:
+def log_ratios(
+    docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows: int, distinct_texts: bool = False
+) -> DataFrame:
     """One row, one array: the log ratio of trusted to raw frequency of each cell."""
     chosen = (
         trusted.where("doc_id IS NOT NULL")
@@ -99,6 +103,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows:
     )
     # at most `trusted_rows` ids
     marked = docs.join(F.broadcast(chosen), "doc_id", "left")
+    if distinct_texts:
+        # trusted where one of its copies is
+        marked = marked.groupBy("text").agg(F.max("trusted").alias("trusted"))
     cells = marked.select("trusted", F.explode(ngram_cells(words_of(F.col("text")), buckets)).alias("cell"))
     counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     spark = docs.sparkSession
@@ -124,6 +131,7 @@ def quality_rules(
     buckets: int = BUCKETS,
     trusted_rows: int = TRUSTED_ROWS,
     threshold: float = THRESHOLD,
+    distinct_texts: bool = False,
 ) -> DataFrame:
     """docs with the rule columns, the log ratio `llr` and the verdict `kept`.
 
@@ -132,10 +140,12 @@ def quality_rules(
     have no words: `base_failed`. Equal texts get equal verdicts, repeated rows stay
     repeated, other columns pass through (the added names replace equal ones), and
     an empty table gives no rows. `base_failed`: under 20 words, or over 30 percent
-    of the words inside 8-word windows that repeat within the text.
+    of the words inside 8-word windows that repeat within the text. `distinct_texts`
+    counts equal texts once in the ratios, trusted where one of the copies is; without
+    it every row counts, and a text with very many copies scores low for them.
     """
     read = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ratios = log_ratios(read, trusted, buckets, trusted_rows).scalar()
+    ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts).scalar()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     cells = ngram_cells(words_of(text), buckets)
     llr = let(
@@ -177,4 +187,4 @@ RULE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_w
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return quality_rules(docs, trusted_ids(spark, sf_dir)).select("doc_id", *RULE_COLUMNS)
+    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).select("doc_id", *RULE_COLUMNS)

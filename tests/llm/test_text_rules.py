@@ -9,8 +9,9 @@ from collections import Counter, defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
+from corpus_pipeline import keep_good
 from tallyhouse.llm.mixing import mix_sources
-from tallyhouse.llm.quality_rules import quality_rules
+from tallyhouse.llm.quality_rules import op10_quality_rules, quality_rules
 from tallyhouse.llm.secret_scans import joined, secret_scan
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -117,6 +118,25 @@ def test_quality_equals_python(spark, table, prose, odd_rows):
     assert Counter((r.doc_id, *(r[c] for c in columns), round(r.llr, 9)) for r in got) == want
 
 
+def test_copies_of_a_clean_text_do_not_cost_it_its_place(spark, tmp_path, prose):
+    """A third of the rows are copies of one clean text, labelled or not, through the query and the stage."""
+    usual = prose(20).split()
+    clean = [" ".join(random.Random(k).choices(usual, k=120)) for k in range(60)]
+    junk = [" ".join(random.Random(k).choices(["buy", "click", "#1", "$$", "win"], k=60)) for k in range(20)]
+    for labelled in (False, True):
+        rows = list(enumerate(clean + junk + [clean[0]] * 39))
+        good = [k for k in range(60) if labelled or k]
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/{labelled}/documents.parquet")
+        labels = spark.createDataFrame([(k, 1, 0) for k in good], "doc_id long, quality int, toxic int")
+        labels.write.parquet(f"{tmp_path}/{labelled}/labels.parquet")
+        got = {r.doc_id: r for r in op10_quality_rules(spark, f"{tmp_path}/{labelled}").collect()}
+        once = dict(enumerate(plain_scores(rows[:80], set(good), 16_384)))
+        assert all(round(got[k].llr, 9) == round(once[k], 9) for k in once)
+        assert all(got[k].kept for k in range(80, 119)) and got[0].kept
+        docs = spark.read.parquet(f"{tmp_path}/{labelled}/documents.parquet")
+        assert keep_good(spark, docs, f"{tmp_path}/{labelled}").where("doc_id = 0 OR doc_id >= 80").count() == 40
+
+
 def test_quality_without_trusted_rows_or_documents(spark, table, prose):
     none = spark.createDataFrame([], "doc_id long")
     rows = quality_rules(table([(1, prose(50)), (2, prose(5))]), none).collect()
