@@ -3,10 +3,11 @@
 Fixed patterns find assigned secrets, access keys and hex runs. Wider candidates
 (long mixed tokens) only count as secrets when the corpus says they belong to
 someone: every value's hash is aggregated by distinct repositories and owners, and
-a value that `copied_from` owners or more hold is an example that went around,
-while one of fewer owners is a live-looking credential. The text is read once and
-in place; only hashes and offsets of candidates are shuffled, summed by (value,
-owner, repository) first, so a value that every document holds is one row a task.
+a value that `copied_from` owners or `copied_in` repositories hold is an example
+that went around, while any other is a live-looking credential. Equal texts are one
+repository, or copies of a document would make its own secrets examples. The text
+is read once and in place; only hashes and offsets of candidates are shuffled,
+summed by (value, owner, text) first.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ ADDED = "owned"
 LEAST_DISTINCT = 10
 #: Owners from which on a value counts as an example that was copied around.
 COPIED_FROM = 3
+#: Repositories from which on it does, whoever owns them.
+COPIED_IN = 5
 BLOCK = 256
 
 
@@ -110,14 +113,20 @@ def joined(spans: Column) -> Column:
 
 
 def secret_scan(
-    docs: DataFrame, owner: str = "source", repository: str = "doc_id", copied_from: int = COPIED_FROM
+    docs: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    copied_from: int = COPIED_FROM,
+    copied_in: int = COPIED_IN,
 ) -> DataFrame:
     """One row per row of docs: doc_id, `base` and `added` spans, copied and live counts.
 
     Spans are structs (start, order, end, kind, hash) in code points, end exclusive;
     values leave as SHA-256 only. `base` holds leftmost matches of the fixed
     patterns, none overlapping another of its kind. `added` holds credential-like
-    tokens outside all base spans whose value fewer than `copied_from` owners have.
+    tokens outside all base spans whose value fewer than `copied_from` owners and
+    fewer than `copied_in` repositories have, where a repository counts by the
+    distinct texts it adds: the lesser of distinct repositories and distinct texts.
     `n_copied` and `n_live` count the values of a row by that rule, base spans
     included. NULL text is empty; NULL owners and repositories count as one each;
     equal rows get equal results; an empty table gives no rows.
@@ -151,15 +160,21 @@ def secret_scan(
     each = found.where("size(base) + size(wide) > 0").select(
         "doc_id", "owner", "repository", "text_hash", F.explode(F.concat("base", "wide")).alias("span")
     )
-    places = each.select(F.col("span.hash").alias("hash"), "owner", "repository").distinct()
-    by_owner = places.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    owned = by_owner.groupBy("hash").agg(
-        F.count("*").alias("owners"), F.sum("repositories").alias("repositories")
+    # one row for each text that holds a value, with the least of its repositories
+    texts = each.groupBy(F.col("span.hash").alias("hash"), "text_hash").agg(F.min("repository").alias("repository"))
+    owners = each.select(F.col("span.hash").alias("hash"), "owner").distinct()
+    owned = (
+        owners.groupBy("hash")
+        .agg(F.count("*").alias("owners"))
+        .join(
+            texts.select("hash", "repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories")),
+            "hash",
+        )
     )
     judged = (
         each.withColumn("hash", F.col("span.hash"))
         .join(owned, "hash")
-        .withColumn("live", F.col("owners") < copied_from)
+        .withColumn("live", (F.col("owners") < copied_from) & (F.col("repositories") < copied_in))
         .groupBy("doc_id", "text_hash")
         .agg(
             F.collect_set(F.when(F.col("live") & (F.col("span.kind") == ADDED), F.col("span"))).alias("added"),
