@@ -11,6 +11,7 @@ from tallyhouse.llm.packing import op9_token_packing
 from tallyhouse.llm.pii import op5_pii_surrogates
 from tallyhouse.llm.quality_rules import op10_quality_rules
 from tallyhouse.llm.secret_scans import op1_secret_scans
+from tallyhouse.llm.spelling import op13_spelling_variants
 from tallyhouse.llm.token_counts import op7_token_counts
 from tallyhouse.llm.url_filters import op4_url_filters
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_packing": op9_token_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {"op8_jaccard_join": JACCARD}
