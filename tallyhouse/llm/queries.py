@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from tallyhouse.llm.chat_format import op3_chat_format
+from tallyhouse.llm.collocations import op12_collocations
 from tallyhouse.llm.decontamination import op6_decontamination
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
-from tallyhouse.llm.oracles import JACCARD
+from tallyhouse.llm.oracles import COLLOCATIONS, JACCARD
 from tallyhouse.llm.packing import op9_token_packing
 from tallyhouse.llm.pii import op5_pii_surrogates
 from tallyhouse.llm.quality_rules import op10_quality_rules
@@ -26,7 +27,8 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_packing": op9_token_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_collocations": op12_collocations,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLES = {"op8_jaccard_join": JACCARD}
+ORACLES = {"op8_jaccard_join": JACCARD, "op12_collocations": COLLOCATIONS}
