@@ -6,8 +6,8 @@ bitmap of fixed size and count what passes; a bitmap lets some rare phrases thro
 loses none. A task counts in a trie on word ids: a first word has one hash container of
 the rest, which bursts into a container per second word when it is full. When the trie
 is full, its largest subtrees are spilled whole, as sorted runs. The runs of a first
-word meet in one partition and are merged there; words that hold a large share of all
-are dealt into several partitions by the hash of the rest.
+word meet in one prefix partition and are merged there; first words that hold a large
+share of all are dealt into several by the hash of the rest.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from tallyhouse.llm.textops import PRIME, mixed
 from tallyhouse.sources.scratch import materialize
 
-#: Entries of a container before it bursts, of a trie before it spills; words a task holds at once.
-BURST, FULL, AT_ONCE = 8192, 1_200_000, 1 << 19
+#: Entries of a container before it bursts, of a trie before it spills; bytes of text a task cuts at once.
+BURST, FULL, AT_ONCE = 8192, 1_200_000, 1 << 22
 #: Words whose ids a task remembers before it spills and starts over.
 VOCABULARY = 400_000
 #: Bits of a bitmap of frequent phrases (8 MB); they only decide how many rare ones are counted.
@@ -42,8 +42,9 @@ BREAK, RARE, PAD = -1, -2, -3
 CLEAN = bytes.maketrans(
     b".,;:!?\n\v\f\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 10 + b" abcdefghijklmnopqrstuvwxyz"
 )
-RUNS = "lang string, head string, salt int, tails string, counts array<long>"
-MOST_TAILS = 1 << 16
+RUNS = "bucket int, lang string, phrases string, counts array<long>"
+#: Entries of the runs that are sorted together; rows of a batch of words.
+RUN, ROWS = 400_000, 1 << 16
 
 
 # -- counting in a task ---------------------------------------------------
@@ -147,88 +148,117 @@ def in_bitmap(bitmap: np.ndarray, hashes):
 
 
 class Counting:
-    """Phrases of `length` words of one language within a task."""
+    """Phrases of some lengths in one language within a task.
 
-    def __init__(self, lang: str, length: int, allowed, shorter, full: int, burst: int):
-        self.lang, self.length, self.shorter, self.full = lang, length, shorter, full
+    `shorter` holds the frequent phrases one word shorter than the first of `lengths`.
+    """
+
+    def __init__(self, lang: str, lengths: list[int], allowed, shorter, full: int, burst: int):
+        self.lang, self.lengths, self.shorter, self.full = lang, lengths, shorter, full
         self.allowed, self.burst = allowed, burst
         self.words, self.trie = Vocabulary(lang, allowed), HatTrie(burst)
 
     def add(self, texts: list[str]) -> Iterator[tuple]:
-        ids: list[int] = []
-        for text in texts:
-            raw = text.encode("utf-8", "surrogatepass").translate(CLEAN).replace(b"\n", b" \n ")
+        carried = np.zeros(0, dtype=np.int64)
+        for raw in stretches(texts):
             tokens = raw.split(b" ")
-            # a huge text is cut where windows overlap
-            for a in range(0, len(tokens), AT_ONCE):
-                ids += map(self.words.__getitem__, tokens[a : a + AT_ONCE])
-                if len(ids) >= AT_ONCE:
-                    yield from self._count(ids, last=False)
-            ids.append(BREAK)
+            row = np.fromiter(map(self.words.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+            row = np.concatenate([carried, row[row != PAD]])
+            yield from self._count(row, len(carried))
+            carried = row[-(self.lengths[-1] - 1) :]
             if len(self.words) > VOCABULARY:
-                yield from self._count(ids)
                 yield from self.spilled(0)
+                # the ids of the words carried over are those of the new vocabulary
+                known = self.words.names
                 self.words = Vocabulary(self.lang, self.allowed)
-        yield from self._count(ids)
-
-    def _count(self, ids: list[int], last: bool = True) -> Iterator[tuple]:
-        row = np.array(ids, dtype=np.int64)
-        row = row[row != PAD]
-        ids[:] = [] if last else row[len(row) - self.length + 1 :].tolist()
-        count = len(row) - self.length + 1
-        if count > 0:
-            windows = np.lib.stride_tricks.sliding_window_view(row, self.length)
+                carried = np.array([self.words[known[k]] if k >= 0 else k for k in carried.tolist()], dtype=np.int64)
+
+    def _count(self, row: np.ndarray, carried: int) -> Iterator[tuple]:
+        """Count the windows of `row` that reach beyond its first `carried` words."""
+        if len(row) < self.lengths[0]:
+            return
+        if self.lengths[0] > 2:
+            known = np.array([*self.words.hashes, 0], dtype=np.uint64)
+            width = self.lengths[0] - 1
+            frequent = in_bitmap(self.shorter, phrase_hashes(known[np.maximum(row, -1)], width))
+        for length in self.lengths:
+            if len(row) < length:
+                break
+            windows = np.lib.stride_tricks.sliding_window_view(row, length)
             good = (windows >= 0).all(axis=1)
-            if self.length > 2 and good.any():
-                known = np.array(self.words.hashes, dtype=np.uint64)
-                hashes = np.where(row >= 0, known[np.maximum(row, 0)], np.uint64(0))
-                frequent = in_bitmap(self.shorter, phrase_hashes(hashes, self.length - 1))
-                good &= frequent[:-1] & frequent[1:]
+            good[: max(0, carried - length + 1)] = False
+            if self.lengths[0] > 2:
+                for k in range(length - width + 1):
+                    good &= frequent[k : k + len(good)]
             at = np.flatnonzero(good)
             self.trie.add(row[at], windows[at, 1:])
         if self.trie.entries > self.full:
             yield from self.spilled(self.full // 2)
 
     def spilled(self, down_to: int) -> Iterator[tuple]:
-        """Sorted runs (lang, head, [(tail, n)]) of the subtrees that go."""
+        """(lang, head, [(tail, n)]) of the subtrees that go."""
         names = self.words.names
         for head, items in self.trie.spill(down_to):
-            ids = np.frombuffer(b"".join(t for t, _ in items), dtype=np.int32).reshape(len(items), -1)
-            columns = [[names[k] for k in ids[:, c].tolist()] for c in range(ids.shape[1])]
-            tails = columns[0] if len(columns) == 1 else list(map(b" ".join, zip(*columns)))
-            yield self.lang, names[head], sorted(zip(tails, (n for _, n in items)))
-
-
-def _rows(runs: Iterator[tuple], hot: dict[tuple[str, bytes], int]) -> Iterator[pa.RecordBatch]:
-    """Runs as rows, those of hot words split by the hash of the tail."""
-    out: list[tuple] = []
+            by_size: dict[int, list] = {}
+            for item in items:
+                by_size.setdefault(len(item[0]), []).append(item)
+            for some in by_size.values():
+                ids = np.frombuffer(b"".join(t for t, _ in some), dtype=np.int32).reshape(len(some), -1)
+                columns = [[names[k] for k in ids[:, c].tolist()] for c in range(ids.shape[1])]
+                tails = columns[0] if len(columns) == 1 else list(map(b" ".join, zip(*columns)))
+                yield self.lang, names[head], list(zip(tails, (n for _, n in some)))
+
+
+def stretches(texts: list[str]) -> Iterator[bytes]:
+    """Lower-cased texts with single separators, in stretches of about AT_ONCE bytes that end between words."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = text.encode("utf-8", "surrogatepass").translate(CLEAN).replace(b"\n ", b"\n").replace(b"\n", b" \n ")
+        a = 0
+        while len(raw) - a > AT_ONCE:
+            b = raw.find(b" ", a + AT_ONCE)
+            if b < 0:
+                break
+            held.append(raw[a:b])
+            yield b" ".join(held)
+            held, size, a = [], 0, b + 1
+        held += [raw[a:], b"\n"]
+        size += len(raw) - a
+        if size > AT_ONCE:
+            yield b" ".join(held)
+            held, size = [], 0
+    if held:
+        yield b" ".join(held)
+
+
+def _rows(runs: Iterator[tuple], hot: dict[tuple[str, bytes], int], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Sorted runs by prefix partition: that of the first word, of a hot one also by the hash of the tail."""
+    kinds = {"bucket": pa.int32(), "lang": pa.string(), "phrases": pa.string(), "counts": pa.list_(pa.int64())}
+    parts: dict[tuple[int, str], list[tuple[bytes, int]]] = {}
     held = 0
 
-    def batch() -> pa.RecordBatch:
-        columns = list(zip(*out))
-        kinds = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, type=k) for c, k in zip(columns, kinds)], names=["lang", "head", "salt", "tails", "counts"]
-        )
+    def flushed() -> Iterator[pa.RecordBatch]:
+        for (bucket, lang), items in parts.items():
+            items.sort()
+            phrases, counts = zip(*items)
+            row = (bucket, lang, b"\n".join(phrases).decode(errors="surrogatepass"), counts)
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=k) for v, k in zip(row, kinds.values())], names=list(kinds))
+        parts.clear()
 
     for lang, head, items in runs:
-        salts = hot.get((lang, head), 1)
-        parts = {0: items}
-        if salts > 1:
-            parts = {}
-            for item in items:
-                parts.setdefault(zlib.crc32(item[0]) % salts, []).append(item)
-        for salt, some in parts.items():
-            for a in range(0, len(some), MOST_TAILS):
-                tails, counts = zip(*some[a : a + MOST_TAILS])
-                out.append((lang, head.decode(errors="surrogatepass"), salt, b"\n".join(tails).decode(errors="surrogatepass"), counts))
-                held += len(counts)
-                if held > MOST_TAILS:
-                    yield batch()
-                    out.clear()
-                    held = 0
-    if out:
-        yield batch()
+        salts, first = hot.get((lang, head), 1), zlib.crc32(head)
+        if salts == 1:
+            parts.setdefault((first % buckets, lang), []).extend((head + b" " + tail, n) for tail, n in items)
+        else:
+            for tail, n in items:
+                bucket = (first + zlib.crc32(tail) % salts) % buckets
+                parts.setdefault((bucket, lang), []).append((head + b" " + tail, n))
+        held += len(items)
+        if held > RUN:
+            yield from flushed()
+            held = 0
+    yield from flushed()
 
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
@@ -239,8 +269,8 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]
         yield from groups.items()
 
 
-def _counting(length: int, allowed, shorter, hot, full: int, burst: int):
-    """Count phrases; `allowed` and `shorter` are broadcast bitmaps of words and of phrases one word shorter."""
+def _counting(lengths: list[int], allowed, shorter, hot, buckets: int, full: int, burst: int):
+    """Count phrases; `allowed` and `shorter` are broadcast bitmaps of words and of shorter phrases."""
 
     def runs(batches) -> Iterator[tuple]:
         bitmap = allowed.value
@@ -248,7 +278,7 @@ def _counting(length: int, allowed, shorter, hot, full: int, burst: int):
         langs: dict[str, Counting] = {}
         for lang, texts in _by_lang(batches):
             if lang not in langs:
-                langs[lang] = Counting(lang, length, bitmap, below, full, burst)
+                langs[lang] = Counting(lang, lengths, bitmap, below, full, burst)
             yield from langs[lang].add(texts)
             # all languages of a task share the room
             while sum(c.trie.entries for c in langs.values()) > full:
@@ -261,7 +291,7 @@ def _counting(length: int, allowed, shorter, hot, full: int, burst: int):
             yield from held.spilled(0)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _rows(runs(batches), hot)
+        yield from _rows(runs(batches), hot, buckets)
 
     return work
 
@@ -271,8 +301,8 @@ def _word_counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     def batch(lang: str, counts: Counter) -> Iterator[pa.RecordBatch]:
         counts.pop(b"", None)
-        for a in range(0, len(names := list(counts)), MOST_TAILS):
-            some = names[a : a + MOST_TAILS]
+        for a in range(0, len(names := list(counts)), ROWS):
+            some = names[a : a + ROWS]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([lang] * len(some), type=pa.string()),
@@ -346,21 +376,22 @@ def frequent_phrases(
         for r in words.where(F.col("f") * HOT >= overall).collect()
     }
     allowed = bitmap_of(found[0], bits)
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shorter = None
-    for length in range(2, longest + 1):
-        runs = docs.mapInArrow(_counting(length, allowed, shorter, hot, full, burst), RUNS)
-        # one partition per first word (and salt), whatever the tail
-        entries = runs.repartition("lang", "head", "salt").select(
-            "lang", "head", "salt", F.inline(F.arrays_zip(F.split("tails", "\n").alias("tail"), F.col("counts").alias("c")))
-        )
-        merged = entries.groupBy("lang", "head", "salt", "tail").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-        level = materialize(
-            merged.select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), F.lit(length).alias("words"), "f")
+    # few phrases are left once three words in a row come often, so the rest take one pass
+    for lengths in ([2], [3], list(range(4, longest + 1))):
+        if not lengths or lengths[0] > longest:
+            break
+        runs = docs.mapInArrow(_counting(lengths, allowed, shorter, hot, buckets, full, burst), RUNS)
+        entries = runs.repartition("bucket").select(
+            "bucket", "lang", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("c")))
         )
+        merged = entries.groupBy("bucket", "lang", "phrase").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+        level = materialize(merged.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "f"))
         if level.isEmpty():
             break
         found.append(level)
-        if length < longest:
+        if lengths[-1] < longest:
             shorter = bitmap_of(level, bits)
     return reduce(DataFrame.unionByName, found), totals
 

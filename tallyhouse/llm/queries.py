@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyhouse.llm.chat_format import op3_chat_format
 from tallyhouse.llm.collocations import op12_collocations
 from tallyhouse.llm.decontamination import op6_decontamination
+from tallyhouse.llm.edit_fingerprints import op11_edit_fingerprints
 from tallyhouse.llm.jaccard_join import op8_jaccard_join
 from tallyhouse.llm.mixing import op2_mixing
 from tallyhouse.llm.oracles import COLLOCATIONS, JACCARD
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_packing": op9_token_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_edit_fingerprints": op11_edit_fingerprints,
     "op12_collocations": op12_collocations,
     "op13_spelling_variants": op13_spelling_variants,
 }

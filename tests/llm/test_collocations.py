@@ -80,21 +80,39 @@ def test_windows_of_a_text_in_stretches(monkeypatch):
     rng = random.Random(4)
     words = [rng.choice(["a", "b", "c", ","]) for _ in range(500)]
     whole = np.full(1 << 12, 255, dtype=np.uint8)
-    counting = c.Counting("en", 3, whole, whole, 20, 4)
+    counting = c.Counting("en", [3, 4], whole, whole, 20, 4)
     runs = list(counting.add([" ".join(words), "b a"])) + list(counting.spilled(0))
     got = Counter()
     for _, head, items in runs:
-        assert items == sorted(items)
         for tail, n in items:
             got[(head + b" " + tail).decode()] += n
     pieces = [p.split() for p in " ".join(words).split(",")]
-    assert got == Counter(" ".join(p[i : i + 3]) for p in pieces for i in range(len(p) - 2))
+    assert got == Counter(" ".join(p[i : i + k]) for k in (3, 4) for p in pieces for i in range(len(p) - k + 1))
 
 
 def test_a_hot_first_word_goes_to_several_partitions():
     items = [(b"t%d" % k, k + 1) for k in range(500)]
-    rows = [r for b in c._rows(iter([("en", b"the", items), ("en", b"of", items)]), {("en", b"the"): 8}) for r in b.to_pylist()]
-    assert sorted({r["salt"] for r in rows if r["head"] == "the"}) == list(range(8))
-    for head in ("the", "of"):
-        back = {t: n for r in rows if r["head"] == head for t, n in zip(r["tails"].split("\n"), r["counts"])}
-        assert back == {t.decode(): n for t, n in items}
+    runs = [("en", b"the", items), ("en", b"of", items)]
+    rows = [r for b in c._rows(iter(runs), {("en", b"the"): 8}, 16) for r in b.to_pylist()]
+    back, where = {}, {}
+    for r in rows:
+        assert r["phrases"].split("\n") == sorted(r["phrases"].split("\n"))
+        for phrase, n in zip(r["phrases"].split("\n"), r["counts"]):
+            assert phrase not in back
+            back[phrase] = n
+            where.setdefault(phrase.split()[0], set()).add(r["bucket"])
+    assert back == {f"{h} t{k}": k + 1 for h in ("the", "of") for k in range(500)}
+    assert len(where["the"]) == 8 and len(where["of"]) == 1
+
+
+def test_a_forgotten_vocabulary_loses_nothing(monkeypatch):
+    monkeypatch.setattr(c, "VOCABULARY", 4)
+    monkeypatch.setattr(c, "AT_ONCE", 9)
+    whole = np.full(1 << 12, 255, dtype=np.uint8)
+    words = [random.Random(6).choice("abcdefgh") for _ in range(1)] + [random.Random(k).choice("abcdefgh") for k in range(300)]
+    counting = c.Counting("en", [2], whole, None, 20, 4)
+    got = Counter()
+    for _, head, items in [*counting.add([" ".join(words)]), *counting.spilled(0)]:
+        for tail, n in items:
+            got[(head + b" " + tail).decode()] += n
+    assert got == Counter(map(" ".join, zip(words, words[1:])))
