@@ -241,7 +241,10 @@ def near_words(words: DataFrame, cell_letters: int = CELL_LETTERS, sample: int =
     crowded = {r["size"]: -(-r["words"] * r["size"] // cell_letters) for r in sizes.collect()}
     trees = {}
     if crowded:
-        some = words.where(size.isin(list(crowded))).orderBy(F.xxhash64("word"), "word").limit(sample).select("word")
+        total = words.count()
+        # by hash, so that tasks send the driver no more than it keeps
+        share = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1, sample / total)))
+        some = words.where(size.isin(list(crowded)) & share).select("word").limit(2 * sample)
         drawn = pd.Series([r.word for r in some.collect()])
         for length, part in drawn.groupby(drawn.str.len()):
             trees[int(length)] = cell_tree(letter_counts(codes(list(part))), crowded[int(length)])
