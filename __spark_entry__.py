@@ -96,7 +96,7 @@ class Tables:
         sources = {
             "crm_cust_info": self.bronze_cust_info,
             "crm_prd_info": self.bronze_prd_info,
-            "crm_sales_details": self.bronze_sales_unique,
+            "crm_sales_details": self.bronze_sales_details,
             "erp_cust_az12": self.bronze_erp_cust,
             "erp_loc_a101": self.bronze_erp_loc,
             "erp_px_cat_g1v2": self.bronze_erp_cat,
@@ -202,9 +202,64 @@ def bronze_load(t: Tables) -> DataFrame:
     return warehouse.load("bronze", "crm_sales_details")
 
 
+class Days:
+    """Noon of one day after another, the load times of a warehouse."""
+
+    def __init__(self):
+        self.day = dt.date(2001, 1, 1)
+
+    def __call__(self) -> dt.datetime:
+        return dt.datetime.combine(self.day, dt.time(12), dt.timezone.utc)
+
+
+def deliver(t: Tables, w: Warehouse, days: Days, dim: str, deliveries: list[dict[str, DataFrame]]) -> DataFrame:
+    """A dimension after deliveries on the first of one month after another, by the loads alone."""
+    for month, feeds in enumerate(deliveries, 1):
+        days.day = dt.date(2001, month, 1)
+        w.load_bronze({name: write_feed(df) for name, df in feeds.items()})
+        w.load_silver(list(feeds))
+        w.load_dimensions([dim])
+    return w.load("gold", dim)
+
+
+def customer_deliveries(t: Tables) -> DataFrame:
+    days = Days()
+    w = Warehouse(t.spark, scratch_dir(t.spark), days)
+    deliveries = [
+        {"crm_cust_info": t.bronze_cust_info_day1, "erp_cust_az12": t.bronze_erp_cust, "erp_loc_a101": t.bronze_erp_loc},
+        {"crm_cust_info": t.bronze_cust_info, "erp_loc_a101": t.bronze_erp_loc_day2},
+        {"erp_loc_a101": t.bronze_erp_loc_day3},
+    ]
+    return deliver(t, w, days, "dim_customers", deliveries)
+
+
+def product_deliveries(t: Tables) -> DataFrame:
+    days = Days()
+    w = Warehouse(t.spark, scratch_dir(t.spark), days)
+    deliveries = [
+        {"crm_prd_info": t.bronze_prd_info_day1, "erp_px_cat_g1v2": t.bronze_erp_cat},
+        {"crm_prd_info": t.bronze_prd_info_day2},
+        {"crm_prd_info": t.bronze_prd_info_day3},
+    ]
+    return deliver(t, w, days, "dim_products", deliveries)
+
+
+def two_loads(t: Tables) -> Warehouse:
+    """All feeds, then the sales of a second day merged in by the loads alone."""
+    w = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW)
+    w.load_all(t.feeds() | {"crm_sales_details": write_feed(t.bronze_sales_day1)})
+    w.load_bronze({"crm_sales_details": write_feed(t.bronze_sales_day2)})
+    w.load_silver(["crm_sales_details"])
+    w.load_fact_sales()
+    return w
+
+
 def load_all(t: Tables) -> DataFrame:
     """Feeds to star schema, then the fact with business keys looked up again."""
-    w = t.loaded()
+    return with_business_keys(t.loaded())
+
+
+def with_business_keys(w: Warehouse) -> DataFrame:
     fact = w.load("gold", "fact_sales")
     customers = w.load("gold", "dim_customers").select("customer_key", "customer_id")
     products = w.load("gold", "dim_products").select("product_key", "product_id")
@@ -315,6 +370,13 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
         *gold.FACT_KEYS, *gold.FACT_COMPARE, "order_date", merge.ACTION
     ),
     "gold_load_all": load_all,
+    "gold_second_load": lambda t: with_business_keys(two_loads(t)),
+    "gold_second_dim_customers": lambda t: customer_deliveries(t).select(
+        "customer_id", "first_name", "country", "marital_status", "gender", "birthdate", *HISTORY
+    ),
+    "gold_second_dim_products": lambda t: product_deliveries(t).select(
+        "product_id", "product_number", "category", "cost", "product_line", *HISTORY
+    ),
     # exploration
     "eda_tables": table_list,
     "eda_columns": lambda t: list_columns(t.dim_customers, with_nulls=True),
@@ -379,6 +441,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "dq_load_log_tail": lambda t: quality.log_tail(t.loaded().log.read()).select(
         *LOG_COLUMNS.split()
     ),
+    "dq_load_log_changes": lambda t: two_loads(t).log.read().where("log_id > 16").select(*LOG_COLUMNS.split()),
     "dq_orphan_customers": lambda t: quality.unresolved_customers(
         t.stage_sales(), t.stage_customers().select(F.col("customer_id").alias("customer_key"))
     ),

@@ -90,6 +90,60 @@ SELECT * FROM (SELECT *, CAST(substr(order_number, 3) AS BIGINT) AS order_no FRO
 }
 
 
+def delivered(name: str, day: int, changed: dict[str, str]) -> str:
+    """A layer of one delivery: `changed` names what it leans on and the view of that day."""
+    text = LAYERS[name]
+    for old, new in changed.items():
+        text = re.sub(rf"\b{old}\b" if old[0] != "{" else re.escape(old), new, text)
+    return text
+
+
+for _day in (1, 2):
+    _names = ["sales_parsed", "silver_sales_details", "stage_sales"]
+    _changed = {"{sales}": f"bronze_sales_day{_day}"} | {n: f"{n}_day{_day}" for n in _names}
+    for _name in _names:
+        LAYERS[f"{_name}_day{_day}"] = delivered(_name, _day, _changed)
+    # lines are numbered before orphans go; lines of one order have one customer
+    LAYERS[f"loadable_day{_day}"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_number, product_number ORDER BY order_date NULLS FIRST,
+  shipping_date NULLS FIRST, due_date NULLS FIRST, sales_amount NULLS FIRST, quantity NULLS FIRST, price NULLS FIRST) AS line_number
+FROM stage_sales_day{_day}) WHERE product_key IS NOT NULL AND customer_key IS NOT NULL AND date_key IS NOT NULL
+"""
+LAYERS["second_load"] = """
+SELECT t, s, s.order_number IS NOT NULL AND (t.order_number IS NULL
+         OR (t.sales_amount, t.quantity, t.price) IS DISTINCT FROM (s.sales_amount, s.quantity, s.price)) AS changed
+FROM loadable_day1 AS t FULL JOIN loadable_day2 AS s USING (order_number, product_number, line_number)
+"""
+for _day in (1, 2, 3):
+    _changed = {
+        "bronze_cust_info": f"bronze_cust_info_day{min(_day, 1)}" if _day == 1 else "bronze_cust_info",
+        "bronze_erp_loc": "bronze_erp_loc" if _day == 1 else f"bronze_erp_loc_day{_day}",
+        "bronze_prd_info": f"bronze_prd_info_day{_day}",
+    }
+    for _name in ("silver_cust_info", "silver_erp_loc", "stage_customers", "silver_prd_info", "stage_products"):
+        _changed[_name] = f"{_name}_day{_day}"
+        LAYERS[f"{_name}_day{_day}"] = delivered(_name, _day, _changed)
+
+
+def versions(key: str, tracked: str, shown: str, expires: bool) -> str:
+    """Versions over three deliveries on the first of a month: one starts where a member
+    appears or a tracked column differs, and ends where the next starts or it is no longer sent."""
+    gone = "c.day IS NULL" if expires else "false"
+    return f"""SELECT {shown}, make_date(2001, CAST(a.day AS BIGINT), 1) AS scd_start_date,
+       make_date(2001, CAST(ended AS BIGINT), 1) - 1 AS scd_end_date, ended IS NULL AS scd_is_current
+FROM (
+  SELECT a, (SELECT min(g.day) FROM (SELECT unnest([2, 3]) AS day) AS g
+             LEFT JOIN sent AS c ON c.{key} = a.{key} AND c.day = g.day
+             WHERE g.day > a.day AND ({gone} OR (c.day IS NOT NULL AND ({tracked.replace("@", "c")}) IS DISTINCT FROM ({tracked.replace("@", "a")})))) AS ended
+  FROM sent AS a LEFT JOIN sent AS b ON b.{key} = a.{key} AND b.day = a.day - 1
+  WHERE b.day IS NULL OR ({tracked.replace("@", "a")}) IS DISTINCT FROM ({tracked.replace("@", "b")}))"""
+
+
+def sent(stage: str, body: str) -> str:
+    days = " UNION ALL ".join(f"SELECT {n} AS day, * FROM {stage}_day{n}" for n in (1, 2, 3))
+    return f"SELECT * FROM (WITH sent AS ({days}) {body})"
+
+
 def query(body: str, sales: str = "bronze_sales_details") -> str:
     """`body` with a WITH clause for every view or layer it leans on."""
     known = {n: t.replace("{sales}", sales).strip() for n, t in {**VIEWS, **LAYERS}.items()}
@@ -176,7 +230,7 @@ def log_rows() -> str:
     feeds = {
         "crm_cust_info": ("bronze_cust_info", "silver_cust_info"),
         "crm_prd_info": ("bronze_prd_info", "silver_prd_info"),
-        "crm_sales_details": ("bronze_sales_unique", "silver_sales_details"),
+        "crm_sales_details": ("bronze_sales_details", "silver_sales_details"),
         "erp_cust_az12": ("bronze_erp_cust", "silver_erp_cust"),
         "erp_loc_a101": ("bronze_erp_loc", "silver_erp_loc"),
         "erp_px_cat_g1v2": ("bronze_erp_cat", "bronze_erp_cat"),
@@ -210,6 +264,30 @@ def log_rows() -> str:
     )
 
 
+def change_log() -> str:
+    """The three steps of the second day's sales, after the sixteen of the first load."""
+    bad = " + ".join(
+        f"count(*) FILTER (length(CAST(sls_{d}_dt AS VARCHAR)) = 8 AND {d}_day IS NULL)" for d in ("order", "ship", "due")
+    )
+    lines = "(SELECT count(*) FROM bronze_sales_day2)"
+    orphans = "(SELECT count(*) FROM stage_sales_day2) - (SELECT count(*) FROM loadable_day2)"
+    added, changed = (
+        f"(SELECT count(*) FROM second_load WHERE changed AND t.order_number IS {is_null} NULL)" for is_null in ("", "NOT")
+    )
+    steps = [
+        ("bronze.crm_sales_details", lines, "0", "NULL"),
+        ("silver.crm_sales_details", lines, "0",
+         f"(SELECT if({bad} > 0, 'Dates set to NULL: ' || ({bad}), NULL) FROM sales_parsed_day2)"),
+        ("gold.load_fact_sales", added, changed, f"if({orphans} > 0, 'Orphan rows skipped: ' || ({orphans}), NULL)"),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS log_id, '{name}' AS procedure_name, CAST({rows} AS BIGINT) AS rows_inserted, "
+        f"CAST({updates} AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_expired, 'SUCCESS' AS status, "
+        f"CAST({note} AS VARCHAR) AS error_message"
+        for i, (name, rows, updates, note) in enumerate(steps, 17)
+    )
+
+
 def column_rows() -> str:
     kinds = {
         "customer_key": "bigint",
@@ -277,6 +355,17 @@ BODIES = {
     "gold_load_all": """SELECT order_number, product_number, CAST(customer_key AS BIGINT) AS customer_id,
        CAST(product_key AS BIGINT) AS product_id, date_key, order_date, CAST(sales_amount AS DOUBLE) AS sales_amount,
        CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price FROM loadable""",
+    "gold_second_load": """SELECT order_number, product_number, CAST(row.customer_key AS BIGINT) AS customer_id,
+       CAST(row.product_key AS BIGINT) AS product_id, row.date_key, row.order_date, CAST(row.sales_amount AS DOUBLE) AS sales_amount,
+       CAST(row.quantity AS BIGINT) AS quantity, CAST(row.price AS DOUBLE) AS price
+       FROM (SELECT coalesce(t.order_number, s.order_number) AS order_number, coalesce(t.product_number, s.product_number) AS product_number,
+                    CASE WHEN changed THEN s ELSE t END AS row FROM second_load)""",
+    "gold_second_dim_customers": sent("stage_customers", versions(
+        "customer_id", "@.country, @.marital_status, @.gender",
+        "CAST(a.customer_id AS BIGINT) AS customer_id, a.first_name, a.country, a.marital_status, a.gender, a.birthdate", False)),
+    "gold_second_dim_products": sent("stage_products", versions(
+        "product_id", "@.product_name, @.cost, @.product_line, @.category, @.subcategory",
+        "CAST(a.product_id AS BIGINT) AS product_id, a.product_number, a.category, CAST(a.cost AS DOUBLE) AS cost, a.product_line", True)),
     # exploration
     "eda_tables": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'VIEW' AS table_type, count(*) AS table_rows FROM {t}"
@@ -386,6 +475,7 @@ BODIES = {
        UNION ALL SELECT 'dim_products', count(*) FROM dim_products
        UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales""",
     "dq_load_log_tail": log_rows(),
+    "dq_load_log_changes": change_log(),
     "dq_orphan_customers": "SELECT count(*) AS unresolved_customers FROM stage_sales WHERE customer_key IS NULL",
     "dq_scd_current_unique": """SELECT CAST(cst_id AS BIGINT) AS customer_id, count(*) AS cnt FROM bronze_cust_info
        GROUP BY cst_id HAVING count(*) > 1""",
@@ -427,7 +517,7 @@ BODIES = {
        false AS scd_is_current FROM dim_customers WHERE customer_key % 10 = 0 AND customer_key % 97 <> 1""",
 }
 
-UNIQUE_SALES = {"gold_surrogate_keys", "gold_fact_merge", "gold_load_all", "dq_load_log_tail"}
+UNIQUE_SALES = {"gold_surrogate_keys", "gold_fact_merge"}
 
 
 def oracle() -> dict[str, str]:

@@ -1,4 +1,4 @@
-"""Row operators: keep the latest row, next value in a group, unique-key guard."""
+"""Row operators: keep the latest row, next value and number in a group, unique-key guard."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Salts where the session has fewer shuffle partitions.
-SALTS = 32
-
+from ..sources.scratch import materialize
 
 def keep_latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the greatest `order` per key; ties fall to the greatest full row.
@@ -23,34 +21,66 @@ def keep_latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return numbered.filter("_nth = 1").drop("_nth")
 
 
-def next_in_group(
-    df: DataFrame, keys: list[str], order: str, name: str, salts: int | None = None
-) -> DataFrame:
+def pieces(df: DataFrame, keys: list[str], order: list[str], name: str = "_piece") -> DataFrame:
+    """Deal `df` into ranges of (keys, order) and add `name`, the struct of the keys and the range.
+
+    A key with many rows lies in many pieces, each no larger than a task, and the
+    pieces of a key follow each other in `order`. Rows that tie in it are spread by a
+    hash of the rest. The result is written once, as its ranges must not change
+    between readers. The keys are in a struct, as they may be NULL and still match.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    tie = F.xxhash64(*rest) if rest else F.lit(0).cast("bigint")
+    ranged = df.withColumn("_tie", tie).repartitionByRange(*keys, *order, "_tie")
+    dealt = ranged.withColumn(name, F.struct(*keys, F.spark_partition_id().alias("_range")))
+    return materialize(dealt)
+
+
+def next_in_group(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
     """Add `name`: the `order` value of the following row of the same key.
 
-    A key may hold any share of the rows, so no window ever spans a whole key.
-    Rows are windowed within one value of `order` and one salt; only the distinct
-    (key, order, salt) steps are put in sequence per key. Rows and steps meet on
-    the partitioning of the first window. The step is a struct, as its fields may
-    be NULL and still have to match.
+    A key may hold any share of the rows, so no window ever spans a whole key. Rows
+    are windowed within a piece, and only the first `order` value of each piece is
+    put in sequence per key: as many rows as the key has pieces, however many
+    distinct values it has. The two meet on the partitioning of the first window.
     """
-    salts = salts or max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = pieces(df, keys, [order])
     rest = [c for c in df.columns if c not in (*keys, order)]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)) if rest else F.lit(0)
-    rows = df.withColumn("_step", F.struct(*keys, order, salt.alias("_salt")))
-
-    within = Window.partitionBy("_step").orderBy(*(rest or [order]))
-    marked = rows.withColumn("_more", F.lead(F.lit(True)).over(within))
+    inside = Window.partitionBy("_piece").orderBy(order, "_tie", *rest)
+    marked = dealt.withColumns({"_near": F.lead(order).over(inside), "_more": F.lead(F.lit(True)).over(inside)})
 
-    along = Window.partitionBy(*[f"_step.{k}" for k in keys]).orderBy(
-        f"_step.{order}", "_step._salt"
+    along = Window.partitionBy(*[f"_piece.{k}" for k in keys]).orderBy("_piece._range")
+    firsts = dealt.groupBy("_piece").agg(
+        F.min(order).alias("_first"), F.count_if(F.col(order).isNull()).alias("_nulls")
     )
-    steps = rows.select("_step").distinct()
-    steps = steps.withColumn("_far", F.lead(f"_step.{order}").over(along))
+    # NULL sorts first, so a piece that holds one starts with it
+    firsts = firsts.withColumn("_first", F.when(F.col("_nulls") == 0, F.col("_first")))
+    carried = firsts.select("_piece", F.lead("_first").over(along).alias("_far"))
 
-    # rows of one step share their `order` value, so all but the last are followed by it
-    following = F.when(F.col("_more"), F.col(order)).otherwise(F.col("_far")).alias(name)
-    return marked.join(steps, "_step", "left").select(*df.columns, following)
+    following = F.when(F.col("_more"), F.col("_near")).otherwise(F.col("_far")).alias(name)
+    return marked.join(carried, "_piece", "left").select(*df.columns, following)
+
+
+def number_in_group(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Add `name`: 1, 2, … along `order` (NULL first) among the rows of a key.
+
+    Most keys have one row: only those of repeated keys are dealt into pieces, numbered
+    inside each and moved on by the rows of the pieces before it. `df` is read twice.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1").select(F.struct(*keys).alias("_key"))
+    held = df.withColumn("_key", F.struct(*keys))
+    alone = held.join(repeated, "_key", "left_anti").select(*df.columns, F.lit(1).cast("int").alias(name))
+    dealt = pieces(held.join(repeated, "_key", "left_semi").select(*df.columns), keys, order)
+    inside = Window.partitionBy("_piece").orderBy(*order, "_tie")
+    before = Window.partitionBy(*[f"_piece.{k}" for k in keys]).orderBy("_piece._range").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = dealt.groupBy("_piece").agg(F.count("*").alias("_rows")).select(
+        "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+    )
+    numbered = dealt.withColumn("_nth", F.row_number().over(inside)).join(starts, "_piece")
+    number = (F.col("_start") + F.col("_nth")).cast("int").alias(name)
+    return alone.unionByName(numbered.select(*df.columns, number))
 
 
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns
 from ..functions.values import UNKNOWN, blank_to_null, unknown_to_null
 from ..operators.merge import missing_rows
+from ..operators.rows import number_in_group
 from ..schemas import MONEY
 from ..sources.feeds import split
 
@@ -18,6 +19,7 @@ CALENDAR_START, CALENDAR_END = dt.date(2000, 1, 1), dt.date(2030, 12, 31)
 CUSTOMER_TRACKED = ["country", "marital_status", "gender"]
 PRODUCT_TRACKED = ["product_name", "cost", "product_line", "category", "subcategory"]
 FACT_KEYS = ["order_number", "product_number"]
+LINE = "line_number"
 FACT_COMPARE = ["sales_amount", "quantity", "price"]
 FACT_SET = [
     "product_key",
@@ -100,8 +102,14 @@ def stage_products(prd_info: DataFrame, erp_cat: DataFrame) -> DataFrame:
     )
 
 
+def number_lines(sales: DataFrame) -> DataFrame:
+    """Cleaned order lines with a number among the lines of one product in one order."""
+    order = ["sls_order_dt", "sls_ship_dt", "sls_due_dt", "sls_sales", "sls_quantity", "sls_price", "sls_cust_id"]
+    return number_in_group(sales, ["sls_ord_num", "sls_prd_key"], order, LINE)
+
+
 def stage_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order lines with the keys of the open dimension versions.
+    """Order lines with the keys of the open dimension versions; line numbers are kept.
 
     The open versions are picked before the join, so only four narrow columns of
     the dimensions travel; Spark broadcasts them when their size allows and
@@ -115,6 +123,7 @@ def stage_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) ->
     return joined.select(
         F.col("sls_ord_num").alias("order_number"),
         F.col("sls_prd_key").alias("product_number"),
+        *[c for c in sales.columns if c == LINE],
         "product_key",
         "customer_key",
         F.coalesce(*SALES_DATE_ORDER).alias("date_key"),

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,14 +22,24 @@ from .runlog import Outcome, RunLog, utc_now
 
 CURRENT, PAST = "current", "past"
 ACCEPTED, REJECTED = "accepted", "rejected"
+BUSINESS_KEYS = {"dim_customers": "customer_id", "dim_products": "product_id"}
+#: Key buckets of the fact (in each year) and of the open versions of a dimension.
+BUCKETS = 8
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.lpad(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"), len(str(buckets - 1)), "0")
 
 
 class Warehouse:
     """Tables of the three layers below one folder.
 
     `clock` gives the load time; its date is the day a version starts. `fact_keys`
-    are the columns that name a row of the fact: order number and product unless
-    the orders of a source repeat a product.
+    are the columns that name a row of the fact: order number, product and number of
+    the line among them. The fact lies in parts by year and key bucket, open dimension
+    versions in parts by key bucket; a load rewrites the buckets of changed rows only,
+    so their numbers set what one changed row costs: take as many as keep a part at a
+    few files.
     """
 
     def __init__(
@@ -38,18 +48,25 @@ class Warehouse:
         root: str,
         clock: Callable[[], dt.datetime] = utc_now,
         fact_keys: list[str] | None = None,
+        fact_buckets: int = BUCKETS,
+        dim_buckets: int = BUCKETS,
     ):
-        self.spark, self.clock, self.fact_keys = spark, clock, fact_keys or gold.FACT_KEYS
+        self.spark, self.clock = spark, clock
+        self.fact_keys = fact_keys or [*gold.FACT_KEYS, gold.LINE]
+        self.fact_bucket = bucket_of(self.fact_keys, fact_buckets)
         # scratch tables of this object; two writers never share them
         self.slot = f"tallyhouse-{uuid.uuid4().hex}"
         self.log = RunLog(spark, f"{root.rstrip('/')}/gold/dw_load_log", clock)
-        versions = F.when(F.col("scd_is_current"), CURRENT).otherwise(PAST)
         accepted = F.when(F.col(REJECT).isNull(), ACCEPTED).otherwise(REJECTED)
+        self.open_part = {
+            name: F.concat(F.lit(f"{CURRENT}."), bucket_of([key], dim_buckets))
+            for name, key in BUSINESS_KEYS.items()
+        }
         parts = {
-            "dim_customers": versions,
-            "dim_products": versions,
-            "fact_sales": F.year("date_key").cast("string"),
+            name: F.when(F.col("scd_is_current"), part).otherwise(PAST) for name, part in self.open_part.items()
         }
+        parts["fact_sales"] = F.concat_ws(".", F.year("date_key"), self.fact_bucket)
+        orders = {"fact_sales": self.fact_keys}
         self.tables: dict[tuple[str, str], SnapshotTable] = {}
         for layer, layout in schemas.LAYERS.items():
             for name, schema in layout.items():
@@ -61,7 +78,7 @@ class Warehouse:
                     table = SnapshotTable(spark, folder, raw, accepted)
                 else:
                     part = parts.get(name)
-                    table = SnapshotTable(spark, folder, schema, part, part is not None)
+                    table = SnapshotTable(spark, folder, schema, part, part is not None, orders.get(name))
                 self.tables[layer, name] = table
 
     def table(self, layer: str, name: str) -> SnapshotTable:
@@ -139,13 +156,14 @@ class Warehouse:
 
     # -- silver -----------------------------------------------------------
 
-    def load_silver(self) -> None:
-        """Full refresh of the cleaned tables."""
+    def load_silver(self, only: list[str] | None = None) -> None:
+        """Full refresh of the cleaned tables, or of some."""
         now = self.clock()
         self.log.run(
             {
                 f"silver.{name}": lambda n=name, c=clean: self._refresh(n, c, now)
                 for name, clean in self._cleaning(now.date()).items()
+                if only is None or name in only
             }
         )
 
@@ -184,15 +202,14 @@ class Warehouse:
         table = self.table("gold", "dim_date")
         return sum(table.append(merge.missing_rows(table.read(), calendar, ["date_key"])).values())
 
-    def load_dimensions(self) -> None:
-        """Customers and products; products missing from the source are expired."""
+    def load_dimensions(self, only: list[str] | None = None) -> None:
+        """Customers and products, or one of them; products missing from the source are expired."""
         now = self.clock()
-        self.log.run(
-            {
-                "gold.load_dim_customers": lambda: self._load_customers(now),
-                "gold.load_dim_products": lambda: self._load_products(now),
-            }
-        )
+        steps = {
+            "dim_customers": lambda: self._load_customers(now),
+            "dim_products": lambda: self._load_products(now),
+        }
+        self.log.run({f"gold.load_{n}": step for n, step in steps.items() if only is None or n in only})
 
     def _load_customers(self, now: dt.datetime) -> Outcome:
         stage = gold.stage_customers(
@@ -200,26 +217,23 @@ class Warehouse:
             self.load("silver", "erp_cust_az12"),
             self.load("silver", "erp_loc_a101"),
         )
-        return self._apply_history(
-            "dim_customers", stage, "customer_id", gold.CUSTOMER_TRACKED, "customer_key", False, now
-        )
+        return self._apply_history("dim_customers", stage, gold.CUSTOMER_TRACKED, "customer_key", False, now)
 
     def _load_products(self, now: dt.datetime) -> Outcome:
         stage = gold.stage_products(
             self.load("silver", "crm_prd_info"), self.load("silver", "erp_px_cat_g1v2")
         )
-        return self._apply_history(
-            "dim_products", stage, "product_id", gold.PRODUCT_TRACKED, "product_key", True, now
-        )
+        return self._apply_history("dim_products", stage, gold.PRODUCT_TRACKED, "product_key", True, now)
 
-    def _apply_history(
-        self, name, stage, business_key, tracked, key, expire_missing, now
-    ) -> Outcome:
-        """Join once, write only what moved: past versions are appended to, never rewritten."""
-        table = self.table("gold", name)
-        current = table.read([CURRENT])
+    def _apply_history(self, name, stage, tracked, key, expire_missing, now) -> Outcome:
+        """Join once, write only what moved.
+
+        Past versions are appended to. Of the open ones, the buckets that an expired
+        version leaves are rewritten; new versions add files to theirs.
+        """
+        table, business_key = self.table("gold", name), BUSINESS_KEYS[name]
         changes = history.scd2_changes(
-            current, stage, business_key, tracked, key, now.date(), now, expire_missing
+            table.read([CURRENT]), stage, business_key, tracked, key, now.date(), now, expire_missing
         )
         moved = materialize(
             changes.filter(F.col(history.ACTION) != history.KEEP), f"{self.slot}/{name}-moved"
@@ -232,12 +246,14 @@ class Warehouse:
         added = assign_keys(
             moved.filter(F.col(history.ACTION) == history.INSERT), key, [business_key], last_key
         )
-        kept = current.join(expired.select(key), key, "left_anti")
+        left = expired.select(self.open_part[name].alias("part")).distinct()
+        touched = [r.part for r in left.collect()]  # buckets
+        kept = table.read(touched).join(expired.select(key), key, "left_anti")
         columns = table.schema.names
         rows = kept.select(*columns).unionByName(expired.select(*columns)).unionByName(
             added.select(*columns)
         )
-        table.rewrite(rows, [CURRENT])
+        table.rewrite(rows, touched)
         return Outcome(
             inserted=counts.get(history.INSERT, 0), expired=counts.get(history.EXPIRE, 0)
         )
@@ -249,7 +265,7 @@ class Warehouse:
         now = self.clock()
         stage = materialize(
             gold.stage_sales(
-                self.load("silver", "crm_sales_details"),
+                gold.number_lines(self.load("silver", "crm_sales_details")),
                 self.table("gold", "dim_products").read([CURRENT]),
                 self.table("gold", "dim_customers").read([CURRENT]),
             ),
@@ -263,7 +279,7 @@ class Warehouse:
         table = self.table("gold", "fact_sales")
         delta = materialize(
             merge.merge_delta(
-                table.read(),
+                self._reachable(table, sales),
                 sales.withColumn("dw_insert_date", F.lit(now)),
                 self.fact_keys,
                 gold.FACT_COMPARE,
@@ -274,9 +290,9 @@ class Warehouse:
         )
         counts = history.action_counts(delta, merge.ACTION)
         if counts:
-            # years an updated row leaves are rewritten; new rows only add files
+            # parts an updated row leaves are rewritten; new rows only add files
             updates = delta.filter(F.col(merge.ACTION) == merge.UPDATE)
-            touched = [r[0] for r in updates.select("_old_part").distinct().collect()]  # years
+            touched = [r[0] for r in updates.select("_old_part").distinct().collect()]  # years and buckets
             stay = table.read(touched).join(
                 updates.select(*self.fact_keys), self.fact_keys, "left_anti"
             )
@@ -287,6 +303,16 @@ class Warehouse:
             message=f"Orphan rows skipped: {skipped}" if skipped else None,
         )
 
+    def _reachable(self, table: SnapshotTable, sales: DataFrame) -> DataFrame:
+        """The rows of the fact that staged sales can match: their buckets and range of order numbers."""
+        by = self.fact_keys[0]
+        ends = sales.agg(
+            F.collect_set(self.fact_bucket).alias("buckets"), F.min(by).alias("lo"), F.max(by).alias("hi")
+        ).first()
+        parts = [p for p in table.parts() if p.split(".")[-1] in ends.buckets]
+        rows = table.read(parts)
+        return rows.where(F.col(by).between(ends.lo, ends.hi)) if parts else rows
+
     def load_gold(
         self, start: dt.date = gold.CALENDAR_START, end: dt.date = gold.CALENDAR_END
     ) -> None:

@@ -128,10 +128,11 @@ GOLD = {
         + [_text("day_name", 10)]
         + _flag("is_weekend is_holiday")
     ),
-    # product_number is kept beside the surrogate key: with the order number
-    # it is the merge key, as one order has many lines.
+    # product_number is kept beside the surrogate key: with the order number and
+    # the number of the line among those of one product it is the merge key.
     "fact_sales": T.StructType(
         [_text("order_number"), _text("product_number")]
+        + _int("line_number")
         + _big("product_key customer_key")
         + _date("date_key order_date shipping_date due_date")
         + _money("sales_amount")
@@ -154,7 +155,7 @@ PRIMARY_KEYS = {
     "dim_customers": ["customer_key"],
     "dim_products": ["product_key"],
     "dim_date": ["date_key"],
-    "fact_sales": ["order_number", "product_number"],
+    "fact_sales": ["order_number", "product_number", "line_number"],
     "dw_load_log": ["log_id"],
 }
 

@@ -42,8 +42,10 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 class SnapshotTable:
     """`part` is the column expression a row is filed under, none for one part.
 
-    `balance` redistributes rows before a write so that each part gets few,
-    evenly sized files: Spark splits large parts and merges small ones.
+    A part name may have a second half after a dot, `2013.07`; `2013` then names
+    all of them. `balance` redistributes rows before a write so that each part gets
+    few, evenly sized files: Spark splits large parts and merges small ones. Files
+    are sorted by `order`, so that readers skip row groups by its ranges.
     """
 
     def __init__(
@@ -53,9 +55,10 @@ class SnapshotTable:
         schema: T.StructType,
         part: Column | None = None,
         balance: bool = False,
+        order: list[str] | None = None,
     ):
         self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
-        self.part, self.balance = part, balance
+        self.part, self.balance, self.order = part, balance, order or []
 
     # -- reading ----------------------------------------------------------
 
@@ -65,7 +68,7 @@ class SnapshotTable:
         paths = [
             f"{self.folder}/part={p}/batch={b}"
             for p, batches in live.items()
-            if parts is None or p in parts
+            if parts is None or p in parts or p.split(".")[0] in parts
             for b in batches
         ]
         if not paths:
@@ -73,6 +76,10 @@ class SnapshotTable:
         reader = self.spark.read.schema(T.StructType(self.schema.fields + _TAGS))
         return reader.option("basePath", self.folder).parquet(*paths).select(*self.schema.names)
 
+    def parts(self) -> list[str]:
+        """The parts of the newest version."""
+        return sorted(self._newest()[1])
+
     def version(self) -> int:
         return self._newest()[0]
 
@@ -115,6 +122,8 @@ class SnapshotTable:
         rows = rows.withColumn("part", F.lit("all") if self.part is None else self.part)
         if self.balance:
             rows = rows.hint("rebalance", "part")
+        if self.order:
+            rows = rows.sortWithinPartitions("part", *self.order)
         rows = rows.withColumn("batch", F.lit(batch))
         rows.write.mode("append").partitionBy("part", "batch").parquet(self.folder)
 

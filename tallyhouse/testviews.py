@@ -116,7 +116,43 @@ SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN 'AC_HE' WHEN 1 THEN 'BI_RB' ELSE
        CASE p_partkey % 3 WHEN 2 THEN 'No' ELSE 'Yes' END AS maintenance
 FROM part
 """,
-    # one row per order and product, as the merge key needs
+    # deliveries on several days: lines come late, change or are no longer sent
+    "bronze_sales_day1": """
+SELECT * FROM bronze_sales_details WHERE CAST(substring(sls_ord_num, 3) AS BIGINT) % 29 <> 3
+""",
+    "bronze_sales_day2": """
+SELECT sls_ord_num, sls_prd_key, sls_cust_id,
+       CASE WHEN CAST(substring(sls_ord_num, 3) AS BIGINT) % 11 = 0 THEN sls_ship_dt ELSE sls_order_dt END AS sls_order_dt,
+       sls_ship_dt, sls_due_dt, sls_sales,
+       CASE WHEN CAST(substring(sls_ord_num, 3) AS BIGINT) % 7 = 0 THEN sls_quantity + 1 ELSE sls_quantity END AS sls_quantity,
+       sls_price
+FROM bronze_sales_details WHERE CAST(substring(sls_ord_num, 3) AS BIGINT) % 31 <> 5
+""",
+    # customers: some are new on the second day, some move there and part of these back again
+    "bronze_cust_info_day1": """
+SELECT * FROM bronze_cust_info WHERE cst_id IS NULL OR cst_id % 97 <> 1
+""",
+    "bronze_erp_loc_day2": """
+SELECT cid, CASE WHEN CAST(right(cid, 4) AS INT) % 10 = 0 THEN 'Iceland' ELSE cntry END AS cntry FROM bronze_erp_loc
+""",
+    "bronze_erp_loc_day3": """
+SELECT cid, CASE WHEN CAST(right(cid, 4) AS INT) % 20 = 10 THEN 'Iceland' ELSE cntry END AS cntry FROM bronze_erp_loc
+""",
+    # products: some are new, some vanish on the second day and come back, some cost more from then on
+    "bronze_prd_info_day1": """
+SELECT * FROM bronze_prd_info WHERE floor(prd_id / 10) % 97 <> 1
+""",
+    "bronze_prd_info_day2": """
+SELECT prd_id, prd_key, prd_nm, CASE WHEN floor(prd_id / 10) % 10 = 0 THEN prd_cost + 7 ELSE prd_cost END AS prd_cost,
+       prd_line, prd_start_dt, prd_end_dt
+FROM bronze_prd_info WHERE floor(prd_id / 10) % 89 <> 3
+""",
+    "bronze_prd_info_day3": """
+SELECT prd_id, prd_key, prd_nm, CASE WHEN floor(prd_id / 10) % 10 = 0 THEN prd_cost + 7 ELSE prd_cost END AS prd_cost,
+       prd_line, prd_start_dt, prd_end_dt
+FROM bronze_prd_info
+""",
+    # one row per order and product
     "bronze_sales_unique": """
 SELECT sls_ord_num, sls_prd_key, min(sls_cust_id) AS sls_cust_id, max(sls_order_dt) AS sls_order_dt,
        max(sls_ship_dt) AS sls_ship_dt, max(sls_due_dt) AS sls_due_dt, max(sls_sales) AS sls_sales,

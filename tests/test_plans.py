@@ -13,7 +13,8 @@ from tallyhouse.plans import gold
 
 # queries that load tables while they are built, so their last plan is a mere scan
 LOADS = {"bronze_load", "gold_load_all", "dq_load_log_tail", "dq_scd_ranges"}
-LOADS |= {"gold_scd_customers", "gold_scd_products"}
+LOADS |= {"gold_scd_customers", "gold_scd_products", "gold_second_load", "dq_load_log_changes"}
+LOADS |= {"gold_second_dim_customers", "gold_second_dim_products"}
 LAZY = [k for k in entry.PLANS if k not in LOADS]
 
 # broadcasts of at most k rows, or of one row per key bucket

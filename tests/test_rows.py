@@ -3,10 +3,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys
-from tallyhouse.operators.rows import keep_latest, next_in_group, require_unique
+from tallyhouse.operators.rows import keep_latest, next_in_group, number_in_group, pieces, require_unique
 
 
 def hot_rows(count, seed, distinct_days=9):
@@ -54,13 +55,44 @@ def test_next_in_group_matches_a_plain_window(spark, seed):
     assert got == want
 
 
-def test_next_in_group_windows_never_span_a_key(spark):
+def test_a_key_of_a_million_dates_is_dealt_into_even_pieces(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = F.col("id")
+        days = spark.range(1_000_000).select(
+            F.when(n % 10 == 0, F.concat(F.lit("k"), n % 1000)).otherwise("hot").alias("k"), (n * 7 % 1_000_003).alias("d")
+        )
+        sizes = sorted(r["count"] for r in pieces(days, ["k"], ["d"]).groupBy("_piece._range").count().collect())
+        assert len(sizes) == 3 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        found = next_in_group(days, ["k"], "d", "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    plain = days.withColumn("n", F.lead("d").over(Window.partitionBy("k").orderBy("d")))
+    assert found.exceptAll(plain).isEmpty() and found.count() == 1_000_000
+
+
+def test_the_window_over_the_bare_key_sees_one_row_a_piece(spark):
     df = spark.createDataFrame([("a", 1, 1)], "k string, d int, v int")
     plan = next_in_group(df, ["k"], "d", "n")._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [lead" in line]
-    assert len(windows) == 2
-    # the window over the bare key sits on the distinct steps
-    assert "Aggregate" in plan
+    assert len(windows) == 2 and "Aggregate" in plan
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_number_in_group_matches_sorting(spark, seed):
+    rows = hot_rows(600, seed) + [("once", None, 1), (None, dt.date(2021, 1, 1), 5)]
+    df = spark.createDataFrame(rows, "k string, d date, v int").repartition(5)
+    got = number_in_group(df, ["k"], ["d", "v"], "nth")
+    assert got.columns == ["k", "d", "v", "nth"]
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[0]].append(row)
+    want = Counter()
+    for group in groups.values():
+        group.sort(key=lambda r: (r[1] is not None, r[1] or dt.date.min, r[2]))
+        want.update((*row, nth) for nth, row in enumerate(group, 1))
+    assert Counter(map(tuple, got.collect())) == want
 
 
 def test_require_unique(spark):
