@@ -340,8 +340,8 @@ BODIES = {
     "gold_date_backfill": f"""SELECT {day_columns('day')} FROM (
        {DAYS} FROM (SELECT min(order_date) AS lo, max(order_date) AS hi FROM fact_sales)
        UNION SELECT CAST(shipping_date AS TIMESTAMP) FROM fact_sales WHERE shipping_date IS NOT NULL)""",
-    "gold_surrogate_keys": """SELECT count(*) AS rows_keyed, count(*) AS distinct_keys, CAST(101 AS BIGINT) AS lowest_key,
-       count(*) + 100 AS highest_key FROM bronze_sales_unique""",
+    "gold_surrogate_keys": """SELECT sls_ord_num, sls_prd_key,
+       row_number() OVER (ORDER BY sls_ord_num, sls_prd_key) + 100 AS sale_key FROM bronze_sales_unique""",
     "gold_fact_merge": """SELECT coalesce(t.order_number, s.order_number) AS order_number,
        coalesce(t.product_number, s.product_number) AS product_number,
        CAST(if(changed, s.sales_amount, t.sales_amount) AS DOUBLE) AS sales_amount,

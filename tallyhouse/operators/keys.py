@@ -1,38 +1,42 @@
-"""Surrogate keys without a global sort."""
+"""Surrogate keys without a global sort of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets where the session has fewer shuffle partitions.
-BUCKETS = 1024
+from ..sources.scratch import materialize
 
+#: `monotonically_increasing_id` counts the rows of a partition in its low 33 bits.
+LOW_BITS = 33
 
-def assign_keys(
-    df: DataFrame, name: str, by: list[str], after: int | Column = 0, buckets: int | None = None
-) -> DataFrame:
-    """Fill `name` with dense keys `after`+1, `after`+2, … in a repeatable order.
 
-    `by` must identify a row. Rows are numbered inside hash buckets of `by`, and
-    each bucket starts where the sizes of the buckets before it end. Only the
-    bucket sizes, one row each, are ever brought together. `buckets` follows the
-    shuffle partitions unless given, so that a bucket stays as small as a task.
+def assign_keys(df: DataFrame, name: str, by: list[str], after: int | Column = 0) -> DataFrame:
+    """Fill `name` with dense keys `after`+1, `after`+2, … along the order of `by`.
+
+    `by` must identify a row. Only its columns are dealt into ranges, sorted and
+    counted there; a range starts where the sizes of the ranges before it end, one
+    row for each shuffle partition. The numbered `by` is written once, as ranges must
+    not change between readers, and meets the rows in one join.
     """
-    buckets = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bucket = F.pmod(F.xxhash64(*by), F.lit(buckets))
-    rows = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy("_bucket").orderBy(*by)
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sorted_keys = df.select(*by).repartitionByRange(*by).sortWithinPartitions(*by)
+    at = F.monotonically_increasing_id()
+    placed = sorted_keys.select(F.struct(*by).alias("_by"), at.alias("_at"))
+    dealt = materialize(
+        placed.select(
+            "_by",
+            F.shiftright("_at", LOW_BITS).alias("_range"),
+            F.col("_at").bitwiseAND(F.lit((1 << LOW_BITS) - 1)).alias("_nth"),
+        )
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        df.select(bucket.alias("_bucket"))
-        .groupBy("_bucket")
+        dealt.groupBy("_range")
         .agg(F.count("*").alias("_size"))
-        .select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+        .select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
     base = F.lit(after) if isinstance(after, int) else after
-    numbered = rows.withColumn("_nth", F.row_number().over(inside)).join(
-        F.broadcast(starts), "_bucket"  # one row per bucket
-    )
-    key = (base + F.col("_start") + F.col("_nth")).cast("long")
-    return numbered.withColumn(name, key).select(*dict.fromkeys([*df.columns, name]))
+    number = (base + F.col("_start") + F.col("_nth") + 1).cast("long").alias("_number")
+    numbered = dealt.join(F.broadcast(starts), "_range").select("_by", number)  # one row per range
+    rows = df.withColumn("_by", F.struct(*by)).join(numbered, "_by")
+    return rows.withColumn(name, F.col("_number")).select(*dict.fromkeys([*df.columns, name]))

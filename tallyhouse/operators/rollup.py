@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,17 +40,54 @@ def rollup_by(
     )
 
 
-def resolve_key(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """The fact with `key` set to NULL where the dimension has no such member.
+def measures_by_key(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    distinct: dict[str, str],
+    measures: Measures | None = None,
+    keys_resolved: bool = False,
+) -> DataFrame:
+    """One row per key: exact distinct counts (output name to column) and `measures`.
 
-    Needed before distinct counts, which cannot be put together from per-key
-    counts for the group of orphans. Only the key of the dimension is read.
+    The fact is grouped by (key, counted column) once for each count, so no row is
+    copied and a key with any share of the rows is spread over all tasks; what is
+    grouped is then counted per key. Keys that the dimension lacks (and NULL) make one
+    row with a NULL key, unless `keys_resolved` says that there are none: they are
+    found among the grouped keys, and only their groups are counted again.
     """
-    members = dim.select(F.col(key).alias("_dim_key"))
-    joined = fact.join(members, F.col(key) == F.col("_dim_key"), "left")
-    return joined.select(
-        *[F.col("_dim_key").alias(key) if c == key else F.col(c) for c in fact.columns]
-    )
+    measures = measures or {}
+    groups = [
+        fact.groupBy(key, column).agg(
+            F.count("*").alias("_rows"), *[_FIRST[f](c).alias(n) for n, (f, c) in (measures if nth == 0 else {}).items()]
+        )
+        for nth, column in enumerate(distinct.values())
+    ]
+    again = [_AGAIN[f](n).alias(n) for n, (f, _) in measures.items()]
+    names = [key, *distinct, *measures]
+
+    per_key = None
+    for nth, (name, column) in enumerate(distinct.items()):
+        counted = groups[nth].groupBy(key).agg(F.count(column).alias(name), *(again if nth == 0 else []))
+        if per_key is None:
+            per_key = counted
+        else:
+            counted = counted.withColumnRenamed(key, "_key")
+            per_key = per_key.join(counted, F.col(key).eqNullSafe(F.col("_key")))
+    per_key = per_key.select(*names)
+    if keys_resolved:
+        return per_key
+
+    members = dim.select(key)
+    lost = per_key.join(members, key, "left_anti").select(F.col(key).alias("_key"))
+    rows = []
+    for nth, (name, column) in enumerate(distinct.items()):
+        theirs = groups[nth].join(lost, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        rows.append(theirs.agg(F.countDistinct(column).alias(name), F.sum("_rows").alias("_rows"), *(again if nth == 0 else [])))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    orphans = together.agg(F.max("_rows").alias("_rows"), *[F.max(n).alias(n) for n in names[1:]]).where("_rows > 0")
+    no_key = F.lit(None).cast(fact.schema[key].dataType).alias(key)
+    return per_key.join(members, key, "left_semi").unionByName(orphans.select(no_key, *names[1:]))
 
 
 def attach(totals: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_diff, year_diff
 from ..functions.values import mean
-from ..operators.rollup import attach, resolve_key, rollup_by
+from ..operators.rollup import attach, measures_by_key, rollup_by
 from ..operators.topk import top_k, top_k_with_ties
 
 CUSTOMER_NAME = ["customer_key", "first_name", "last_name"]
@@ -183,9 +183,8 @@ def least_active_customers(
     the fact load guarantees.
     """
     narrow = fact.select("customer_key", "order_number")
-    known = narrow if keys_resolved else resolve_key(narrow, customers, "customer_key")
-    counted = known.groupBy("customer_key").agg(
-        F.countDistinct("order_number").alias("total_orders")
+    counted = measures_by_key(
+        narrow, customers, "customer_key", {"total_orders": "order_number"}, keys_resolved=keys_resolved
     )
     order = [F.col("total_orders"), F.col("customer_key")]
     named = attach(

@@ -1,9 +1,8 @@
 """Customer and product KPI reports.
 
 Each works on keys until the measures are one row per key and adds the
-descriptive columns last. Distinct counts shuffle by (key, counted value), so a
-key that holds most of the fact is spread over all tasks. `keys_resolved` skips
-the lookup that gathers orphans under NULL, for a fact whose keys all exist.
+descriptive columns last. `keys_resolved` skips the lookup that gathers orphans
+under NULL, for a fact whose keys all exist.
 """
 
 from __future__ import annotations
@@ -14,10 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_diff, year_diff
-from ..functions.values import full_name, mean, ratio
-from ..operators.rollup import attach, resolve_key
+from ..functions.values import full_name, ratio
+from ..operators.rollup import attach, measures_by_key
 from .analytics import VIP_MONTHS, VIP_SALES, customer_segment
 
+TOTALS = {
+    "total_sales": ("sum", "sales_amount"),
+    "total_quantity": ("sum", "quantity"),
+    "first_order_date": ("min", "order_date"),
+    "last_order_date": ("max", "order_date"),
+}
+
 # Default product tiers.
 HIGH_SALES, MID_SALES = 50000, 10000
 
@@ -46,15 +52,9 @@ def report_customers(
     dated = fact.filter(F.col("order_date").isNotNull()).select(
         "customer_key", "order_number", "product_key", "order_date", "sales_amount", "quantity"
     )
-    known = dated if keys_resolved else resolve_key(dated, customers, "customer_key")
-    measures = known.groupBy("customer_key").agg(
-        F.countDistinct("order_number").alias("total_orders"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("quantity").alias("total_quantity"),
-        F.countDistinct("product_key").alias("total_products"),
-        F.max("order_date").alias("last_order_date"),
-        month_diff(F.min("order_date"), F.max("order_date")).alias("lifespan"),
-    )
+    counted = {"total_orders": "order_number", "total_products": "product_key"}
+    totals = measures_by_key(dated, customers, "customer_key", counted, TOTALS, keys_resolved)
+    measures = totals.withColumn("lifespan", month_diff(F.col("first_order_date"), F.col("last_order_date")))
     people = customers.select(
         "customer_key",
         "customer_number",
@@ -104,16 +104,16 @@ def report_products(
     dated = fact.filter(F.col("order_date").isNotNull()).select(
         "product_key", "order_number", "customer_key", "order_date", "sales_amount", "quantity"
     )
-    known = dated if keys_resolved else resolve_key(dated, products, "product_key")
-    unit_price = ratio(F.col("sales_amount"), F.col("quantity"))
-    measures = known.groupBy("product_key").agg(
-        month_diff(F.min("order_date"), F.max("order_date")).alias("lifespan"),
-        F.max("order_date").alias("last_sale_date"),
-        F.countDistinct("order_number").alias("total_orders"),
-        F.countDistinct("customer_key").alias("total_customers"),
-        F.sum("sales_amount").alias("total_sales"),
-        F.sum("quantity").alias("total_quantity"),
-        F.round(F.avg(unit_price), 1).alias("avg_selling_price"),
+    priced = dated.withColumn("unit_price", ratio(F.col("sales_amount"), F.col("quantity")))
+    counted = {"total_orders": "order_number", "total_customers": "customer_key"}
+    prices = {"price_sum": ("sum", "unit_price"), "price_count": ("count", "unit_price")}
+    totals = measures_by_key(priced, products, "product_key", counted, TOTALS | prices, keys_resolved)
+    measures = totals.withColumns(
+        {
+            "lifespan": month_diff(F.col("first_order_date"), F.col("last_order_date")),
+            "last_sale_date": F.col("last_order_date"),
+            "avg_selling_price": F.round(ratio(F.col("price_sum"), F.col("price_count")), 1),
+        }
     )
     labels = ["product_name", "category", "subcategory", "cost"]
     rows = attach(measures, products, "product_key", labels)

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import GOLD
-from ..sources.snapshots import empty_table, is_missing
+from ..sources.snapshots import empty_table, path_exists
 
 SCHEMA = GOLD["dw_load_log"]
 
@@ -49,12 +48,9 @@ class RunLog:
         self.spark, self.folder, self.clock = spark, folder, clock
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMA).parquet(self.folder)
-        except AnalysisException as error:
-            if is_missing(error):
-                return empty_table(self.spark, SCHEMA)
-            raise
+        if not path_exists(self.spark, self.folder):
+            return empty_table(self.spark, SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self.folder)
 
     def run(self, steps: dict[str, Work]) -> list[Outcome]:
         """Run steps that do not depend on each other side by side, then log them in order.

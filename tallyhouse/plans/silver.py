@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,21 +87,26 @@ def expected_amount() -> Column:
     return F.col("sls_quantity").cast("bigint") * F.abs(F.col("sls_price").cast("bigint"))
 
 
-def too_large_amounts(raw: DataFrame) -> DataFrame:
-    """One row: repaired amounts that no INT holds (they become NULL)."""
+def too_large() -> Column:
+    """Whether no INT holds the amount that a wrong one is repaired to; it becomes NULL."""
     amount, expected = F.col("sls_sales"), expected_amount()
     wrong = amount.isNull() | (amount <= 0) | (amount != expected)
-    return raw.agg(F.count_if(wrong & expected.isNotNull() & expected.try_cast("int").isNull()).alias("bad_rows"))
+    return wrong & expected.isNotNull() & expected.try_cast("int").isNull()
+
+
+def sales_faults() -> list[Column]:
+    """Counts over the raw sales: `bad_dates` (eight digits that are no day) and `large_amounts`."""
+    bad = [F.count_if(_no_day(c)) for c in SALES_DATES]
+    return [reduce(lambda a, b: a + b, bad).alias("bad_dates"), F.count_if(too_large()).alias("large_amounts")]
+
+
+def _no_day(column: str) -> Column:
+    return eight_digits(F.col(column)) & yyyymmdd(F.col(column)).isNull()
 
 
 def bad_sales_dates(raw: DataFrame) -> DataFrame:
     """Per date column, values with eight digits that are no day (they become NULL)."""
-    counts = raw.agg(
-        *[
-            F.count_if(eight_digits(F.col(c)) & yyyymmdd(F.col(c)).isNull()).alias(c)
-            for c in SALES_DATES
-        ]
-    )
+    counts = raw.agg(*[F.count_if(_no_day(c)).alias(c) for c in SALES_DATES])
     pairs = [
         F.struct(F.lit(c).alias("column_name"), F.col(c).alias("bad_rows")) for c in SALES_DATES
     ]

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,15 +178,16 @@ class Warehouse:
         }
 
     def _refresh(self, name: str, clean, now: dt.datetime) -> Outcome:
-        raw = self.load("bronze", name)
+        """Clean one table; what the sales log counts is seen by the write itself."""
+        raw, seen = self.load("bronze", name), None
+        if name == "crm_sales_details" and ACCEPTED in self.table("bronze", name).parts():
+            seen = Observation()
+            raw = raw.observe(seen, *silver.sales_faults())
         written = self.table("silver", name).replace(silver.with_audit(clean(raw), name, now))
-        note = None
-        if name == "crm_sales_details":
-            bad = sum(r.bad_rows for r in silver.bad_sales_dates(raw).collect())  # 3 rows
-            large = silver.too_large_amounts(raw).first().bad_rows
-            notes = [f"Dates set to NULL: {bad}"] * bool(bad) + [f"Amounts set to NULL: {large}"] * bool(large)
-            note = "; ".join(notes) or None
-        return Outcome(inserted=sum(written.values()), message=note)
+        found = seen.get if seen else {}
+        labels = {"bad_dates": "Dates set to NULL", "large_amounts": "Amounts set to NULL"}
+        notes = [f"{label}: {found[k]}" for k, label in labels.items() if found.get(k)]
+        return Outcome(inserted=sum(written.values()), message="; ".join(notes) or None)
 
     # -- gold -------------------------------------------------------------
 

@@ -14,7 +14,6 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +30,10 @@ Parts = dict[str, list[str]]
 Check = Callable[[dict[str, int]], None] | None
 
 
-def is_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or one that a pattern names, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -84,12 +85,9 @@ class SnapshotTable:
         return self._newest()[0]
 
     def _newest(self) -> tuple[int, Parts]:
-        try:
-            log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
-        except AnalysisException as error:
-            if is_missing(error):
-                return 0, {}
-            raise
+        if not path_exists(self.spark, f"{self.folder}/_versions"):
+            return 0, {}
+        log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
         last = log.orderBy(F.col("version").desc()).first()
         live: Parts = {}
         for entry in last.live if last else []:
@@ -164,12 +162,9 @@ class SnapshotTable:
         """
         if keep_versions < 1:
             raise ValueError("the newest version has to stay")
-        try:
-            log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
-        except AnalysisException as error:
-            if is_missing(error):
-                return 0
-            raise
+        if not path_exists(self.spark, f"{self.folder}/_versions"):
+            return 0
+        log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
         kept = log.orderBy(F.col("version").desc()).limit(keep_versions)
         listed = {(x.part, x.batch) for row in kept.collect() for x in row.live}
         jvm = self.spark._jvm
@@ -195,13 +190,9 @@ class SnapshotTable:
 
     def _written(self, batch: str) -> dict[str, int]:
         """Rows per part of a batch, from the parquet footers."""
+        written = f"{self.folder}/part=*/batch={batch}"
+        if not path_exists(self.spark, written):
+            return {}
         reader = self.spark.read.schema(T.StructType(self.schema.fields + _TAGS))
-        try:
-            files = reader.option("basePath", self.folder).parquet(
-                f"{self.folder}/part=*/batch={batch}"
-            )
-        except AnalysisException as error:
-            if is_missing(error):
-                return {}
-            raise
+        files = reader.option("basePath", self.folder).parquet(written)
         return {r["part"]: r["count"] for r in files.groupBy("part").count().collect()}

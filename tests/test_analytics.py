@@ -1,11 +1,12 @@
 import datetime as dt
 import random
+from collections import defaultdict
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.rollup import resolve_key, rollup_by
+from tallyhouse.operators.rollup import measures_by_key, rollup_by
 from tallyhouse.operators.topk import top_k_with_ties
 from tallyhouse.plans import analytics, explore, reports
 
@@ -109,11 +110,31 @@ def test_distinct_counts_put_orphans_together(star):
     assert goods[None].total_orders == lost.select("order_number").distinct().count()
 
 
-def test_resolve_key_keeps_every_row(star):
-    fact, customers, _ = star
-    known = resolve_key(fact, customers, "customer_key")
-    assert known.count() == fact.count() and known.columns == fact.columns
-    assert {r[0] for r in known.select("customer_key").distinct().collect()} == {1, 2, 3, 4, None}
+@pytest.mark.parametrize("orphans", [True, False])
+def test_measures_by_key_match_plain_counting(spark, orphans):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(500):
+        key = "hot" if rng.random() < 0.4 else rng.choice(["a", "b", *(["lost", "gone", None] if orphans else [])])
+        rows.append((key, rng.choice([None, *range(40)]), rng.randrange(15), rng.choice([None, 1, 2, 3])))
+    fact = spark.createDataFrame(rows, "k string, o int, p int, v int").repartition(5)
+    dim = spark.createDataFrame([("hot",), ("a",), ("b",), ("idle",)], "k string")
+    distinct, measures = {"orders": "o", "goods": "p"}, {"total": ("sum", "v"), "least": ("min", "v"), "values": ("count", "v")}
+    got = measures_by_key(fact, dim, "k", distinct, measures)
+    groups = defaultdict(list)
+    for k, o, p, v in rows:
+        groups[k if k in ("hot", "a", "b") else None].append((o, p, v))
+    want = set()
+    for k, group in groups.items():
+        o, p, v = ({x for x in column if x is not None} for column in zip(*group))
+        vs = [x[2] for x in group if x[2] is not None]
+        want.add((k, len(o), len(p), sum(vs), min(v), len(vs)))
+    assert set(map(tuple, got.collect())) == want and got.count() == len(want)
+    if not orphans:
+        known = measures_by_key(fact, dim, "k", distinct, measures, keys_resolved=True)
+        assert set(map(tuple, known.collect())) == want
+    empty = measures_by_key(fact.limit(0), dim, "k", distinct, measures)
+    assert empty.columns == ["k", "orders", "goods", "total", "least", "values"] and empty.isEmpty()
 
 
 def test_single_order_customer(spark):

@@ -130,4 +130,4 @@ def test_amounts_that_no_int_holds(spark):
     kind = "sls_ord_num string, sls_prd_key string, sls_cust_id int, sls_order_dt int, sls_ship_dt int, sls_due_dt int, sls_sales int, sls_quantity int, sls_price int"
     raw = spark.createDataFrame([("a", "b", 1, 0, 0, 0, 5, 100_000, 100_000), ("c", "b", 1, 0, 0, 0, None, 2, 10)], kind)
     clean = {r.sls_ord_num: r.sls_sales for r in silver.clean_crm_sales_details(raw).collect()}
-    assert clean == {"a": None, "c": 20} and silver.too_large_amounts(raw).first().bad_rows == 1
+    assert clean == {"a": None, "c": 20} and raw.agg(*silver.sales_faults()).first().large_amounts == 1
