@@ -26,9 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.textops import PRIME, mixed
 
 RATE, RECALL, SAMPLED, SEED = 0.2, 0.98, 3, 6
+#: Walks after which one place less is sampled.
+STEP = 100
 #: Independent sets of places that one walk is sampled at.
 SETS = 4
 #: Items of one block, which is what a task holds of the benchmark.
@@ -146,14 +149,18 @@ class Index:
         return out
 
     def tables(self, n: int, words: np.ndarray, recall: float, sampled: int):
-        """Enough walks for the target recall at the largest allowed distance."""
+        """Enough walks for the target recall at the largest allowed distance.
+
+        Every hundred walks sample one place less, which lets more pairs meet; at one
+        place a walk cannot fail for long, so the target is reached at any size.
+        """
         rng = np.random.default_rng([n, SEED])
         base = words[rng.integers(0, len(words), size=256)]
         changed = np.stack([self.mutated(w, self.most[n], rng) for w in base])
         met = np.zeros(len(base), dtype=bool)
         tables = []
-        while met.mean() < recall and len(tables) < 400:
-            walk = Walk(n, sampled, len(tables))
+        while met.mean() < recall:
+            walk = Walk(n, max(1, sampled - len(tables) // STEP), len(tables))
             for a, b in zip(walk.keys(base), walk.keys(changed)):
                 met |= a == b
             sides = []
@@ -179,7 +186,9 @@ class Index:
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, start, end, distance): the best window of each item in each text."""
         get = self.number.get
-        ids = [[get(w, 0) for w in plain_words(t)] for t in texts]
+        # windows may reach past the ends by as many words as an item may lose
+        pad = [0] * max(self.most.values(), default=0)
+        ids = [[*pad, *(get(w, 0) for w in plain_words(t)), *pad] for t in texts]
         lengths = np.array([len(x) for x in ids], dtype=np.int64)
         flat = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(lengths.sum()))
         ends = np.cumsum(lengths)
@@ -192,10 +201,10 @@ class Index:
             starts = starts[starts + n <= until[starts]]
             starts = starts[unknown[starts + n] - unknown[starts] <= self.most[n]]
             for lo in range(0, len(starts), AT_ONCE):
-                self.walked(n, group, flat, starts[lo : lo + AT_ONCE], ends, lengths, best)
+                self.walked(n, group, flat, starts[lo : lo + AT_ONCE], ends, lengths, len(pad), best)
         return [(t, item, start, end, d) for (t, item), (d, start, end) in sorted(best.items())]
 
-    def walked(self, n, group, flat, starts, ends, lengths, best) -> None:
+    def walked(self, n, group, flat, starts, ends, lengths, pad, best) -> None:
         if not len(starts):
             return
         windows = flat[starts[:, None] + np.arange(n)]
@@ -208,13 +217,14 @@ class Index:
         for k, j in sorted(pairs):
             item_id, words = group[j]
             text = int(np.searchsorted(ends, starts[k], side="right"))
-            at = int(starts[k] - (ends[text] - lengths[text]))
+            at = int(starts[k] - (ends[text] - lengths[text])) - pad
+            start, end = max(at, 0), min(at + n, int(lengths[text]) - 2 * pad)
             known = best.get((text, item_id))
             if known is not None and known[0] == 0:
                 continue
-            d = edit_distance(words, windows[k], self.most[n])
-            if d <= self.most[n] and (known is None or (d, at) < known[:2]):
-                best[text, item_id] = (d, at, at + n)
+            d = edit_distance(words, windows[k][start - at : end - at], self.most[n])
+            if d <= self.most[n] and (known is None or (d, start) < known[:2]):
+                best[text, item_id] = (d, start, end)
 
 
 def leaks(
@@ -230,15 +240,18 @@ def leaks(
     For each item, the best window: start and end in words (lower case, ASCII
     punctuation removed), the least distance, then the first place. NULL and empty
     texts hold nothing, and items without words are in no text; NULL item ids are
-    kept as NULL. Repeated rows get equal results, other columns pass through, and
-    an empty benchmark or table gives empty arrays or no rows.
+    kept as NULL. At the ends of a text, where a window would reach beyond, the words
+    that are there count, so a text that is an item less a few words holds it.
+    Repeated rows get equal results, other columns pass through (`leaks` replaces an
+    equal name), and an empty benchmark or table gives empty arrays or no rows.
     """
     listed = "array<struct<item_id:long,start:long,end:long,distance:long>>"
     items = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
     ).distinct()
     blocks = max(1, math.ceil(items.count() / block_items))
-    out = docs.withColumns({"text": F.col("text").cast("string"), "leaks": F.array().cast(listed)}).drop("_found")
+    docs, back = set_aside(docs.drop("leaks"), ["_found"])
+    out = docs.withColumns({"text": F.col("text").cast("string"), "leaks": F.array().cast(listed)})
     names = out.columns
     for block in range(blocks):
         # at most about `block_items` rows
@@ -261,12 +274,13 @@ def leaks(
 
         schema = T.StructType([*out.schema.fields, T.StructField("_found", out.schema["leaks"].dataType)])
         out = out.mapInArrow(scan, schema).withColumn("leaks", F.concat("leaks", "_found")).select(*names)
-    return out
+    return out.select(*back, "leaks")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no benchmark item."""
-    return leaks(docs, benchmark).where("size(leaks) = 0").select(docs.columns)
+    docs, back = set_aside(docs, ["leaks"])
+    return leaks(docs, benchmark).where("size(leaks) = 0").select(*back)
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ distances are 1); level 1 therefore takes pivots from shared shingles.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -35,6 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.components import components
 from tallyhouse.llm.textops import WordHashes, as_long, lowered_words, runs, set_key, shingle_sets
 from tallyhouse.sources.scratch import materialize
@@ -252,10 +254,15 @@ def _counting(width: int):
 
 
 SIGNED = (
-    "doc_id long, n long, sid binary, k long, cold array<long>, hot array<long>, sketch binary, packed binary"
+    "doc_id long, n long, sid binary, k long, cold array<long>, hot array<long>, sketch binary, packed binary, text_key binary"
 )
 
 
+def text_key(text: str | None) -> bytes | None:
+    """128 bits that name a text, as `unhex(md5(text))` does; NULL where the text is."""
+    return None if text is None else hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def _signing(width: int, percent: int, hot_sorted: np.ndarray, hot_rank: np.ndarray):
     """One row per document; its compressed text and prefix where the task sees the set first."""
     longs = pa.list_(pa.int64())
@@ -269,7 +276,7 @@ def _signing(width: int, percent: int, hot_sorted: np.ndarray, hot_rank: np.ndar
                 texts, rows = batch.column("text").to_pylist(), []
                 for text, s in zip(texts, _sets(texts, hashes, width)):
                     n, key = len(s), set_key(s)
-                    row = [n, key, as_long(key), None, None, None, None]
+                    row = [n, key, as_long(key), None, None, None, None, text_key(text)]
                     if n and key not in seen:
                         seen.add(key)
                         take = n - (percent * n + 99) // 100 + 1
@@ -279,9 +286,9 @@ def _signing(width: int, percent: int, hot_sorted: np.ndarray, hot_rank: np.ndar
                         cold = s[~is_hot][:take]
                         hot = s[is_hot][np.argsort(hot_rank[at[is_hot]], kind="stable")][: take - len(cold)]
                         packed = pack(text.encode("utf-8", "surrogatepass"))
-                        row[3:] = [cold.view(np.int64), hot.view(np.int64), sketch_of(s), packed]
+                        row[3:7] = [cold.view(np.int64), hot.view(np.int64), sketch_of(s), packed]
                     rows.append(row)
-                kinds = [pa.int64(), pa.binary(), pa.int64(), longs, longs, pa.binary(), pa.binary()]
+                kinds = [pa.int64(), pa.binary(), pa.int64(), longs, longs, pa.binary(), pa.binary(), pa.binary()]
                 columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), *columns], names=[c.split()[0] for c in SIGNED.split(", ")]
@@ -401,7 +408,8 @@ def jaccard_sets(
     Words are lower-cased (A-Z) and split at ASCII white space; a text's set holds
     its `width`-word shingles, all its words as one where it has fewer. Texts link
     when 100 * intersection >= percent * union; `component_id` is the least doc_id
-    reachable by links and `sid` names the set. Texts without words (or NULL) have
+    reachable by links and `sid` names the set; `root` names the linked group (NULL
+    without words) and `text_key` the text. Texts without words (or NULL) have
     an empty set, link with nothing and keep their own id. Repeated rows stay
     repeated; a NULL doc_id gets its component's least id, NULL if none has one.
     Other columns are not read. An empty table gives no rows.
@@ -488,7 +496,7 @@ def jaccard_sets(
         )
         edges = edges.unionByName(second)
     labels = components(edges)
-    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "sid")
+    rows = signed.select("doc_id", F.col("n").alias("n_shingles"), "sid", "text_key")
     classes = rows.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(labels, classes["sid"] == labels["node"], "left").select(
         "sid", F.coalesce("root", "sid").alias("root"), "least"
@@ -496,24 +504,34 @@ def jaccard_sets(
     named = rooted.select("sid", "root").join(
         rooted.groupBy("root").agg(F.min("least").alias("component")), "root"
     )
-    return rows.join(named.select("sid", "component"), "sid", "left").select(
+    return rows.join(named.select("sid", "root", "component"), "sid", "left").select(
         "doc_id",
         "n_shingles",
         "sid",
+        "text_key",
+        "root",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
 def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that stay when each linked group keeps its least doc_id.
+    """The rows of docs that stay when each linked group keeps one of its rows.
 
-    Texts without words are no copies of each other and all stay. Rows that repeat
-    an id keep one row of it. Rows without an id stay: nothing names them.
+    It keeps the least doc_id, rows without one last, and of one id the text with the
+    least md5; where rows are equal in both, any one of them. Only rows of one group
+    replace each other, so different texts with one id both stay. Texts without words
+    are no copies of each other and all stay.
     """
-    joined = jaccard_sets(docs.select("doc_id", "text"), width, percent)
-    stays = joined.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    joined = jaccard_sets(docs.select("doc_id", "text"), width, percent).where("root IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("first")
+    stays = joined.groupBy("root").agg(first).select(F.struct("first.doc_id", "first.text_key").alias("_place"))
+    docs, back = set_aside(docs, ["_place"])
+    text = F.col("text").cast("string")
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # a struct, as an id may be NULL and still has to match; the join and the choice share its shuffle
+    place = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_key"))
+    named = docs.where(~wordless).withColumn("_place", place).join(stays, "_place", "left_semi").dropDuplicates(["_place"])
+    return named.select(*back).unionByName(docs.where(wordless).select(*back))
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:

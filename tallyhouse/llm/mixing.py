@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.quality_rules import words_of
 from tallyhouse.sources.scratch import materialize
 
@@ -24,6 +25,7 @@ from tallyhouse.sources.scratch import materialize
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 SEED = 2
 ADDED = ["size", "source_size", "target", "copies", "taken"]
+INNER = ["_u", "_bucket", "_upto", "_more", "_source", "whole", "part", "stop", "begun"]
 
 
 def targets(
@@ -69,7 +71,7 @@ def mix_sources(
     their rows and other rows without words are taken as their place in the draw
     says. Added names replace equal ones; an empty table gives no rows.
     """
-    docs = docs.drop(*ADDED)
+    docs, back = set_aside(docs.drop(*ADDED), INNER)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     drawn = F.xxhash64(F.lit(seed), "doc_id", text)
     size = F.size(words_of(text)).cast("long")
@@ -116,7 +118,7 @@ def mix_sources(
         "_more", F.coalesce((F.col("_bucket") < F.col("stop")) & (F.col("part") > 0), F.lit(False))
     )
     both = outside.unionByName(inside).withColumn("copies", F.col("whole") + F.col("_more").cast("long"))
-    return both.withColumn("taken", F.col("copies") * F.col("size")).select(*docs.columns, *ADDED)
+    return both.withColumn("taken", F.col("copies") * F.col("size")).select(*back, *ADDED)
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:

@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.quality_rules import let
+from tallyhouse.operators.rows import next_in_group
 from tallyhouse.sources.scratch import materialize
 
 # The patterns of the entity types, earlier ones first where two start at one place.
@@ -43,8 +45,9 @@ GIVEN = {
     ("male", "cyrillic"): ["Антон", "Борис", "Виктор", "Денис", "Иван", "Олег", "Павел", "Роман"],
     ("female", "cyrillic"): ["Алина", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Ольга", "Софья"],
 }
-#: Draws for one entity before the job gives up; far more than any space that is not full needs.
-DRAWS = 64
+#: Draws before the entities that are left change places; far more than any space that is not full needs.
+DRAWS = 24
+INNER = ["_has", "_hash", "_found", "_id", "_h", "news"]
 
 
 def kind_of(value: Column) -> Column:
@@ -84,7 +87,8 @@ def substituted(value: Column, text: Column) -> Column:
             F.when(c.rlike("[0-9]"), F.chr(48 + k % 10))
             .when(c.rlike("[a-z]"), F.chr(97 + k % 26))
             .when(c.rlike("[A-Z]"), F.chr(65 + k % 26))
-            .when(c.rlike("[а-я]"), F.substring(F.lit("абвгдежзиклмнопрстуфхэюя"), k % 24 + 1, F.lit(1)))
+            .when(c.rlike("[а-яё]"), F.substring(F.lit("абвгдежзиклмнопрстуфхэюя"), k % 24 + 1, F.lit(1)))
+            .when(c.rlike("[α-ωά-ώ]"), F.substring(F.lit("αβγδεζηθικλμνξοπρστυφχψω"), k % 24 + 1, F.lit(1)))
             .when((code > 127) & c.rlike(r"\p{Ll}"), F.chr(97 + k % 26))
             .otherwise(c)
         )
@@ -163,13 +167,19 @@ def rendered(kind: Column, value: Column, surrogate: Column) -> Column:
     )
 
 
-def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """entities (kind, value), distinct, with `surrogate`: distinct per kind and nobody's value."""
+def surrogates(entities: DataFrame, key: str, draws: int = DRAWS) -> DataFrame:
+    """entities (kind, value), distinct, with `surrogate`: distinct per kind and nobody's value.
+
+    Where the values of a format fill most of its space, some entities find no free
+    surrogate in DRAWS draws. Real values are barred from the draws, so those of the
+    entities that are left are free among themselves: each takes the next one's of its
+    format in a keyed order, still distinct.
+    """
     gender = F.col("kind").isin("male", "female")
     # names of both genders share one space of values
     now = entities.withColumns({"space": F.when(gender, F.lit("name")).otherwise(F.col("kind")), "draw": F.lit(0)})
     real = entities.select(F.when(gender, F.lit("name")).otherwise(F.col("kind")).alias("space"), F.col("value").alias("surrogate")).distinct()
-    for _ in range(DRAWS):
+    for draw in range(draws):
         now = materialize(now.withColumn("surrogate", drawn(key, F.col("kind"), F.col("value"), F.col("draw"))))
         first = now.groupBy("space", "surrogate").agg(
             F.count("*").alias("n"), F.min_by("kind", F.struct("value", "kind")).alias("_kind"), F.min("value").alias("_value")
@@ -186,16 +196,34 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         )
         if taken.isEmpty():
             return now.select("kind", "value", "surrogate")
-        again = now.join(taken, ["space", "surrogate"], "left").withColumn(
-            "draw",
-            F.when(
-                F.col("_real").isNull()
-                | ((F.col("_real") == 0) & (F.col("kind") == F.col("_kind")) & (F.col("value") == F.col("_value"))),
-                F.col("draw"),
-            ).otherwise(F.col("draw") + 1),
+        lost = F.col("_real").isNotNull() & (
+            (F.col("_real") > 0) | (F.col("kind") != F.col("_kind")) | (F.col("value") != F.col("_value"))
+        )
+        again = now.join(taken, ["space", "surrogate"], "left").withColumn("lost", lost)
+        if draw == draws - 1:
+            settled = again.where(~F.col("lost")).select("kind", "value", "surrogate")
+            return settled.unionByName(_changed_places(again.where("lost").select("kind", "value"), entities, key))
+        now = again.withColumn("draw", F.col("draw") + F.col("lost").cast("int")).select("kind", "value", "space", "draw")
+
+
+def _changed_places(left: DataFrame, entities: DataFrame, key: str) -> DataFrame:
+    """(kind, value, surrogate): the value that follows in a keyed order of the same format, the first after the last.
+
+    The only one left of its format takes another value of it that is found in the texts.
+    """
+    shape = F.regexp_replace(F.regexp_replace("value", "[0-9]", "0"), r"\p{Ll}", "a")
+    placed = materialize(
+        left.withColumns(
+            {"shape": shape, "at": F.concat_ws("|", F.sha2(F.concat_ws("|", F.lit(key), F.lit("places"), "kind", "value"), 256), "value")}
         )
-        now = again.select("kind", "value", "space", "draw")
-    raise ValueError("a type has too few surrogates for its entities")
+    )
+    follows = next_in_group(placed, ["kind", "shape"], "at", "after")
+    first = placed.groupBy("kind", "shape").agg(F.min("at").alias("first"))
+    ends = entities.groupBy("kind", shape.alias("shape")).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    taken = follows.join(first, ["kind", "shape"]).join(ends, ["kind", "shape"]).withColumn("from", F.coalesce("after", "first"))
+    lone = F.when(F.col("low") != F.col("value"), F.col("low")).otherwise(F.col("high"))
+    other = F.substring("from", F.lit(66), F.length("from"))
+    return taken.select("kind", "value", F.when(F.col("from") == F.col("at"), lone).otherwise(other).alias("surrogate"))
 
 
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
@@ -206,7 +234,7 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     Equal rows get equal texts; other columns pass through (`n_entities` replaces an
     equal name); an empty table gives no rows. The same key gives the same result.
     """
-    docs = docs.drop("n_entities")
+    docs, back = set_aside(docs.drop("n_entities"), INNER)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     marked = docs.withColumn("_has", text.rlike(ENTITY))
     with_any = marked.where("_has").drop("_has").withColumns(
@@ -233,9 +261,9 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
     replaced = (
         with_any.join(made, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
         .withColumns({"text": joined, "n_entities": F.size("news").cast("long")})
-        .select(*docs.columns, "n_entities")
+        .select(*back, "n_entities")
     )
-    rest = marked.where(~F.col("_has")).withColumn("n_entities", F.lit(0).cast("long")).select(*docs.columns, "n_entities")
+    rest = marked.where(~F.col("_has")).withColumn("n_entities", F.lit(0).cast("long")).select(*back, "n_entities")
     return rest.unionByName(replaced)
 
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
+
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 #: Cells of the hashed multinomials: the size of the broadcast array.
@@ -144,6 +146,7 @@ def quality_rules(
     counts equal texts once in the ratios, trusted where one of the copies is; without
     it every row counts, and a text with very many copies scores low for them.
     """
+    docs, back = set_aside(docs.drop(*RULE_COLUMNS), ["_ratios", "_rules"])
     read = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts).scalar()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -175,7 +178,8 @@ def quality_rules(
     out = out.withColumn(
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     )
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("_rules", "_ratios")
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    return out.select(*back, *RULE_COLUMNS)
 
 
 def trusted_ids(spark, sf_dir: str) -> DataFrame:

@@ -160,17 +160,15 @@ def secret_scan(
     each = found.where("size(base) + size(wide) > 0").select(
         "doc_id", "owner", "repository", "text_hash", F.explode(F.concat("base", "wide")).alias("span")
     )
-    # one row for each text that holds a value, with the least of its repositories
-    texts = each.groupBy(F.col("span.hash").alias("hash"), "text_hash").agg(F.min("repository").alias("repository"))
-    owners = each.select(F.col("span.hash").alias("hash"), "owner").distinct()
-    owned = (
-        owners.groupBy("hash")
-        .agg(F.count("*").alias("owners"))
-        .join(
-            texts.select("hash", "repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories")),
-            "hash",
-        )
-    )
+    held = F.col("span.hash").alias("hash")
+
+    def holders(column: str, name: str) -> DataFrame:
+        return each.select(held, column).distinct().groupBy("hash").agg(F.count("*").alias(name))
+
+    # copies of a text do not make a value widely copied, nor do many texts of one repository
+    owned = holders("owner", "owners").join(holders("repository", "in_repositories"), "hash").join(
+        holders("text_hash", "in_texts"), "hash"
+    ).withColumn("repositories", F.least("in_repositories", "in_texts"))
     judged = (
         each.withColumn("hash", F.col("span.hash"))
         .join(owned, "hash")

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+CLASHING = ["part", "stop", "Whole", "begun", "_id", "_hash", "_found", "_has", "news", "_ratios", "_place", "kept", "target"]
 DOCS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -16,6 +17,7 @@ DOCS = T.StructType(
         T.StructField("llr", T.StringType()),
         T.StructField("n", T.StringType()),
         T.StructField("u", T.StringType()),
+        *[T.StructField(name, T.StringType()) for name in CLASHING],
     ]
 )
 
@@ -26,7 +28,7 @@ def table(spark):
 
     def make(rows, parts=3):
         full = [
-            (r[0], r[1], "en", r[2] if len(r) > 2 else f"s{(r[0] or 0) % 3}", len(r[1] or ""), "a", "b", "c", "d", None)
+            (r[0], r[1], "en", r[2] if len(r) > 2 else f"s{(r[0] or 0) % 3}", len(r[1] or ""), "a", "b", "c", "d", None, *CLASHING)
             for r in rows
         ]
         return spark.createDataFrame(full, DOCS).repartition(parts)
@@ -34,6 +36,12 @@ def table(spark):
     return make
 
 
+@pytest.fixture
+def clashing():
+    """Names of extra columns, whose values are the names."""
+    return CLASHING
+
+
 @pytest.fixture
 def prose():
     """Seeded invented prose of n words."""

@@ -79,11 +79,47 @@ def test_one_per_group(table, prose, odd_rows):
     base = prose(100)
     rows = [(10, base), (11, base), (12, base + " end"), (13, prose(50)), *odd_rows]
     kept = Counter(r.doc_id for r in one_per_group(table(rows)).collect())
-    assert kept == Counter({None: 2, 1: 1, 2: 1, 3: 1, 4: 1, 6: 1, 7: 1, 10: 1, 13: 1})
+    assert kept == Counter({None: 1, 1: 1, 2: 1, 3: 1, 4: 1, 6: 1, 7: 1, 10: 1, 13: 1})
     assert one_per_group(table([])).collect() == []
     assert one_per_group(table(rows)).columns == table(rows).columns
 
 
+def test_one_per_group_chooses_between_rows(table, prose):
+    a, b = prose(60), prose(60)
+    kept = one_per_group(table([(1, a), (4, a), (4, b), (4, b), (None, b), (None, a), (None, a + " x"), (7, None), (7, None), (None, prose(30))]))
+    rows = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert rows[1, a] == rows[4, b] == 1 and rows[7, None] == 2
+    assert sum(rows.values()) == 5 and sum(n for (i, _), n in rows.items() if i is None) == 1
+    assert [r.part for r in kept.collect()] == ["part"] * 5
+
+
+def test_a_text_that_is_less_than_an_item(prose):
+    words = prose(20).split()
+    index = Index([(7, " ".join(words))], 0.2, 0.999, 3)
+    for cut, place in ((words[:-1], (0, 19, 1)), (words[1:], (0, 19, 1)), (words[2:-1], (0, 17, 3)), (words, (0, 20, 0))):
+        [(_, item, start, end, d)] = index.search([" ".join(cut)])
+        assert (item, start, end, d) == (7, *place)
+    assert index.search([" ".join(words[:15]), "", words[0]]) == []
+
+
+def test_long_items_reach_the_target_recall(monkeypatch, prose):
+    from tallyhouse.llm import decontamination
+
+    monkeypatch.setattr(decontamination, "STEP", 5)
+    index = Index([(1, prose(300))], 0.2, 0.98, 3)
+    walks = index.walks[300]
+    assert len(walks) > 10 and len(walks[0][0].keys(np.zeros((1, 300), dtype=np.int64))) > 0
+
+
+def test_other_columns_keep_their_values(spark, table, prose, clashing):
+    rows = [(k, prose(40)) for k in range(6)]
+    items = spark.createDataFrame([(1, prose(20))], "item_id long, text string")
+    for out in (decontaminated(table(rows), items), leaks(table(rows), items)):
+        for r in out.collect():
+            assert all(r[name] == name for name in clashing)
+    assert [r.leaks for r in decontaminated(table(rows), items).collect()] == ["b"] * 6
+
+
 def test_components(spark):
     edges = [(f"{a:03}", f"{b:03}") for a, b in [(k, k + 1) for k in range(60)] + [(100, 101), (101, 102), (100, 102), (7, 7)]]
     got = components(spark.createDataFrame(edges, "a string, b string")).collect()

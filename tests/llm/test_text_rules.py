@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import xxhash
 from pyspark.sql import functions as F
 
-from corpus_pipeline import keep_good
+from corpus_pipeline import keep_good, repeat_sources
 from tallyhouse.llm.mixing import mix_sources
 from tallyhouse.llm.quality_rules import op10_quality_rules, quality_rules
 from tallyhouse.llm.secret_scans import joined, secret_scan
@@ -185,3 +185,33 @@ def test_mix_meets_targets(table, prose, odd_rows):
 
 def test_mix_of_an_empty_table(table):
     assert mix_sources(table([])).collect() == []
+
+
+def test_other_columns_keep_their_values(spark, table, prose, clashing):
+    rows = [(k, prose(60)) for k in range(6)]
+    mixed = mix_sources(table(rows)).collect()
+    assert all(r[name] == name for r in mixed for name in clashing if name != "target")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(6)], "doc_id long, quality int, toxic int")
+    judged = quality_rules(table(rows), labels.select("doc_id")).collect()
+    assert all(r[name] == name for r in judged for name in clashing if name != "kept")
+
+
+def test_pipeline_stages_keep_columns(spark, table, prose, clashing, tmp_path):
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(6)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = table([(k, prose(60)) for k in range(6)])
+    for stage in (keep_good, repeat_sources):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        assert all(r[name] == name for r in out.collect() for name in clashing)
+        assert all(r["llr"] == "c" and r["size"] == "a" for r in out.collect())
+
+
+def test_a_value_copied_in_many_repositories_is_no_secret(spark):
+    value = "Zx9Kq2Lm4Np6Rt8Vw0Yb1"
+    one = [(k, f"number {k} holds {value}", "owner", f"r{k}") for k in range(9)]
+    first = [(100 + k, f"number {k} holds {value}", "owner", "a") for k in range(9)]
+    kind = "doc_id long, text string, source string, repo string"
+    for rows, live in ((one, 0), (one + first, 0), (first, 1)):
+        got = secret_scan(spark.createDataFrame(rows, kind), repository="repo", copied_in=8).collect()
+        assert {r.n_live for r in got} == {live}

@@ -165,3 +165,22 @@ def test_surrogates_are_distinct_and_nobodys(spark):
     got = surrogates(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
     assert len({r.surrogate for r in got}) == 40
     assert not {r.surrogate for r in got} & {v for _, v in rows}
+
+
+@pytest.mark.parametrize("count", [60, 99, 100])
+def test_a_crowded_format_still_gets_distinct_surrogates(spark, count):
+    rows = [("phone", f"7{k:02}") for k in range(count)] + [("phone", "55512345")]
+    got = surrogates(spark.createDataFrame(rows, "kind string, value string"), "k", draws=6).collect()
+    assert len(got) == len({r.surrogate for r in got}) == count + 1
+    assert all(r.surrogate != r.value and len(r.surrogate) == len(r.value) for r in got)
+
+
+def test_scripts_are_kept(table):
+    text = "Frau Ёлка Королёва, Mr. Γιώργος Παπάς, г-н Пётр Королёв"
+    new = replace_pii(table([(1, text)]), "key").first().text
+    assert re.fullmatch(r"Frau [А-Я][а-я]+ [А-Я][а-я]+, Mr\. \w+ [Α-Ω][α-ω]+, г-н [А-Я][а-я]+ [А-Я][а-я]+", new), new
+
+
+def test_other_columns_stay_beside_surrogates(table, clashing):
+    out = replace_pii(table([(1, "mail a@b.example.com"), (2, "none")]), "key")
+    assert all(r[name] == name for r in out.collect() for name in clashing)
