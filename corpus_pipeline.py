@@ -10,16 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.columns import set_aside
 from tallyhouse.llm.decontamination import decontaminated
 from tallyhouse.llm.jaccard_join import one_per_group
-from tallyhouse.llm.mixing import mix_sources
+from tallyhouse.llm.mixing import ADDED, mix_sources
 from tallyhouse.llm.packing import pack_tokens
-from tallyhouse.llm.quality_rules import quality_rules, trusted_ids
+from tallyhouse.llm.quality_rules import RULE_COLUMNS, quality_rules, trusted_ids
 from tallyhouse.sources.scratch import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).where("kept").select(docs.columns)
+    docs, back = set_aside(docs, RULE_COLUMNS)
+    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).where("kept").select(*back)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +34,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs, back = set_aside(docs, [*ADDED, "_copy"])
     mixed = mix_sources(docs).where("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*back)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
