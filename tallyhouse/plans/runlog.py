@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import GOLD
-from ..sources.snapshots import empty_table, path_exists
+from ..sources.snapshots import empty_table
+from ..sources.versions import path_exists
 
 SCHEMA = GOLD["dw_load_log"]
 
@@ -52,6 +53,13 @@ class RunLog:
             return empty_table(self.spark, SCHEMA)
         return self.spark.read.schema(SCHEMA).parquet(self.folder)
 
+    def register(self, name: str) -> None:
+        """A view of the log; its files are listed at each reading."""
+        columns = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in SCHEMA.fields)
+        if not path_exists(self.spark, self.folder):
+            empty_table(self.spark, SCHEMA).write.parquet(self.folder)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{self.folder}`")
+
     def run(self, steps: dict[str, Work]) -> list[Outcome]:
         """Run steps that do not depend on each other side by side, then log them in order.
 

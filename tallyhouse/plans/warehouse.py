@@ -15,9 +15,11 @@ from ..operators import history, merge
 from ..operators.keys import assign_keys
 from ..sources.catalog import ensure_layers
 from ..sources.feeds import REJECT, read_feed
+from ..sources.names import FILES, TableName
 from ..sources.scratch import materialize
 from ..sources.snapshots import SnapshotTable
-from . import gold, reports, silver
+from . import gold, report_views, reports, silver
+from .analytics import VIP_MONTHS, VIP_SALES
 from .runlog import Outcome, RunLog, utc_now
 
 CURRENT, PAST = "current", "past"
@@ -98,20 +100,39 @@ class Warehouse:
     # -- names ------------------------------------------------------------
 
     def register(self) -> None:
-        """Views `<layer>.<table>` over the newest versions, replaced at each call."""
+        """Views `<layer>.<table>` that follow the loads of this object from now on.
+
+        Bronze names show accepted rows. To be called once by each process that loads;
+        it brings names up to date that loads without it have left behind.
+        """
         ensure_layers(self.spark)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {FILES}")
         for (layer, name), table in self.tables.items():
-            select = table.view_sql()
-            self.spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {select}")
-
-    def register_reports(self, as_of: dt.date) -> None:
-        """Session views `report_customers` and `report_products` over the newest versions."""
-        fact = self.load("gold", "fact_sales")
-        for name, build, dim in (
-            ("report_customers", reports.report_customers, "dim_customers"),
-            ("report_products", reports.report_products, "dim_products"),
-        ):
-            build(fact, self.load("gold", dim), as_of, keys_resolved=True).createOrReplaceTempView(name)
+            raw = layer == "bronze"
+            columns = [c for c in table.schema.names if not (raw and c == REJECT)]
+            entry = TableName(self.spark, table, layer, name, columns, ACCEPTED if raw else None)
+            entry.create()
+            table.on_publish = entry.follow
+        self.log.register("gold.dw_load_log")
+
+    def register_reports(
+        self,
+        as_of: dt.date | None = None,
+        vip_months: int = VIP_MONTHS,
+        vip_sales: float = VIP_SALES,
+        high_sales: float = reports.HIGH_SALES,
+        mid_sales: float = reports.MID_SALES,
+    ) -> None:
+        """Views `gold.report_customers` and `gold.report_products` over the tables by name.
+
+        They are computed when read, for `as_of` or for the day of reading, and need `register`.
+        """
+        selects = {
+            "report_customers": report_views.customers_sql(as_of, vip_months, vip_sales),
+            "report_products": report_views.products_sql(as_of, high_sales, mid_sales),
+        }
+        for name, select in selects.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW gold.{name} AS {select}")
 
     def vacuum(self, keep_versions: int = 1) -> int:
         """Delete what the newest versions of all tables no longer list; batches deleted."""

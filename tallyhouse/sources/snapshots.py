@@ -2,15 +2,14 @@
 
 Data files lie in `part=<p>/batch=<b>` below the table folder; every write adds
 files under a batch name of its own and touches no older file. A version is the
-set of (part, batch) pairs listed in `_versions`, a small parquet log that gets
-one row per write, after the data. Readers take the newest version, so they see
-all of a write or nothing of it, and a failed write leaves the old state.
-One writer per table at a time.
+set of (part, batch) pairs that the log in `_versions` has as live; it is logged
+after its data. Readers take the newest version, so they see all of a write or
+nothing of it, and a failed write leaves the old state. Of two writers that start
+from one version, the second fails.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 
@@ -18,22 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAGS = [T.StructField("part", T.StringType()), T.StructField("batch", T.StringType())]
-_LOG = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("live", T.ArrayType(T.StructType(_TAGS))),
-    ]
-)
-
-Parts = dict[str, list[str]]
-Check = Callable[[dict[str, int]], None] | None
+from .versions import VersionLog, path_exists, version_name
 
+TAGS = [T.StructField("part", T.StringType()), T.StructField("batch", T.StringType())]
 
-def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path, or one that a pattern names, is there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+Check = Callable[[dict[str, int]], None] | None
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -47,6 +35,7 @@ class SnapshotTable:
     all of them. `balance` redistributes rows before a write so that each part gets
     few, evenly sized files: Spark splits large parts and merges small ones. Files
     are sorted by `order`, so that readers skip row groups by its ranges.
+    `on_publish` is called after each new version.
     """
 
     def __init__(
@@ -60,39 +49,25 @@ class SnapshotTable:
     ):
         self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
         self.part, self.balance, self.order = part, balance, order or []
+        self.log = VersionLog(spark, self.folder)
+        self.on_publish: Callable[[], None] | None = None
 
     # -- reading ----------------------------------------------------------
 
     def read(self, parts: list[str] | None = None) -> DataFrame:
         """The newest version, or only some parts of it (other files are not listed)."""
-        _, live = self._newest()
-        paths = [
-            f"{self.folder}/part={p}/batch={b}"
-            for p, batches in live.items()
-            if parts is None or p in parts or p.split(".")[0] in parts
-            for b in batches
-        ]
+        paths = [f"{self.folder}/part={p}/batch={b}" for p, b in self.log.pairs(parts=parts)]
         if not paths:
             return empty_table(self.spark, self.schema)
-        reader = self.spark.read.schema(T.StructType(self.schema.fields + _TAGS))
+        reader = self.spark.read.schema(T.StructType(self.schema.fields + TAGS))
         return reader.option("basePath", self.folder).parquet(*paths).select(*self.schema.names)
 
-    def parts(self) -> list[str]:
-        """The parts of the newest version."""
-        return sorted(self._newest()[1])
+    def parts(self) -> dict[str, int]:
+        """The parts of the newest version, with the number of batches each lies in."""
+        return {r.part: r["count"] for r in self.log.live().groupBy("part").count().collect()}
 
     def version(self) -> int:
-        return self._newest()[0]
-
-    def _newest(self) -> tuple[int, Parts]:
-        if not path_exists(self.spark, f"{self.folder}/_versions"):
-            return 0, {}
-        log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
-        last = log.orderBy(F.col("version").desc()).first()
-        live: Parts = {}
-        for entry in last.live if last else []:
-            live.setdefault(entry.part, []).append(entry.batch)
-        return (last.version if last else 0), live
+        return self.log.newest()
 
     # -- writing ----------------------------------------------------------
 
@@ -101,21 +76,21 @@ class SnapshotTable:
 
         `check` gets the rows written per part and may raise to keep them unpublished.
         """
-        return self._publish(df, lambda live: {}, check)
+        return self._publish(df, check=check, fresh=True)
 
     def append(self, df: DataFrame) -> dict[str, int]:
         """Add rows; without any, no version is published."""
-        return self._publish(df, lambda live: live)
+        return self._publish(df)
 
     def rewrite(self, df: DataFrame, parts: list[str]) -> dict[str, int]:
         """Swap out whole `parts` and file the rows of `df` wherever they belong."""
-        return self._publish(
-            df, lambda live: {p: batches for p, batches in live.items() if p not in parts}
-        )
+        return self._publish(df, parts)
 
-    def _publish(self, df: DataFrame, keep, check: Check = None) -> dict[str, int]:
-        begun, _ = self._newest()
-        batch = f"b{uuid.uuid4().hex}"
+    def _publish(
+        self, df: DataFrame, out: list[str] | None = None, check: Check = None, fresh: bool = False
+    ) -> dict[str, int]:
+        begun = self.version()
+        batch = f"{version_name(begun + 1)}-{uuid.uuid4().hex}"
         rows = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         rows = rows.withColumn("part", F.lit("all") if self.part is None else self.part)
         if self.balance:
@@ -128,28 +103,21 @@ class SnapshotTable:
         written = self._written(batch)
         if check is not None:
             check(written)
-        version, before = self._newest()
-        if version != begun:
-            raise RuntimeError(f"{self.folder}: version {version} came up while {begun} was written over")
-        live = {p: list(batches) for p, batches in keep(before).items()}
-        if not written and live == before and version:
-            return written
-        for part in written:
-            live.setdefault(part, []).append(batch)
-        pairs = [{"part": p, "batch": b} for p, batches in live.items() for b in batches]
-        entry = json.dumps({"version": version + 1, "live": pairs})
-        log = self.spark.range(1, numPartitions=1).select(
-            F.inline(F.array(F.from_json(F.lit(entry), _LOG)))
-        )
-        log.write.mode("append").parquet(f"{self.folder}/_versions")
+        dropped = self.log.live(begun).where(F.col("part").isin(out)) if out else None
+        if not written and begun:
+            left = self.log.live(begun) if fresh else dropped
+            if left is None or left.isEmpty():
+                return written
+        self.log.publish(begun + 1, [(part, batch) for part in written], dropped, fresh)
+        if self.on_publish is not None:
+            self.on_publish()
         return written
 
     # -- upkeep -----------------------------------------------------------
 
     def compact(self, most_batches: int = 16) -> list[str]:
         """Rewrite the parts that lie in more than `most_batches` batches; their names."""
-        _, live = self._newest()
-        parts = [p for p, batches in live.items() if len(batches) > most_batches]
+        parts = sorted(p for p, batches in self.parts().items() if batches > most_batches)
         if parts:
             self.rewrite(self.read(parts), parts)
         return parts
@@ -158,15 +126,14 @@ class SnapshotTable:
         """Delete batches that none of the newest `keep_versions` versions lists; their number.
 
         Files of a version stay until no kept version has them, however old they are.
+        Older entries of the log go too, but for those since the last whole one.
         Not to be run beside a write, whose batch is not listed yet.
         """
         if keep_versions < 1:
             raise ValueError("the newest version has to stay")
         if not path_exists(self.spark, f"{self.folder}/_versions"):
             return 0
-        log = self.spark.read.schema(_LOG).parquet(f"{self.folder}/_versions")
-        kept = log.orderBy(F.col("version").desc()).limit(keep_versions)
-        listed = {(x.part, x.batch) for row in kept.collect() for x in row.live}
+        listed = self.log.vacuum(keep_versions)
         jvm = self.spark._jvm
         pattern = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/part=*/batch=*")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -178,21 +145,11 @@ class SnapshotTable:
                 gone += bool(files.delete(path, True))
         return gone
 
-    def view_sql(self) -> str:
-        """A SELECT over the files of the newest version, for a view."""
-        _, live = self._newest()
-        names = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema.fields)
-        paths = [f"{self.folder}/part={p}/batch={b}" for p, batches in live.items() for b in batches]
-        if not paths:
-            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema.fields)
-            return f"SELECT {nothing} WHERE false"
-        return " UNION ALL ".join(f"SELECT {names} FROM parquet.`{path}`" for path in paths)
-
     def _written(self, batch: str) -> dict[str, int]:
         """Rows per part of a batch, from the parquet footers."""
         written = f"{self.folder}/part=*/batch={batch}"
         if not path_exists(self.spark, written):
             return {}
-        reader = self.spark.read.schema(T.StructType(self.schema.fields + _TAGS))
+        reader = self.spark.read.schema(T.StructType(self.schema.fields + TAGS))
         files = reader.option("basePath", self.folder).parquet(written)
         return {r["part"]: r["count"] for r in files.groupBy("part").count().collect()}

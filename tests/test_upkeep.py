@@ -1,14 +1,16 @@
 """Upkeep of published tables, views by name, and layer times."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
-from tallyhouse.plans import runlog, silver
+from tallyhouse.plans import reports, runlog, silver
 from tallyhouse.plans.warehouse import Warehouse
 from tallyhouse.sources.catalog import list_tables
+from tallyhouse.sources.names import TableName
 from tallyhouse.sources.snapshots import SnapshotTable
 
 NOW = dt.datetime(2020, 5, 1, 12, tzinfo=dt.timezone.utc)
@@ -56,6 +58,29 @@ def test_compact_merges_batches(spark, numbers):
     assert numbers.vacuum() == 4 and ids(numbers) == [0, 1, 2, 3]
 
 
+def test_the_log_is_read_from_the_last_whole_version(spark, numbers):
+    for i in range(12):
+        numbers.append(rows(spark, i, kind=f"k{i % 3}"))
+    numbers.rewrite(rows(spark, 100), ["k0"])
+    read = numbers.log._rows().inputFiles()
+    assert len(read) == 4  # 10 to 13
+    assert ids(numbers) == [i for i in range(12) if i % 3] + [100]
+    assert sorted(set(p for p, _ in numbers.log.pairs(11))) == ["k0", "k1", "k2"] and len(numbers.log.pairs(11)) == 11
+    assert numbers.vacuum(keep_versions=2) == 0 and numbers.vacuum() == 4
+    assert numbers.log.newest() == 13 and len(numbers.log._files()[0]) == 4
+    numbers.replace(rows(spark, 1))
+    assert len(numbers.log._rows().inputFiles()) == 1 and ids(numbers) == [1]
+    assert numbers.vacuum() > 0 and len(numbers.log._files()[0]) == 1
+
+
+def test_a_lost_mark_of_a_whole_version_changes_nothing(spark, numbers):
+    numbers.append(rows(spark, 1))
+    numbers.replace(rows(spark, 2))
+    numbers.append(rows(spark, 3))
+    (Path(numbers.folder) / "_versions" / "v0000000002.whole").unlink()
+    assert ids(numbers) == [2, 3] and len(numbers.log._rows().inputFiles()) == 3
+
+
 def test_an_empty_append_publishes_nothing(spark, numbers):
     numbers.append(rows(spark, 1))
     before = numbers.version()
@@ -94,12 +119,92 @@ def test_tables_and_reports_by_name(spark, house):
     assert [(int(r.sales_amount), r.product_name) for r in fact.collect()] == [(24, "Helmet")]
     listed = {(r.table_schema, r.table_name): r.table_rows for r in list_tables(spark, with_rows=True, schemas=list(schemas.LAYERS)).collect()}
     assert listed["gold", "dim_date"] == 31 and listed["bronze", "erp_loc_a101"] == 1
+    assert listed["gold", "dw_load_log"] == 16 and listed["gold", "report_customers"] == 1
     assert len([k for k in listed if k[0] == "silver"]) == len(schemas.SILVER)
-    assert spark.table("report_customers").count() == 1 and spark.table("report_products").count() == 1
+
+
+def append_line(path, line):
+    with open(path, "a") as feed:
+        feed.write(line + "\n")
+
+
+def test_names_follow_the_loads(spark, house):
+    w, paths = house
+    w.register()
+    w.register_reports(dt.date(2020, 5, 1))
+    assert spark.table("gold.report_products").count() == 1
+    append_line(paths["crm_cust_info"], "2,AW2,Bob,Roy,M,M,2020-01-01")
+    append_line(paths["crm_cust_info"], "x,AW3,no,number,M,M,2020-01-01")
+    append_line(paths["crm_sales_details"], "SO2,P1,2,20130104,20130105,20130106,36,3,12")
     w.load_all(paths, start=dt.date(2013, 1, 1), end=dt.date(2013, 2, 28))
     assert w.vacuum() > 0
-    w.register()
-    assert spark.table("gold.dim_date").count() == 59 and spark.table("gold.fact_sales").count() == 1
+    for layer, layout in schemas.LAYERS.items():
+        for name in layout:
+            if name != "dw_load_log":
+                by_name, loaded = spark.table(f"{layer}.{name}"), w.load(layer, name)
+                assert by_name.columns == loaded.columns
+                assert by_name.exceptAll(loaded).count() == loaded.exceptAll(by_name).count() == 0, name
+    assert spark.table("bronze.crm_cust_info").count() == 2
+    assert spark.table("gold.dim_date").count() == 59 and spark.table("gold.dw_load_log").count() == 32
+    fact = w.load("gold", "fact_sales")
+    for name, build in (("customers", reports.report_customers), ("products", reports.report_products)):
+        expected = build(fact, w.load("gold", f"dim_{name}"), dt.date(2020, 5, 1), keys_resolved=True)
+        seen = spark.table(f"gold.report_{name}")
+        assert seen.columns == expected.columns
+        assert sorted(map(tuple, seen.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert spark.table("gold.report_customers").count() == 2
+
+
+def test_names_show_live_files_only(spark, numbers):
+    spark.sql("CREATE DATABASE IF NOT EXISTS published")
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    name = TableName(spark, numbers, "silver", "numbers")
+    name.create()
+    assert spark.table("silver.numbers").count() == 0
+    numbers.append(rows(spark, 1, kind="it's"))
+    numbers.append(rows(spark, 2))
+    # a version that the name was not told about, and a write that never became one
+    assert spark.table("silver.numbers").count() == 0
+    with pytest.raises(ValueError, match="refused"):
+        numbers.replace(rows(spark, 9), refuse)
+    name.follow()
+    assert sorted(r.id for r in spark.table("silver.numbers").collect()) == [1, 2]
+    numbers.on_publish = name.follow
+    numbers.rewrite(rows(spark, 3), ["a"])
+    seen = spark.table("silver.numbers")
+    assert sorted(r.id for r in seen.collect()) == [1, 3] and len(seen.inputFiles()) == 2
+    # between the new partitions and the new view readers see the old version
+    numbers.on_publish = None
+    numbers.append(rows(spark, 4))
+    part, batch = max(numbers.log.pairs(), key=lambda pair: pair[1])
+    spark.sql(f"ALTER TABLE published.silver_numbers ADD PARTITION (part='{part}', batch='{batch}')")
+    assert spark.table("silver.numbers").count() == 2
+    name.follow()
+    assert spark.table("silver.numbers").count() == 3
+
+
+def refuse(written):
+    raise ValueError("refused")
+
+
+def files_of(folder):
+    return sum(1 for path in folder.rglob("*.parquet"))
+
+
+def test_equal_loads_leave_no_growth(spark, house, tmp_path):
+    w, paths = house
+    w.vacuum()
+    tables = [t for (layer, _), t in w.tables.items() if layer == "bronze"] + [w.table("gold", "fact_sales")]
+    before = {t.folder: files_of(Path(t.folder)) for t in tables}
+    versions = {t.folder: t.version() for t in tables}
+    for _ in range(10):
+        w.load_bronze(paths)
+    w.load_silver()
+    w.load_gold(dt.date(2013, 1, 1), dt.date(2013, 1, 31))
+    w.vacuum()
+    assert {t.folder: files_of(Path(t.folder)) for t in tables} == before
+    assert w.table("bronze", "erp_loc_a101").version() == versions[w.table("bronze", "erp_loc_a101").folder] + 10
+    assert w.table("gold", "fact_sales").version() == versions[w.table("gold", "fact_sales").folder]
 
 
 def test_repeated_loads_publish_no_new_dates(house):
