@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
+import itertools
 import sys
 import warnings
 from collections.abc import Callable
@@ -24,7 +25,7 @@ from tallyhouse import schemas, testviews  # noqa: E402
 from tallyhouse.operators import merge  # noqa: E402
 from tallyhouse.operators.history import scd2_apply  # noqa: E402
 from tallyhouse.operators.keys import assign_keys  # noqa: E402
-from tallyhouse.plans import analytics, explore, gold, quality, reports, silver  # noqa: E402
+from tallyhouse.plans import analytics, explore, gold, quality, reports, runlog, silver  # noqa: E402
 from tallyhouse.plans.warehouse import Warehouse  # noqa: E402
 from tallyhouse.sources.catalog import list_columns, list_tables  # noqa: E402
 from tallyhouse.sources.feeds import REJECT  # noqa: E402
@@ -245,16 +246,56 @@ def product_deliveries(t: Tables) -> DataFrame:
     return deliver(t, w, days, "dim_products", deliveries)
 
 
-def two_loads(t: Tables) -> Warehouse:
-    """All feeds, then the sales of a second day merged in by the loads alone."""
+def two_loads(t: Tables, named: bool = False) -> Warehouse:
+    """All feeds, then the sales of a second day merged in by the loads alone.
+
+    Names and reports are registered, if wanted, before the second day.
+    """
     w = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW)
     w.load_all(t.feeds() | {"crm_sales_details": write_feed(t.bronze_sales_day1)})
+    if named:
+        w.register()
+        w.register_reports(AS_OF, VIP_MONTHS, VIP_SALES, HIGH_SALES, MID_SALES)
     w.load_bronze({"crm_sales_details": write_feed(t.bronze_sales_day2)})
     w.load_silver(["crm_sales_details"])
     w.load_fact_sales()
     return w
 
 
+def report_by_name(t: Tables, name: str) -> DataFrame:
+    """A report as the catalog has it, after a load that came when it was there already."""
+    two_loads(t, named=True)
+    return t.spark.table(f"gold.{name}")
+
+
+def repeat_load(t: Tables) -> DataFrame:
+    """The fact after the same feeds came three times, and how many batches all tables have more for it."""
+
+    def batches() -> int:
+        w.vacuum()
+        return sum(sum(table.parts().values()) for table in w.tables.values())
+
+    feeds = t.feeds()
+    w = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW)
+    w.load_all(feeds)
+    before = batches()
+    w.load_all(feeds)
+    w.load_all(feeds)
+    return with_business_keys(w).withColumn("new_batches", F.lit(batches() - before).cast("long"))
+
+
+def durations_of_layers(t: Tables) -> DataFrame:
+    """Steps, rows and seconds of each layer of a full load, by a clock that goes on a second at each look."""
+    looks = itertools.count()
+    w = Warehouse(t.spark, scratch_dir(t.spark), lambda: NOW + dt.timedelta(seconds=next(looks)))
+    w.load_all(t.feeds())
+    log = w.log.read()
+    rows = log.groupBy(F.split_part("procedure_name", F.lit("."), F.lit(1)).alias("layer")).agg(
+        F.sum("rows_inserted").alias("rows_inserted")
+    )
+    return runlog.layer_durations(log).join(rows, "layer").select("layer", "steps", "layer_seconds", "rows_inserted")
+
+
 def load_all(t: Tables) -> DataFrame:
     """Feeds to star schema, then the fact with business keys looked up again."""
     return with_business_keys(t.loaded())
@@ -363,6 +404,7 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "gold_load_all": load_all,
     "gold_second_load": lambda t: with_business_keys(two_loads(t)),
+    "gold_repeat_load": repeat_load,
     "gold_second_dim_customers": lambda t: customer_deliveries(t).select(
         "customer_id", "first_name", "country", "marital_status", "gender", "birthdate", *HISTORY
     ),
@@ -428,7 +470,10 @@ PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "report_products": lambda t: reports.report_products(
         t.fact_sales, t.dim_products, AS_OF, HIGH_SALES, MID_SALES
     ),
+    "report_view_customers": lambda t: report_by_name(t, "report_customers").drop("customer_key"),
+    "report_view_products": lambda t: report_by_name(t, "report_products").drop("product_key"),
     # checks
+    "dq_layer_durations": durations_of_layers,
     "dq_row_counts": lambda t: quality.row_counts(star(t)),
     "dq_load_log_tail": lambda t: quality.log_tail(t.loaded().log.read()).select(
         *LOG_COLUMNS.split()

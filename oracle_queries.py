@@ -114,6 +114,12 @@ SELECT t, s, s.order_number IS NOT NULL AND (t.order_number IS NULL
          OR (t.sales_amount, t.quantity, t.price) IS DISTINCT FROM (s.sales_amount, s.quantity, s.price)) AS changed
 FROM loadable_day1 AS t FULL JOIN loadable_day2 AS s USING (order_number, product_number, line_number)
 """
+LAYERS["second_fact"] = """
+SELECT coalesce(t.order_number, s.order_number) AS order_number, unnest(struct_pack(
+    customer_id := r.customer_key, product_id := r.product_key, order_date := r.order_date,
+    sales_amount := r.sales_amount, quantity := r.quantity))
+FROM (SELECT t, s, CASE WHEN changed THEN s ELSE t END AS r FROM second_load)
+"""
 for _day in (1, 2, 3):
     _changed = {
         "bronze_cust_info": f"bronze_cust_info_day{min(_day, 1)}" if _day == 1 else "bronze_cust_info",
@@ -360,6 +366,9 @@ BODIES = {
        CAST(row.quantity AS BIGINT) AS quantity, CAST(row.price AS DOUBLE) AS price
        FROM (SELECT coalesce(t.order_number, s.order_number) AS order_number, coalesce(t.product_number, s.product_number) AS product_number,
                     CASE WHEN changed THEN s ELSE t END AS row FROM second_load)""",
+    "gold_repeat_load": """SELECT order_number, product_number, CAST(customer_key AS BIGINT) AS customer_id,
+       CAST(product_key AS BIGINT) AS product_id, date_key, order_date, CAST(sales_amount AS DOUBLE) AS sales_amount,
+       CAST(quantity AS BIGINT) AS quantity, CAST(price AS DOUBLE) AS price, CAST(0 AS BIGINT) AS new_batches FROM loadable""",
     "gold_second_dim_customers": sent("stage_customers", versions(
         "customer_id", "@.country, @.marital_status, @.gender",
         "CAST(a.customer_id AS BIGINT) AS customer_id, a.first_name, a.country, a.marital_status, a.gender, a.birthdate", False)),
@@ -469,11 +478,42 @@ BODIES = {
                round(avg(CAST(sales_amount AS DOUBLE) / nullif(CAST(quantity AS DOUBLE), 0)), 1) AS avg_selling_price
              FROM fact_sales AS f LEFT JOIN dim_products AS p ON p.product_key = f.product_key
              WHERE order_date IS NOT NULL GROUP BY ALL)""",
+    "report_view_customers": f"""SELECT customer_number, customer_name, age,
+       CASE WHEN age < 20 THEN 'Under 20' WHEN age < 50 THEN (age // 10 * 10) || '-' || (age // 10 * 10 + 9)
+            ELSE '50 and above' END AS age_group,
+       CASE WHEN lifespan >= 36 AND sales > 2000000 THEN 'VIP' WHEN lifespan >= 36 AND sales IS NOT NULL THEN 'Regular'
+            ELSE 'New' END AS customer_segment,
+       last_order_date, date_diff('month', last_order_date, {AS_OF}) AS recency, total_orders,
+       CAST(sales AS DOUBLE) AS total_sales, total_quantity, total_products, lifespan,
+       if(sales = 0, 0, CAST(sales AS DOUBLE) / total_orders) AS avg_order_value,
+       if(lifespan = 0, CAST(sales AS DOUBLE), CAST(sales AS DOUBLE) / lifespan) AS avg_monthly_spend
+       FROM (SELECT customer_id, customer_number, ifnull(first_name, '') || ' ' || ifnull(last_name, '') AS customer_name,
+               date_diff('year', birthdate, {AS_OF}) AS age, count(DISTINCT order_number) AS total_orders,
+               sum(sales_amount) AS sales, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+               count(DISTINCT product_id) AS total_products, max(order_date) AS last_order_date,
+               date_diff('month', min(order_date), max(order_date)) AS lifespan
+             FROM second_fact JOIN stage_customers USING (customer_id) WHERE order_date IS NOT NULL GROUP BY ALL)""",
+    "report_view_products": f"""SELECT product_name, category, subcategory, CAST(cost AS DOUBLE) AS cost, last_sale_date,
+       date_diff('month', last_sale_date, {AS_OF}) AS recency_in_months,
+       CASE WHEN sales > 1700000 THEN 'High-Performer' WHEN sales >= 1400000 THEN 'Mid-Range' ELSE 'Low-Performer' END AS product_segment,
+       lifespan, total_orders, CAST(sales AS DOUBLE) AS total_sales, total_quantity, total_customers, avg_selling_price,
+       if(total_orders = 0, 0, CAST(sales AS DOUBLE) / total_orders) AS avg_order_revenue,
+       if(lifespan = 0, CAST(sales AS DOUBLE), CAST(sales AS DOUBLE) / lifespan) AS avg_monthly_revenue
+       FROM (SELECT product_id, product_name, category, subcategory, cost, max(order_date) AS last_sale_date,
+               date_diff('month', min(order_date), max(order_date)) AS lifespan, count(DISTINCT order_number) AS total_orders,
+               count(DISTINCT customer_id) AS total_customers, sum(sales_amount) AS sales,
+               CAST(sum(quantity) AS BIGINT) AS total_quantity,
+               round(avg(CAST(sales_amount AS DOUBLE) / nullif(CAST(quantity AS DOUBLE), 0)), 1) AS avg_selling_price
+             FROM second_fact JOIN stage_products USING (product_id) WHERE order_date IS NOT NULL GROUP BY ALL)""",
     # checks
     "dq_row_counts": """SELECT 'dim_date' AS tbl, max(order_date) - min(order_date) + 1 AS n FROM fact_sales
        UNION ALL SELECT 'dim_customers', count(*) FROM dim_customers
        UNION ALL SELECT 'dim_products', count(*) FROM dim_products
        UNION ALL SELECT 'fact_sales', count(*) FROM fact_sales""",
+    "dq_layer_durations": f"""SELECT layer, count(*) AS steps,
+       -- two looks at the clock a step, and one each inside the two gold steps that stamp rows after the first
+       2 * count(*) - 1 + if(layer = 'gold', 2, 0) AS layer_seconds, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted
+       FROM (SELECT split_part(procedure_name, '.', 1) AS layer, rows_inserted FROM ({log_rows()})) GROUP BY layer""",
     "dq_load_log_tail": log_rows(),
     "dq_load_log_changes": change_log(),
     "dq_orphan_customers": "SELECT count(*) AS unresolved_customers FROM stage_sales WHERE customer_key IS NULL",
