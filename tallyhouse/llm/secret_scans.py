@@ -106,6 +106,36 @@ def credential_like(value: Column) -> Column:
     )
 
 
+def marks_before(points: Column, marks: Column, touching: bool) -> Column:
+    """For each of the rising `points`, how many `marks` lie below it, or on it where `touching`.
+
+    Both are sorted as one array; a point's place there, less the points before it, is the count.
+    """
+    point = 1 if touching else 0
+    events = F.sort_array(
+        F.concat(
+            F.transform(marks, lambda m: F.struct(m.alias("at"), F.lit(1 - point).alias("sort"))),
+            F.transform(points, lambda p: F.struct(p.alias("at"), F.lit(point).alias("sort"))),
+        )
+    )
+    places = F.filter(F.transform(events, lambda e, i: F.when(e["sort"] == point, i)), lambda i: i.isNotNull())
+    return F.transform(places, lambda i, earlier: i - earlier)
+
+
+def outside_of(spans: Column, others: Column) -> Column:
+    """Of rising spans that overlap none of their own, those that overlap none of the others.
+
+    As many of the others have ended where such a span starts as have started before it ends.
+    """
+    started = marks_before(F.transform(spans, lambda s: s["end"]), F.transform(others, lambda b: b["start"]), False)
+    ended = marks_before(F.transform(spans, lambda s: s["start"]), F.transform(others, lambda b: b["end"]), True)
+    free = let(
+        F.struct(started.alias("started"), ended.alias("ended")),
+        lambda n: F.filter(spans, lambda _, i: F.get(n["started"], i) == F.get(n["ended"], i)),
+    )
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(free)
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end by start, then kind, joined by commas."""
     texts = F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
@@ -149,11 +179,7 @@ def secret_scan(
             lambda s: F.struct(s["start"], s["order"], s["end"], s["kind"], F.sha2(s["value"], 256).alias("hash")),
         )
 
-    outside = F.filter(
-        "wide",
-        lambda w: credential_like(w["value"])
-        & ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
-    )
+    outside = outside_of(F.filter("wide", lambda w: credential_like(w["value"])), F.col("base"))
     found = materialize(
         read.withColumn("wide", outside).withColumns({"base": hashed("base"), "wide": hashed("wide")})
     )
