@@ -26,10 +26,12 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-#: Host names in a page, with or without a scheme before them.
+#: Hosts in a page: what follows `//` up to the end of a link's host, and dotted names without a scheme.
+LINKED = r"""//([^/?#\x00-\x20"'<>\\]+)"""
 NAMED = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, STEPS, WRITTEN_EVERY = 0.85, 16, 4
+#: Steps go on until four of them add less than `MOVED` of all seeds' score, which 0.85 a step reaches in the given number.
+DAMPING, STEPS, WRITTEN_EVERY, MOVED = 0.85, 100, 4, 1e-6
 #: Score of all seeds of one kind together.
 UNIT = 10**15
 #: Distrust beyond this multiple of the trust blocks a host.
@@ -55,10 +57,14 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, steps: int = STEPS) -> DataFrame:
-    """(kind, host, score) from seeds (kind, host, score) over edges (kind, host, to, part)."""
+    """(kind, host, score) from seeds (kind, host, score) over edges (kind, host, to, part).
+
+    Scores only rise from the seeds' own, so what some steps moved is what they add to
+    the sum of all scores: the loop ends where that is next to nothing, after `steps` at most.
+    """
     kept = materialize(edges)
     base = materialize(seeds.withColumn("score", F.floor(F.col("score") * (1 - damping)).cast("long")))
-    ranks = base
+    ranks, reached = base, None
     for step in range(1, steps + 1):
         moved = ranks.join(kept, ["kind", "host"]).select(
             "kind", F.col("to").alias("host"), F.floor(F.col("score") * F.col("part") * damping).cast("long").alias("score")
@@ -66,6 +72,9 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, ste
         ranks = moved.unionByName(base).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if step % WRITTEN_EVERY == 0 or step == steps:
             ranks = materialize(ranks)
+            before, reached = reached, ranks.agg(F.sum("score")).first()[0] or 0
+            if before is not None and reached - before <= MOVED * UNIT:
+                break
     return ranks
 
 
@@ -81,11 +90,14 @@ def judge_urls(
     The longest fitting rule decides; without one, the page's host does: blocked
     where distrust > ratio * trust, allowed else, so hosts that no seed reaches are
     allowed. Edges join the hosts of the table: a page links to the known hosts its
-    html names, each counted once a page. NULL urls and urls without `://` have
+    html names, each counted once a page; after `//` a host is read as in a url, with
+    ports and any letters, and elsewhere by its dotted name. Scores that reach a host
+    without links end there. NULL urls and urls without `://` have
     empty host and path. NULL html names nothing. Repeated rows stay repeated and
     count in the weights; an empty table gives no rows.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     parsed = pages.select(
         "page_id", host.alias("host"), path.alias("path"), longest_rule(host, path, rules).alias("hit")
     )
@@ -94,7 +106,7 @@ def judge_urls(
         longest_rule(host, path, rules)["action"].alias("action"),
         F.array_distinct(
             F.transform(
-                F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")), F.lit(NAMED), F.lit(0)),
+                F.concat(F.regexp_extract_all(html, F.lit(LINKED), F.lit(1)), F.regexp_extract_all(html, F.lit(NAMED), F.lit(0))),
                 lambda h: F.translate(h, UPPER, LOWER),
             )
         ).alias("named"),
