@@ -7,24 +7,33 @@ All columns are built-in functions. With `distinct_texts`, as the query and the
 pipeline ask for, equal texts count once in both multinomials, so copies do not
 move the ratios: texts are shuffled once for that, copies of one task as one row.
 What leaves the counting tasks is one row per cell, summed before the shuffle; the
-ratios come back as one array of `buckets` numbers.
+ratios come back as one array of `buckets` numbers. The cells grow with the
+documents, up to an array of 8 MB. Where rejected documents are named too, the
+threshold is set between the scores of labelled documents that the target
+multinomial has not seen; else it is fixed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.columns import set_aside
+from tallyhouse.sources.scratch import materialize
 
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
-#: Cells of the hashed multinomials: the size of the broadcast array.
-BUCKETS = 16_384
+#: Cells of the hashed multinomials, which are the length of the broadcast array: the
+#: least power of two from twice the documents on, within these bounds.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 20
 #: Trusted documents that the target multinomial is fitted on, the least by a seeded hash of the id.
 TRUSTED_ROWS = 20_000
 SEED = 20
-#: Mean log ratio (natural, per n-gram) below which a document is rejected.
+#: Labelled documents of each kind that the threshold is set by, and the part of the trusted kept for it.
+HELD_ROWS, HELD_PART = 2_000, 5
+#: What the share of trusted documents lost weighs against the share of rejected ones kept.
+LOSS_WEIGHT = 10
+#: Mean log ratio (natural, per n-gram) below which a document is rejected where labels set no threshold.
 THRESHOLD = -0.08
 WINDOW = 8
 
@@ -91,18 +100,26 @@ def repeated_lines(text: Column) -> Column:
     return let(filled, lambda lines: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
 
 
-def log_ratios(
-    docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows: int, distinct_texts: bool = False
-) -> DataFrame:
-    """One row, one array: the log ratio of trusted to raw frequency of each cell."""
-    chosen = (
-        trusted.where("doc_id IS NOT NULL")
+def cells_for(documents: int) -> int:
+    return max(LEAST_BUCKETS, min(MOST_BUCKETS, 1 << max(2 * documents - 1, 0).bit_length()))
+
+
+def first_ids(ids: DataFrame, rows: int) -> DataFrame:
+    """The first `rows` distinct ids by a seeded hash."""
+    return (
+        ids.where("doc_id IS NOT NULL")
         .select("doc_id")
         .distinct()
         .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-        .limit(trusted_rows)
-        .withColumn("trusted", F.lit(1))
+        .limit(rows)
     )
+
+
+def log_ratios(
+    docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows: int, distinct_texts: bool = False
+) -> DataFrame:
+    """One row, one array: the log ratio of trusted to raw frequency of each cell."""
+    chosen = first_ids(trusted, trusted_rows).withColumn("trusted", F.lit(1))
     # at most `trusted_rows` ids
     marked = docs.join(F.broadcast(chosen), "doc_id", "left")
     if distinct_texts:
@@ -127,13 +144,73 @@ def log_ratios(
     return rows.select(F.when(F.col("targets") > 0, ratio).otherwise(none).alias("ratios"))
 
 
+def mean_ratio(text: Column, buckets: int) -> Column:
+    """Mean of `_ratios` over the n-grams of a text; 0 without words."""
+    return let(
+        ngram_cells(words_of(text), buckets),
+        lambda c: F.when(F.size(c) == 0, F.lit(0.0)).otherwise(
+            F.aggregate(c, F.lit(0.0), lambda acc, f: acc + F.get("_ratios", f)) / F.size(c)
+        ),
+    )
+
+
+def word_rules(text: Column) -> Column:
+    return let(
+        words_of(text),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            repeated_words(w).alias("n_repeat_words"),
+        ),
+    )
+
+
+def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < 20) | (100 * n_repeat_words > 30 * n_words)
+
+
+def fitted_threshold(docs: DataFrame, ratios: DataFrame, buckets: int, held: DataFrame, rejected: DataFrame, rows: int) -> DataFrame:
+    """One row, one number: the threshold between the scores of labelled documents.
+
+    At most `rows` documents of `held` (trusted, but not in the target multinomial)
+    and as many of `rejected` that pass the plain rules, each distinct text once. Of
+    the middles between neighbouring scores, the one where `LOSS_WEIGHT` times the
+    share of trusted lost and the share of rejected kept add up to least, the lowest
+    of equals. NULL where either kind is missing.
+    """
+    ids = (
+        first_ids(held, rows).withColumn("good", F.lit(1)).unionByName(first_ids(rejected, rows).withColumn("good", F.lit(0)))
+    )
+    # at most 2 * `rows` ids
+    labelled = docs.join(F.broadcast(ids.groupBy("doc_id").agg(F.min("good").alias("good"))), "doc_id")
+    texts = labelled.groupBy("text").agg(F.min("good").alias("good"))
+    scored = (
+        texts.withColumns({"_ratios": ratios.scalar(), "_rules": word_rules(F.col("text"))})
+        .where(~fails_base(F.col("_rules.n_words"), F.col("_rules.n_repeat_words")))
+        .select("good", mean_ratio(F.col("text"), buckets).alias("score"))
+    )
+    # a row per score, so at most 2 * `rows` in one window
+    scores = scored.groupBy("score").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("poor"))
+    up = Window.orderBy("score")
+    below = up.rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    ways = scores.select(
+        ((F.col("score") + F.lag("score").over(up)) / 2).alias("middle"),
+        (F.sum("good").over(below) / F.sum("good").over(every)).alias("lost"),
+        (F.lit(1) - F.sum("poor").over(below) / F.sum("poor").over(every)).alias("kept"),
+    ).where("middle IS NOT NULL AND lost IS NOT NULL AND kept IS NOT NULL")
+    return ways.agg(F.min(F.struct((LOSS_WEIGHT * F.col("lost") + F.col("kept")).alias("loss"), "middle"))["middle"].alias("threshold"))
+
+
 def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     trusted_rows: int = TRUSTED_ROWS,
-    threshold: float = THRESHOLD,
+    threshold: float | None = None,
     distinct_texts: bool = False,
+    rejected: DataFrame | None = None,
+    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """docs with the rule columns, the log ratio `llr` and the verdict `kept`.
 
@@ -145,40 +222,39 @@ def quality_rules(
     of the words inside 8-word windows that repeat within the text. `distinct_texts`
     counts equal texts once in the ratios, trusted where one of the copies is; without
     it every row counts, and a text with very many copies scores low for them.
+
+    `buckets` follow the number of documents where none are given (`cells_for`). A
+    document is kept from `threshold` on. Where that is None, `rejected` lists
+    doc_id values of poor documents: a fifth of the trusted is then left out of the
+    target multinomial, and at most `held_rows` of it and of the rejected set the
+    threshold. Without them nothing is left out and the threshold is `THRESHOLD`, as it
+    is where one kind has no document that passes the plain rules.
     """
     docs, back = set_aside(docs.drop(*RULE_COLUMNS), ["_ratios", "_rules"])
     read = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts).scalar()
+    buckets = buckets or cells_for(docs.count())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    cells = ngram_cells(words_of(text), buckets)
-    llr = let(
-        cells,
-        lambda c: F.when(F.size(c) == 0, F.lit(0.0)).otherwise(
-            F.aggregate(c, F.lit(0.0), lambda acc, f: acc + F.get("_ratios", f)) / F.size(c)
-        ),
-    )
-    rules = let(
-        words_of(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            repeated_words(w).alias("n_repeat_words"),
-        ),
-    )
-    out = docs.withColumns({"_ratios": ratios, "_rules": rules}).withColumns(
+    if threshold is None and rejected is not None and not rejected.where("doc_id IS NOT NULL").isEmpty():
+        own = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(HELD_PART)) == 0
+        ratios = materialize(log_ratios(read, trusted.where(~own), buckets, trusted_rows, distinct_texts))
+        least = F.coalesce(
+            fitted_threshold(read, ratios, buckets, trusted.where(own), rejected, held_rows).scalar(), F.lit(THRESHOLD)
+        )
+    else:
+        ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts)
+        least = F.lit(THRESHOLD if threshold is None else threshold)
+    out = docs.withColumns({"_ratios": ratios.scalar(), "_rules": word_rules(text)}).withColumns(
         {
             "n_words": F.col("_rules.n_words"),
             "word_chars": F.col("_rules.word_chars"),
             "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": repeated_lines(text),
             "n_repeat_words": F.col("_rules.n_repeat_words"),
-            "llr": llr,
+            "llr": mean_ratio(text, buckets),
         }
     )
-    out = out.withColumn(
-        "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    )
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    out = out.withColumn("base_failed", fails_base(F.col("n_words"), F.col("n_repeat_words")))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= least))
     return out.select(*back, *RULE_COLUMNS)
 
 
@@ -186,9 +262,14 @@ def trusted_ids(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND toxic = 0").select("doc_id")
 
 
+def rejected_ids(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 0").select("doc_id")
+
+
 RULE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"]
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).select("doc_id", *RULE_COLUMNS)
+    judged = quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True, rejected=rejected_ids(spark, sf_dir))
+    return judged.select("doc_id", *RULE_COLUMNS)

@@ -9,7 +9,7 @@ import pytest
 from tallyhouse.llm.components import components
 from tallyhouse.llm.decontamination import Index, decontaminated, edit_distance, leaks, plain_words
 from tallyhouse.llm.jaccard_join import jaccard_sets, one_per_group
-from tallyhouse.llm.url_filters import RULES, judge_urls
+from tallyhouse.llm.url_filters import RULES, UNIT, judge_urls
 
 
 def shingles(text, width):
@@ -237,3 +237,52 @@ def test_distrust_runs_against_links_and_trust_along_them(spark):
     assert {k: r.verdict for k, r in got.items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
     assert got[2].distrust > 0 and got[4].trust > 0 and got[5].trust == got[5].distrust == 0
     assert judge_urls(pages.limit(0)).collect() == []
+
+
+def plain_ranks(n, links, seeds, damping=0.85):
+    """Personalised PageRank by plain power iteration over weighted links."""
+    move = np.zeros((n, n))
+    for (a, b), weight in links.items():
+        move[a, b] = weight
+    out = move.sum(axis=1, keepdims=True)
+    move = np.divide(move, out, out=np.zeros_like(move), where=out > 0)
+    start = (1 - damping) * seeds / max(seeds.sum(), 1)
+    ranks = start
+    for _ in range(300):
+        ranks = start + damping * ranks @ move
+    return ranks
+
+
+def test_scores_equal_power_iteration(spark):
+    rng = random.Random(6)
+    hosts = [f"h{k}.{'org' if k % 7 == 0 else 'com' if k % 5 == 0 else 'net'}" for k in range(40)]
+    rows, links, trust, distrust = [], Counter(), np.zeros(40), np.zeros(40)
+    for page in range(160):
+        a = rng.randrange(40)
+        path = rng.choice(["/de/x", "/fr/x", "/x"])
+        # one host takes part in a third of all links
+        named = {0 if rng.random() < 0.3 else rng.randrange(40) for _ in range(rng.randint(0, 4))}
+        rows.append((page, f"http://{hosts[a]}{path}", " ".join(f'<a href="//{hosts[b]}/y">' for b in named)))
+        links.update((a, b) for b in named if a != b)
+        action = plain_rule(hosts[a], path)[1]
+        trust[a] += action == "allow"
+        distrust[a] += action == "block"
+    known = {plain_url(r[1])[0] for r in rows}
+    links = Counter({(a, b): n for (a, b), n in links.items() if hosts[b] in known})
+    good, bad = plain_ranks(40, links, trust), plain_ranks(40, {(b, a): n for (a, b), n in links.items()}, distrust)
+    got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows) and (good > 0).sum() > 20 and (bad > 0).sum() > 20
+    for r in got:
+        k = hosts.index(r.host)
+        assert abs(r.trust / UNIT - good[k]) < 1e-5 and abs(r.distrust / UNIT - bad[k]) < 1e-5
+        if r.rule is None and abs(good[k] - bad[k]) > 2e-5:
+            assert r.verdict == ("block" if bad[k] > good[k] else "allow")
+
+
+def test_links_name_hosts_as_urls_do(spark):
+    rows = [(1, "http://bad.com/de/", ""), (2, "http://open.com:8080/de/", "bad.com")]
+    rows += [(3, "http://one.net/", "see http://OPEN.com:8080/x"), (4, "http://two_a.net/", "bad.com."), (5, "http://three.net/", "<a href='//two_a.net?q'>")]
+    rows += [(6, "http://é.net/", "http://three.net#x"), (7, "http://four/", '"//é.net/"'), (8, "http://five.net", "x//four\\n")]
+    got = {r.page_id: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(r.distrust > 0 for r in got.values()), got
+    assert {r.verdict for r in got.values()} == {"block"}

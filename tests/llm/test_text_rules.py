@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from corpus_pipeline import keep_good, repeat_sources
 from tallyhouse.llm.mixing import mix_sources
-from tallyhouse.llm.quality_rules import op10_quality_rules, quality_rules
-from tallyhouse.llm.secret_scans import joined, secret_scan
+from tallyhouse.llm.quality_rules import HELD_PART, LOSS_WEIGHT, SEED, cells_for, op10_quality_rules, quality_rules
+from tallyhouse.llm.secret_scans import joined, outside_of, secret_scan
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 ASSIGN = r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -53,6 +53,26 @@ def test_owner_decides_over_wide_candidates(table):
     assert got[9].a == "owned:3:24" and got[10].a == "owned:0:21" and got[9].n_live == 1
 
 
+def test_tokens_outside_spans_equal_all_pairs(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(200):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randint(0, 8)))
+        wide = list(zip(cuts[::2], cuts[1::2]))
+        rows.append((k, wide, [(a, a + rng.randint(1, 6)) for a in rng.choices(range(60), k=rng.randint(0, 9))]))
+    pair = "array<struct<start:bigint,end:bigint>>"
+    got = spark.createDataFrame(rows, f"k long, wide {pair}, base {pair}").select("k", outside_of(F.col("wide"), F.col("base")).alias("free"))
+    want = {k: [w for w in wide if not any(a < w[1] and w[0] < b for a, b in base)] for k, wide, base in rows}
+    assert {r.k: [tuple(x) for x in r.free] for r in got.collect()} == want
+
+
+def test_a_long_list_of_hashes(table):
+    """30,000 lines, each a base span beside a token that is none."""
+    text = "\n".join(f"{k:032x} Zx9Kq2Lm4Np6Rt8Vw{k:06d}" for k in range(30_000))
+    row = secret_scan(table([(1, text)])).select(F.size("base").alias("n"), F.size("added").alias("m")).first()
+    assert (row.n, row.m) == (30_000, 30_000)
+
+
 def test_secrets_of_an_empty_table(table):
     assert secret_scan(table([]).limit(0)).collect() == []
 
@@ -137,6 +157,42 @@ def test_copies_of_a_clean_text_do_not_cost_it_its_place(spark, tmp_path, prose)
         assert keep_good(spark, docs, f"{tmp_path}/{labelled}").where("doc_id = 0 OR doc_id >= 80").count() == 40
 
 
+def test_labels_set_the_threshold(spark, table, prose, odd_rows):
+    rng = random.Random(4)
+    usual, other = prose(60).split(), prose(40).split()
+    rows = [(k, " ".join(rng.choices(usual, k=60))) for k in range(60)]
+    # poor documents with a rising share of usual words, so that the scores overlap
+    rows += [(100 + k, " ".join(rng.choices(usual, k=k) + rng.choices(other, k=60 - k))) for k in range(0, 60, 2)]
+    rows += odd_rows
+    good, poor = list(range(10, 60)), [*range(100, 158, 2), 6]
+    ids = [spark.createDataFrame([(i,) for i in x], "doc_id long") for x in (good, poor)]
+    got = quality_rules(table(rows), ids[0], buckets=1024, rejected=ids[1]).collect()
+    seed = xxhash.xxh64_intdigest(struct.pack("<i", SEED + 1), seed=42)
+    held = {i for i in good if struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<q", i), seed=seed)))[0] % HELD_PART == 0}
+    scores = plain_scores(rows, set(good) - held, 1024)
+    passes = {(r.doc_id, round(r.llr, 9)) for r in got if not r.base_failed}
+    told = sorted(
+        (score, i in held) for (i, _), score in zip(rows, scores) if (i in held or i in poor) and (i, round(score, 9)) in passes
+    )
+    goods, poors = sum(g for _, g in told), sum(not g for _, g in told)
+    ways = []
+    for k in range(1, len(told)):
+        below = [g for _, g in told[:k]]
+        ways.append((round(LOSS_WEIGHT * sum(below) / goods + 1 - (len(below) - sum(below)) / poors, 9), (told[k - 1][0] + told[k][0]) / 2))
+    least = min(ways)[1]
+    assert 3 < goods < 25 and poors > 20
+    assert {(r.doc_id, round(r.llr, 9)) for r in got if r.kept} == {x for x in passes if x[1] >= least}
+    # the plain threshold where one kind is missing
+    for pair in ((ids[0], ids[1].limit(0)), (ids[0], ids[1].where("doc_id < 0")), (ids[0].limit(0), ids[1])):
+        rows_ = quality_rules(table(rows), pair[0], buckets=1024, rejected=pair[1]).collect()
+        assert all(r.kept == (not r.base_failed and r.llr >= -0.08) for r in rows_)
+    assert quality_rules(table([]), ids[0], rejected=ids[1]).collect() == []
+
+
+def test_cells_follow_the_documents():
+    assert [cells_for(n) for n in (0, 1, 8_192, 8_193, 100_000, 10**9)] == [1 << 14, 1 << 14, 1 << 14, 1 << 15, 1 << 18, 1 << 20]
+
+
 def test_quality_without_trusted_rows_or_documents(spark, table, prose):
     none = spark.createDataFrame([], "doc_id long")
     rows = quality_rules(table([(1, prose(50)), (2, prose(5))]), none).collect()

@@ -1,5 +1,6 @@
 """Token counts, packing, chat roles and PII surrogates."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallyhouse.llm.chat_format import LINE_SPAN, fit, format_chats, raw_transcripts, recovered_lines
+from tallyhouse.llm.chat_format import FEATURES, LINE_SPAN, ROLES, STATES, Model, features, fit, format_chats, raw_transcripts, recovered_lines
 from tallyhouse.llm.packing import best_fit, pack_tokens
 from tallyhouse.llm.pii import replace_pii, surrogates
 from tallyhouse.llm.token_counts import Encoder, token_counts, vocabulary_path
@@ -108,6 +109,31 @@ def test_segments_change_nothing(spark, sf_dir):
     assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, parts.collect()))
 
 
+def test_roles_equal_the_best_of_all_paths(spark):
+    """Every sequence of states of short chats, scored one by one; segments of one, two and all lines."""
+    draw = np.random.default_rng(2)
+    size = len(STATES)
+    table = {n: np.log(draw.dirichlet(np.ones(k), size)) for n, k in FEATURES.items()}
+    model = Model(np.log(draw.dirichlet(np.ones(size))), np.log(draw.dirichlet(np.ones(size), size)), table)
+    said = ["User: what?", "Assistant: it is.", "and so on", "", "[system] Be brief.", "Why?", "1 2 3"]
+    rows = [(c, k, random.Random(c * 10 + k).choice(said)) for c in range(12) for k in range(1 + c % 5)]
+    lines = spark.createDataFrame(rows, "conv_id long, line_no long, line string")
+    shown = {(r.conv_id, r.line_no): r for r in lines.select("*", *[v.alias(n) for n, v in features(F.col("line")).items()]).collect()}
+    want = {}
+    for c in range(12):
+        chat = [shown[c, k] for k in range(1 + c % 5)]
+
+        def score(path):
+            total = model.first[path[0]] + sum(model.step[a, b] for a, b in zip(path, path[1:]))
+            return total + sum(table[n][s, r[n]] for s, r in zip(path, chat) for n in FEATURES)
+
+        best = max(itertools.product(range(size), repeat=len(chat)), key=score)
+        want |= {(str(c), k): STATES[s][0] for k, s in enumerate(best)}
+    for span in (1, 2, 1000):
+        got = {(r.conv, r.line_no): r.role for r in recovered_lines(lines, model, span).collect()}
+        assert got == want and set(want.values()) == set(ROLES)
+
+
 def test_odd_chats(spark):
     kind = "conv_id long, turn long, role string, text string, line string"
     rows = [(1, 0, "user", "hi?", "x"), (1, 0, "user", "hi?", "x"), (1, None, None, None, None), (None, 0, "assistant", "", "y"), (2, 1, "other", "a\n\nb", "z")]
