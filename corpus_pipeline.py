@@ -15,13 +15,14 @@ from tallyhouse.llm.decontamination import decontaminated
 from tallyhouse.llm.jaccard_join import one_per_group
 from tallyhouse.llm.mixing import ADDED, mix_sources
 from tallyhouse.llm.packing import pack_tokens
-from tallyhouse.llm.quality_rules import RULE_COLUMNS, quality_rules, trusted_ids
+from tallyhouse.llm.quality_rules import RULE_COLUMNS, quality_rules, rejected_ids, trusted_ids
 from tallyhouse.sources.scratch import materialize
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs, back = set_aside(docs, RULE_COLUMNS)
-    return quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True).where("kept").select(*back)
+    judged = quality_rules(docs, trusted_ids(spark, sf_dir), distinct_texts=True, rejected=rejected_ids(spark, sf_dir))
+    return judged.where("kept").select(*back)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
