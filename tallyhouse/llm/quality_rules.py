@@ -8,7 +8,7 @@ pipeline ask for, equal texts count once in both multinomials, so copies do not
 move the ratios: texts are shuffled once for that, copies of one task as one row.
 What leaves the counting tasks is one row per cell, summed before the shuffle; the
 ratios come back as one array of `buckets` numbers. The cells grow with the
-documents, up to an array of 8 MB. Where rejected documents are named too, the
+documents, up to an array of 2 MB. Where rejected documents are named too, the
 threshold is set between the scores of labelled documents that the target
 multinomial has not seen; else it is fixed.
 """
@@ -24,8 +24,8 @@ from tallyhouse.sources.scratch import materialize
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 #: Cells of the hashed multinomials, which are the length of the broadcast array: the
-#: least power of two from twice the documents on, within these bounds.
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 20
+#: least power of two from a quarter of the documents on, within these bounds.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 18
 #: Trusted documents that the target multinomial is fitted on, the least by a seeded hash of the id.
 TRUSTED_ROWS = 20_000
 SEED = 20
@@ -101,7 +101,7 @@ def repeated_lines(text: Column) -> Column:
 
 
 def cells_for(documents: int) -> int:
-    return max(LEAST_BUCKETS, min(MOST_BUCKETS, 1 << max(2 * documents - 1, 0).bit_length()))
+    return max(LEAST_BUCKETS, min(MOST_BUCKETS, 1 << (max(documents - 1, 0) // 4).bit_length()))
 
 
 def first_ids(ids: DataFrame, rows: int) -> DataFrame:
@@ -144,14 +144,19 @@ def log_ratios(
     return rows.select(F.when(F.col("targets") > 0, ratio).otherwise(none).alias("ratios"))
 
 
-def mean_ratio(text: Column, buckets: int) -> Column:
-    """Mean of `_ratios` over the n-grams of a text; 0 without words."""
-    return let(
+def with_ratio(docs: DataFrame, text: Column, ratios: DataFrame, buckets: int, name: str) -> DataFrame:
+    """docs with the mean ratio of the n-grams of a text; 0 without words.
+
+    `_ratios` is read in one place only, so the optimizer puts the array there; kept
+    as a column, it would be copied for every row.
+    """
+    mean = let(
         ngram_cells(words_of(text), buckets),
         lambda c: F.when(F.size(c) == 0, F.lit(0.0)).otherwise(
             F.aggregate(c, F.lit(0.0), lambda acc, f: acc + F.get("_ratios", f)) / F.size(c)
         ),
     )
+    return docs.withColumn("_ratios", ratios.scalar()).withColumn(name, mean).drop("_ratios")
 
 
 def word_rules(text: Column) -> Column:
@@ -183,12 +188,12 @@ def fitted_threshold(docs: DataFrame, ratios: DataFrame, buckets: int, held: Dat
     )
     # at most 2 * `rows` ids
     labelled = docs.join(F.broadcast(ids.groupBy("doc_id").agg(F.min("good").alias("good"))), "doc_id")
-    texts = labelled.groupBy("text").agg(F.min("good").alias("good"))
-    scored = (
-        texts.withColumns({"_ratios": ratios.scalar(), "_rules": word_rules(F.col("text"))})
-        .where(~fails_base(F.col("_rules.n_words"), F.col("_rules.n_repeat_words")))
-        .select("good", mean_ratio(F.col("text"), buckets).alias("score"))
+    # written, or the rules below would be asked of every document before the join
+    texts = materialize(labelled.groupBy("text").agg(F.min("good").alias("good")))
+    fit = texts.withColumn("_rules", word_rules(F.col("text"))).where(
+        ~fails_base(F.col("_rules.n_words"), F.col("_rules.n_repeat_words"))
     )
+    scored = with_ratio(fit, F.col("text"), ratios, buckets, "score").select("good", "score")
     # a row per score, so at most 2 * `rows` in one window
     scores = scored.groupBy("score").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("poor"))
     up = Window.orderBy("score")
@@ -243,14 +248,13 @@ def quality_rules(
     else:
         ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts)
         least = F.lit(THRESHOLD if threshold is None else threshold)
-    out = docs.withColumns({"_ratios": ratios.scalar(), "_rules": word_rules(text)}).withColumns(
+    out = with_ratio(docs.withColumn("_rules", word_rules(text)), text, ratios, buckets, "llr").withColumns(
         {
             "n_words": F.col("_rules.n_words"),
             "word_chars": F.col("_rules.word_chars"),
             "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": repeated_lines(text),
             "n_repeat_words": F.col("_rules.n_repeat_words"),
-            "llr": mean_ratio(text, buckets),
         }
     )
     out = out.withColumn("base_failed", fails_base(F.col("n_words"), F.col("n_repeat_words")))

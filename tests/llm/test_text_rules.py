@@ -190,7 +190,7 @@ def test_labels_set_the_threshold(spark, table, prose, odd_rows):
 
 
 def test_cells_follow_the_documents():
-    assert [cells_for(n) for n in (0, 1, 8_192, 8_193, 100_000, 10**9)] == [1 << 14, 1 << 14, 1 << 14, 1 << 15, 1 << 18, 1 << 20]
+    assert [cells_for(n) for n in (0, 1, 65_536, 65_537, 400_000, 10**9)] == [1 << 14, 1 << 14, 1 << 14, 1 << 15, 1 << 17, 1 << 18]
 
 
 def test_quality_without_trusted_rows_or_documents(spark, table, prose):
