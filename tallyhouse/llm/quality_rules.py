@@ -10,7 +10,8 @@ What leaves the counting tasks is one row per cell, summed before the shuffle; t
 ratios come back as one array of `buckets` numbers. The cells grow with the
 documents, up to an array of 2 MB. Where rejected documents are named too, the
 threshold is set between the scores of labelled documents that the target
-multinomial has not seen; else it is fixed.
+multinomial has not seen; else it is fixed. All labelled documents count, in the one
+or in the other: ids meet hashes of the texts, so texts never travel for a label.
 """
 
 from __future__ import annotations
@@ -26,11 +27,11 @@ SYMBOLS = "[#*$%&|<>]"
 #: Cells of the hashed multinomials, which are the length of the broadcast array: the
 #: least power of two from a quarter of the documents on, within these bounds.
 LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 18
-#: Trusted documents that the target multinomial is fitted on, the least by a seeded hash of the id.
-TRUSTED_ROWS = 20_000
 SEED = 20
-#: Labelled documents of each kind that the threshold is set by, and the part of the trusted kept for it.
-HELD_ROWS, HELD_PART = 2_000, 5
+#: One in so many of the trusted is left out of the target multinomial and sets the threshold.
+HELD_PART = 5
+#: Bits of the filter, of fixed size, that spares most unlabelled documents a score; ids decide after it.
+FILTER_BITS = 1 << 23
 #: What the share of trusted documents lost weighs against the share of rejected ones kept.
 LOSS_WEIGHT = 10
 #: Mean log ratio (natural, per n-gram) below which a document is rejected where labels set no threshold.
@@ -104,27 +105,25 @@ def cells_for(documents: int) -> int:
     return max(LEAST_BUCKETS, min(MOST_BUCKETS, 1 << (max(documents - 1, 0) // 4).bit_length()))
 
 
-def first_ids(ids: DataFrame, rows: int) -> DataFrame:
-    """The first `rows` distinct ids by a seeded hash."""
-    return (
-        ids.where("doc_id IS NOT NULL")
-        .select("doc_id")
-        .distinct()
-        .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-        .limit(rows)
-    )
+def text_key(text: Column) -> Column:
+    """16 bytes that name a text."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def log_ratios(
-    docs: DataFrame, trusted: DataFrame, buckets: int, trusted_rows: int, distinct_texts: bool = False
-) -> DataFrame:
+def known_ids(ids: DataFrame) -> DataFrame:
+    return ids.where("doc_id IS NOT NULL").select("doc_id").distinct()
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, distinct_texts: bool = False) -> DataFrame:
     """One row, one array: the log ratio of trusted to raw frequency of each cell."""
-    chosen = first_ids(trusted, trusted_rows).withColumn("trusted", F.lit(1))
-    # at most `trusted_rows` ids
-    marked = docs.join(F.broadcast(chosen), "doc_id", "left")
+    chosen = known_ids(trusted)
     if distinct_texts:
-        # trusted where one of its copies is
-        marked = marked.groupBy("text").agg(F.max("trusted").alias("trusted"))
+        keyed = docs.withColumn("key", text_key(F.col("text")))
+        # trusted where one of its copies is; the join rides on the shuffle of the texts
+        marks = keyed.select("doc_id", "key").join(chosen, "doc_id").groupBy("key").agg(F.lit(1).alias("trusted"))
+        marked = keyed.groupBy("key").agg(F.first("text").alias("text")).join(marks, "key", "left")
+    else:
+        marked = docs.join(chosen.withColumn("trusted", F.lit(1)), "doc_id", "left")
     cells = marked.select("trusted", F.explode(ngram_cells(words_of(F.col("text")), buckets)).alias("cell"))
     counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.count("trusted").alias("target"))
     spark = docs.sparkSession
@@ -144,6 +143,28 @@ def log_ratios(
     return rows.select(F.when(F.col("targets") > 0, ratio).otherwise(none).alias("ratios"))
 
 
+def perhaps_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id may be in `ids`: all that are, and some that are not."""
+
+    def bit(doc_id: Column) -> Column:
+        return F.pmod(F.xxhash64(F.lit(SEED + 2), doc_id), F.lit(FILTER_BITS))
+
+    bits = ids.select(bit(F.col("doc_id").cast("string")).alias("bit"))
+    one = F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("bits"))
+    full = docs.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word")).join(words, "word", "left")
+    # one row per 64 bits: a list of fixed length
+    listed = full.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")))).alias("all"))
+    packed = listed.select(F.col("all.bits").alias("bits"))
+    found = let(
+        bit(F.col("doc_id").cast("string")),
+        lambda b: F.call_function(
+            "getbit", F.get("_bits", F.shiftright(b, 6).cast("int")), b.bitwiseAND(F.lit(63)).cast("int")
+        ),
+    )
+    return docs.withColumn("_bits", packed.scalar()).where(found == 1).drop("_bits")
+
+
 def with_ratio(docs: DataFrame, text: Column, ratios: DataFrame, buckets: int, name: str) -> DataFrame:
     """docs with the mean ratio of the n-grams of a text; 0 without words.
 
@@ -174,36 +195,61 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < 20) | (100 * n_repeat_words > 30 * n_words)
 
 
-def fitted_threshold(docs: DataFrame, ratios: DataFrame, buckets: int, held: DataFrame, rejected: DataFrame, rows: int) -> DataFrame:
+def fitted_threshold(docs: DataFrame, ratios: DataFrame, buckets: int, held: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row, one number: the threshold between the scores of labelled documents.
 
-    At most `rows` documents of `held` (trusted, but not in the target multinomial)
-    and as many of `rejected` that pass the plain rules, each distinct text once. Of
-    the middles between neighbouring scores, the one where `LOSS_WEIGHT` times the
-    share of trusted lost and the share of rejected kept add up to least, the lowest
-    of equals. NULL where either kind is missing.
+    Documents of `held` (trusted, but not in the target multinomial) and of `rejected`
+    that pass the plain rules, each distinct text once. Of the middles between
+    neighbouring scores, the one where `LOSS_WEIGHT` times the share of trusted lost and
+    the share of rejected kept add up to least, the lowest of equals. NULL where either
+    kind is missing. Scores are dealt into ranges and counted there; a range starts
+    where the counts of those before it end.
     """
-    ids = (
-        first_ids(held, rows).withColumn("good", F.lit(1)).unionByName(first_ids(rejected, rows).withColumn("good", F.lit(0)))
-    )
-    # at most 2 * `rows` ids
-    labelled = docs.join(F.broadcast(ids.groupBy("doc_id").agg(F.min("good").alias("good"))), "doc_id")
-    # written, or the rules below would be asked of every document before the join
-    texts = materialize(labelled.groupBy("text").agg(F.min("good").alias("good")))
-    fit = texts.withColumn("_rules", word_rules(F.col("text"))).where(
+    ids = known_ids(held).withColumn("good", F.lit(1)).unionByName(known_ids(rejected).withColumn("good", F.lit(0)))
+    ids = ids.groupBy("doc_id").agg(F.min("good").alias("good"))
+    near = perhaps_among(docs, ids)
+    fit = near.withColumn("_rules", word_rules(F.col("text"))).where(
         ~fails_base(F.col("_rules.n_words"), F.col("_rules.n_repeat_words"))
     )
-    scored = with_ratio(fit, F.col("text"), ratios, buckets, "score").select("good", "score")
-    # a row per score, so at most 2 * `rows` in one window
-    scores = scored.groupBy("score").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("poor"))
-    up = Window.orderBy("score")
-    below = up.rowsBetween(Window.unboundedPreceding, -1)
+    # scored where they lie: only ids, hashes and scores are written, and meet the labels
+    scored = materialize(
+        with_ratio(fit, F.col("text"), ratios, buckets, "score").select("doc_id", text_key(F.col("text")).alias("key"), "score")
+    )
+    texts = scored.join(ids, "doc_id").groupBy("key").agg(F.min("good").alias("good"), F.min("score").alias("score"))
+    scores = texts.groupBy("score").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("poor"))
+    # written, as ranges must not change between readers
+    dealt = materialize(scores.repartitionByRange("score").withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    ways = scores.select(
-        ((F.col("score") + F.lag("score").over(up)) / 2).alias("middle"),
-        (F.sum("good").over(below) / F.sum("good").over(every)).alias("lost"),
-        (F.lit(1) - F.sum("poor").over(below) / F.sum("poor").over(every)).alias("kept"),
-    ).where("middle IS NOT NULL AND lost IS NOT NULL AND kept IS NOT NULL")
+    # one row per range
+    starts = (
+        dealt.groupBy("_range")
+        .agg(F.sum("good").alias("_good"), F.sum("poor").alias("_poor"), F.max("score").alias("_last"))
+        .select(
+            "_range",
+            F.sum("_good").over(before).alias("_good"),
+            F.sum("_poor").over(before).alias("_poor"),
+            F.max("_last").over(before).alias("_last"),
+            F.sum("_good").over(every).alias("goods"),
+            F.sum("_poor").over(every).alias("poors"),
+        )
+    )
+    up = Window.partitionBy("_range").orderBy("score")
+    below = up.rowsBetween(Window.unboundedPreceding, -1)
+
+    def share(start: str, count: str, total: str) -> Column:
+        under = F.coalesce(start, F.lit(0)) + F.coalesce(F.sum(count).over(below), F.lit(0))
+        return under / F.nullif(total, F.lit(0))
+
+    ways = (
+        dealt.join(F.broadcast(starts), "_range")
+        .select(
+            ((F.col("score") + F.coalesce(F.lag("score").over(up), F.col("_last"))) / 2).alias("middle"),
+            share("_good", "good", "goods").alias("lost"),
+            (F.lit(1) - share("_poor", "poor", "poors")).alias("kept"),
+        )
+        .where("middle IS NOT NULL AND lost IS NOT NULL AND kept IS NOT NULL")
+    )
     return ways.agg(F.min(F.struct((LOSS_WEIGHT * F.col("lost") + F.col("kept")).alias("loss"), "middle"))["middle"].alias("threshold"))
 
 
@@ -211,11 +257,9 @@ def quality_rules(
     docs: DataFrame,
     trusted: DataFrame,
     buckets: int | None = None,
-    trusted_rows: int = TRUSTED_ROWS,
     threshold: float | None = None,
     distinct_texts: bool = False,
     rejected: DataFrame | None = None,
-    held_rows: int = HELD_ROWS,
 ) -> DataFrame:
     """docs with the rule columns, the log ratio `llr` and the verdict `kept`.
 
@@ -231,8 +275,7 @@ def quality_rules(
     `buckets` follow the number of documents where none are given (`cells_for`). A
     document is kept from `threshold` on. Where that is None, `rejected` lists
     doc_id values of poor documents: a fifth of the trusted is then left out of the
-    target multinomial, and at most `held_rows` of it and of the rejected set the
-    threshold. Without them nothing is left out and the threshold is `THRESHOLD`, as it
+    target multinomial, and all of it and of the rejected set the threshold. Without them nothing is left out and the threshold is `THRESHOLD`, as it
     is where one kind has no document that passes the plain rules.
     """
     docs, back = set_aside(docs.drop(*RULE_COLUMNS), ["_ratios", "_rules"])
@@ -241,12 +284,12 @@ def quality_rules(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     if threshold is None and rejected is not None and not rejected.where("doc_id IS NOT NULL").isEmpty():
         own = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(HELD_PART)) == 0
-        ratios = materialize(log_ratios(read, trusted.where(~own), buckets, trusted_rows, distinct_texts))
+        ratios = materialize(log_ratios(read, trusted.where(~own), buckets, distinct_texts))
         least = F.coalesce(
-            fitted_threshold(read, ratios, buckets, trusted.where(own), rejected, held_rows).scalar(), F.lit(THRESHOLD)
+            fitted_threshold(read, ratios, buckets, trusted.where(own), rejected).scalar(), F.lit(THRESHOLD)
         )
     else:
-        ratios = log_ratios(read, trusted, buckets, trusted_rows, distinct_texts)
+        ratios = log_ratios(read, trusted, buckets, distinct_texts)
         least = F.lit(THRESHOLD if threshold is None else threshold)
     out = with_ratio(docs.withColumn("_rules", word_rules(text)), text, ratios, buckets, "llr").withColumns(
         {

@@ -11,7 +11,17 @@ from pyspark.sql import functions as F
 
 from corpus_pipeline import keep_good, repeat_sources
 from tallyhouse.llm.mixing import mix_sources
-from tallyhouse.llm.quality_rules import HELD_PART, LOSS_WEIGHT, SEED, cells_for, op10_quality_rules, quality_rules
+from tallyhouse.llm.quality_rules import (
+    HELD_PART,
+    LOSS_WEIGHT,
+    SEED,
+    cells_for,
+    log_ratios,
+    ngram_cells,
+    op10_quality_rules,
+    quality_rules,
+    words_of,
+)
 from tallyhouse.llm.secret_scans import joined, outside_of, secret_scan
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -189,6 +199,43 @@ def test_labels_set_the_threshold(spark, table, prose, odd_rows):
     assert quality_rules(table([]), ids[0], rejected=ids[1]).collect() == []
 
 
+def test_all_labelled_documents_count(spark):
+    """More trusted and rejected documents than any fixed number; the model and the threshold follow the last."""
+    n = F.col("id")
+    words = F.concat_ws(" ", *[F.concat(F.lit("w"), (n * 7 + 13 * k) % 211) for k in range(24)])
+    other = F.concat_ws(" ", *[F.concat(F.lit("x"), (n * 5 + 11 * k) % 97) for k in range(24)])
+    good = spark.range(30_000).select(n.alias("doc_id"), F.concat_ws(" ", words, F.concat(F.lit("g"), n)).alias("text"))
+    poor = spark.range(40_000, 45_000).select(n.alias("doc_id"), F.concat_ws(" ", other, F.concat(F.lit("p"), n)).alias("text"))
+    docs = good.unionByName(poor)
+    ids = [df.select("doc_id") for df in (good, poor)]
+    docs = docs.repartition(4)
+    own = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.lit(HELD_PART)) == 0
+    texts = docs.select("doc_id", "text")
+    ratios = log_ratios(texts, ids[0], 1024).first().ratios
+    counts = Counter()
+    target = Counter()
+    for r in texts.select("doc_id", ngram_cells(words_of(F.col("text")), 1024).alias("cells")).toLocalIterator():
+        counts.update(r.cells)
+        if r.doc_id < 30_000:
+            target.update(r.cells)
+    raws, targets = sum(counts.values()), sum(target.values())
+    for cell, ratio in enumerate(ratios):
+        want = math.log((target[cell] + 1) / (targets + 1024)) - math.log((counts[cell] + 1) / (raws + 1024))
+        assert math.isclose(ratio, want, rel_tol=1e-9, abs_tol=1e-9)
+    judged = quality_rules(docs, ids[0], buckets=1024, rejected=ids[1]).select("doc_id", "llr", "base_failed", "kept")
+    rows = judged.withColumn("own", own).collect()
+    told = sorted((r.llr, r.doc_id < 30_000) for r in rows if not r.base_failed and (r.doc_id >= 40_000 or r.own))
+    goods, poors = sum(g for _, g in told), sum(not g for _, g in told)
+    assert goods > 5_000 and poors == 5_000
+    ways, lost, gone = [], 0, 0
+    for (low, is_good), (high, _) in zip(told, told[1:]):
+        lost, gone = lost + is_good, gone + (not is_good)
+        if low != high:
+            ways.append((LOSS_WEIGHT * lost / goods + 1 - gone / poors, (low + high) / 2))
+    least = min(ways)[1]
+    assert all(r.kept == (not r.base_failed and r.llr >= least) for r in rows)
+
+
 def test_cells_follow_the_documents():
     assert [cells_for(n) for n in (0, 1, 65_536, 65_537, 400_000, 10**9)] == [1 << 14, 1 << 14, 1 << 14, 1 << 15, 1 << 17, 1 << 18]
 
