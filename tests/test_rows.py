@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys
-from tallyhouse.operators.rows import keep_latest, next_in_group, number_in_group, pieces, require_unique
+from tallyhouse.operators.rows import check_unique, keep_latest, next_in_group, number_in_group, pieces, require_unique
 
 
 def hot_rows(count, seed, distinct_days=9):
@@ -95,6 +95,22 @@ def test_number_in_group_matches_sorting(spark, seed):
     assert Counter(map(tuple, got.collect())) == want
 
 
+def test_rows_of_single_keys_are_numbered_without_a_shuffle_of_rows(spark):
+    df = spark.range(1000).select((F.col("id") % 990).alias("k"), F.col("id").alias("v"))
+    numbered = number_in_group(df, ["k"], ["v"], "nth")
+    assert numbered.where("nth = 2").count() == 10
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin [_key" not in plan
+
+
+def test_check_unique(spark):
+    kind = "a string, b string"
+    check_unique(spark.createDataFrame([("x", "y"), ("y", "x"), ("x", "x")], kind), ["a", "b"], "test")
+    for rows in ([("x", "y"), ("x", "y")], [("x", None), ("y", "z")], [(None, "x")]):
+        with pytest.raises(ValueError, match="test: repeated or missing key"):
+            check_unique(spark.createDataFrame(rows, kind), ["a", "b"], "test")
+
+
 def test_require_unique(spark):
     good = spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string")
     assert require_unique(good, ["k"], "test").count() == 2
