@@ -6,7 +6,7 @@ texts differ by few edits their walks fall back in step, so edit distance become
 distance of the walks. The fingerprint keeps the characters at sampled steps: 64 of the
 first 64 steps and of every doubling after, so a sample of a later stretch stands for more
 steps. Bands of sampled characters find texts with like fingerprints; the whole
-fingerprints are then compared.
+fingerprints of all texts of a band are then compared, unless links join them already.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ END = 63
 #: Characters walked at once in a task; steps whose random bits are made at once.
 AT_ONCE, BLOCK = 1 << 25, 4096
 #: Bands of a fingerprint at each of two scales, sampled characters in each, likeness that links two texts.
-BANDS, ROWS, LIKENESS = 8, 6, 0.8
+BANDS, ROWS, LIKENESS = 12, 6, 0.8
+#: Fingerprints up to this length are banded so that no two like ones miss each other; texts of a band compared at once.
+SHORT, CHUNK = 2 * SAMPLES, 1000
 #: Sampled documents that cut the order of documents into ranges; they only decide how even these are.
 SAMPLE = 50_000
 PACKED = "bucket int, guest boolean, id long, tie long, copies long, n_chars long, text binary"
@@ -374,36 +376,56 @@ def band_places(scale: int) -> np.ndarray:
     return np.searchsorted(total, draws / 2.0**53 * total[-1], side="right").reshape(BANDS, ROWS)
 
 
-def bands(print_: str) -> list[int]:
+def short_places(upper: int, least: float) -> list[slice]:
+    """Places below `upper` dealt into more parts than like fingerprints up to that length have differences."""
+    parts = int(upper * (1 - least) + 1e-9) + 1
+    return [slice(k, upper, parts) for k in range(parts)]
+
+
+def bands(print_: str, least: float = LIKENESS) -> list[int]:
     """Hashes of the bands at the widest scale that a fingerprint fills and at the next narrower one.
 
-    Texts whose walks differ by less than a factor of two share a scale.
+    Texts whose walks differ by less than a factor of two share a scale. Samples up to
+    SHORT weigh the same, so of two like fingerprints of at most that length one part
+    of `short_places` is the same; a fingerprint is dealt for the power of two above its
+    length and for that above the greatest length of one like it.
     """
-    widest = len(print_) // SAMPLES - 1
-    if widest < 0:  # a short text is a band of its own
-        return [_tie(b"short" + print_.encode())] if print_ else []
+    if not print_:
+        return []
     symbols = np.frombuffer(print_.encode(), dtype=np.uint8)
     out = []
-    for scale in {widest, max(widest - 1, 0)}:
-        for number, places in enumerate(band_places(scale)):
-            out.append(_tie(b"%d %d " % (scale, number) + symbols[places].tobytes()))
+    longest = int(len(print_) / least + 1e-9) if least > 0 else SHORT + 1
+    for upper in sorted({1 << (n - 1).bit_length() for n in (len(print_), longest)}):
+        if upper <= SHORT:
+            padded = np.zeros(upper, dtype=np.uint8)
+            padded[: len(symbols)] = symbols
+            for number, places in enumerate(short_places(upper, least)):
+                out.append(_tie(b"short %d %d " % (upper, number) + padded[places].tobytes()))
+    widest = len(print_) // SAMPLES - 1
+    if longest > SHORT and widest >= 0:
+        for scale in {widest, max(widest - 1, 0)}:
+            for number, places in enumerate(band_places(scale)):
+                out.append(_tie(b"%d %d " % (scale, number) + symbols[places].tobytes()))
     return out
 
 
-def _banding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[bytes] = set()  # copies have the same bands; forgetting some only repeats them
-    for batch in batches:
-        keys, found = [], []
-        for key, print_ in zip(batch["key"].to_pylist(), batch["fingerprint"].to_pylist()):
-            if key in seen:
-                continue
-            seen.add(key)
-            some = bands(print_)
-            keys += [key] * len(some)
-            found += some
-        if len(seen) > REMEMBERED:
-            seen.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.int64())], names=["key", "band"])
+def _banding(least: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # copies have the same bands; forgetting some only repeats them
+        for batch in batches:
+            keys, found = [], []
+            for key, print_ in zip(batch["key"].to_pylist(), batch["fingerprint"].to_pylist()):
+                if key in seen:
+                    continue
+                seen.add(key)
+                some = bands(print_, least)
+                keys += [key] * len(some)
+                found += some
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.int64())], names=["key", "band"])
+
+    return work
 
 
 def _verifying(least: float):
@@ -417,16 +439,78 @@ def _verifying(least: float):
     return work
 
 
-def like_texts(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
+def new_links(left: list[tuple], right: list[tuple] | None, least: float) -> list[tuple]:
+    """Links (root, root) between (root, fingerprint) of different roots; of `left` with itself without `right`.
+
+    Roots that a link has joined count as one from there on.
+    """
+    others = left if right is None else right
+    numbers = {root: n for n, root in enumerate(dict.fromkeys(root for root, _ in [*left, *others]))}
+    names = list(numbers)
+    sizes = np.array([len(p) for _, p in others])
+    matrix = np.zeros((len(others), int(sizes.max(initial=0))), dtype=np.uint8)
+    for k, (_, print_) in enumerate(others):
+        matrix[k, : len(print_)] = np.frombuffer(print_.encode(), dtype=np.uint8)
+    weight = weights(max([matrix.shape[1], *[len(p) for _, p in left]]))
+    total = np.cumsum(weight)
+    joined = np.arange(len(names))
+    theirs = np.array([numbers[root] for root, _ in others])
+    out = []
+    for k, (root, print_) in enumerate(left):
+        own = numbers[root]
+        at = np.flatnonzero(joined[theirs] != joined[own])
+        if right is None:
+            at = at[at > k]
+        if len(at) == 0 or len(print_) == 0:
+            continue
+        common = min(len(print_), matrix.shape[1])
+        symbols = np.frombuffer(print_[:common].encode(), dtype=np.uint8)
+        same = (matrix[at, :common] == symbols) @ weight[:common]
+        for other in theirs[at[same / total[np.maximum(sizes[at], len(print_)) - 1] >= least]].tolist():
+            if joined[other] != joined[own]:
+                out.append((names[own], names[other]))
+                joined[joined == joined[other]] = joined[own]
+    return out
+
+
+def _comparing(least: float):
+    """Per cell of a band, in order, the links between texts of its two sides that nothing joins yet."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, sides = None, ([], [])
+
+        def links() -> pa.RecordBatch:
+            found = new_links(sides[0], sides[1] if last[1] != last[2] else None, least)
+            columns = zip(*found) if found else [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+        for batch in batches:
+            for band, i, j, chunk, root, print_ in zip(*(batch[n].to_pylist() for n in ("band", "i", "j", "chunk", "root", "fingerprint"))):
+                if last is not None and last != (band, i, j):
+                    yield links()
+                    sides = ([], [])
+                last = (band, i, j)
+                sides[chunk != i].append((root, print_))
+        if last is not None:
+            yield links()
+
+    return work
+
+
+def like_texts(prints: DataFrame, least: float = LIKENESS, chunk: int = CHUNK) -> DataFrame:
     """(node, root) for the texts of (key, fingerprint) linked with another; `key` names a text.
 
-    The texts of a band are compared with the least key in it, by whole fingerprints; so a
-    band of any size costs one comparison a text. A text has up to 16 bands to be linked in.
-    Only the fingerprints of texts that share a band travel.
+    Two texts that share a band are linked where their whole fingerprints are as like as
+    `least`. First the texts of a band are compared with the least key in it, one
+    comparison a text. Where links do not join all texts of a band by then, those that
+    they leave apart are compared with each other, in cells of two chunks of the band; so
+    no task holds a whole band. Only the fingerprints of texts that share a band travel.
     """
-    rows = prints.mapInArrow(_banding, "key binary, band long")
+    rows = prints.mapInArrow(_banding(least), "key binary, band long")
     pivots = rows.groupBy("band").agg(F.min("key").alias("pivot"), F.max("key").alias("last")).where("pivot <> last")
-    met = rows.join(pivots.select("band", "pivot"), "band").where("key <> pivot")
+    met = materialize(
+        rows.join(pivots.select("band", "pivot"), "band").where("key <> pivot").select("band", "key", "pivot").distinct()
+    )
     pairs = materialize(met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     marks = materialize(
@@ -435,14 +519,40 @@ def like_texts(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
     both = pairs.join(marks.select(F.col("key").alias("a"), F.col("fingerprint").alias("fa")), "a").join(
         marks.select(F.col("key").alias("b"), F.col("fingerprint").alias("fb")), "b"
     )
-    return components(both.select("a", "b", "fa", "fb").mapInArrow(_verifying(least), "a binary, b binary"))
+    linked = materialize(components(both.select("a", "b", "fa", "fb").mapInArrow(_verifying(least), "a binary, b binary")))
+
+    # the pivot has met all others of its band
+    rooted = met.select("band", "key").join(linked.withColumnRenamed("node", "key"), "key", "left").select(
+        "band", "key", F.coalesce("root", "key").alias("root")
+    )
+    parted = rooted.groupBy("band").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / F.lit(chunk)).cast("int").alias("chunks")
+    )
+    parted = parted.where("low <> high").select("band", "chunks")
+    apart = rooted.join(parted, "band").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
+    cells = apart.join(marks, "key").select(
+        "band", "root", "fingerprint", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    )
+    cells = cells.select(
+        "band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "root", "fingerprint"
+    )
+    more = materialize(
+        cells.repartition("band", "i", "j")
+        .sortWithinPartitions("band", "i", "j")
+        .mapInArrow(_comparing(least), "a binary, b binary")
+        .distinct()
+    )
+    if more.isEmpty():
+        return linked
+    return components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def fingerprint_classes(docs: DataFrame, least: float = LIKENESS, **options) -> DataFrame:
     """`edit_fingerprints` with `class_id`: the least doc_id of the texts that are linked with this one.
 
-    Links join texts that share a band with the band's least text and are as like to it as
-    `least`; equal texts are one text. Empty texts have no links and keep their own id.
+    Links join texts that share a band and are as like as `least`; equal texts are one
+    text. Empty texts have no links and keep their own id. Like fingerprints of up to
+    SHORT samples always share a band, longer ones all but surely.
     """
     spark = docs.sparkSession
     folder = scratch_dir(spark)

@@ -125,3 +125,61 @@ def test_classes_of_copies(table, prose, odd_rows):
     found = dict(got)
     assert sum(found[a] == b for a, b in planted) >= 0.9 * len(planted)
     assert all(found[1000 + k] == 1000 + k for k in range(40))
+
+
+def linked(spark, prints, **options):
+    """Groups of linked places in a list of fingerprints."""
+    keys = [b"%08d" % k for k in range(len(prints))]
+    rows = spark.createDataFrame(list(zip(map(bytearray, keys), prints)), "key binary, fingerprint string")
+    root = {bytes(r.node): bytes(r.root) for r in e.like_texts(rows, **options).collect()}
+    groups = {}
+    for k, key in enumerate(keys):
+        groups.setdefault(root.get(key, key), set()).add(k)
+    return sorted(map(sorted, groups.values()))
+
+
+def all_linked(prints):
+    """The same by comparing all pairs."""
+    group = list(range(len(prints)))
+    for a in range(len(prints)):
+        for b in range(a):
+            if e.likeness(prints[a], prints[b]) >= e.LIKENESS:
+                group = [group[b] if g == group[a] else g for g in group]
+    groups = {}
+    for k, g in enumerate(group):
+        groups.setdefault(g, set()).add(k)
+    return sorted(map(sorted, groups.values()))
+
+
+def changed_print(rng, print_, share):
+    out = [rng.choice("xyz") if rng.random() < share else c for c in print_]
+    return "".join(out)[: len(out) - rng.randint(0, 3)]
+
+
+@pytest.mark.parametrize("chunk", [e.CHUNK, 2])
+def test_links_beside_the_least_text_of_a_band(spark, chunk):
+    rng = random.Random(5)
+    first = "".join(rng.choice("abcdefgh") for _ in range(5 * e.SAMPLES))
+    second = "".join("z" if k % 10 == 9 else c for k, c in enumerate(first))
+    # each band that the two share has a least text that is like neither
+    pivots = []
+    for scale in (4, 3):
+        for places in e.band_places(scale):
+            pivot = [rng.choice("ABCDEFGH") for _ in first]
+            for k in places:
+                pivot[k] = first[k]
+            pivots.append("".join(pivot))
+    prints = [*pivots, first, second]
+    want = all_linked(prints)
+    assert want == [[k] for k in range(len(pivots))] + [[len(pivots), len(pivots) + 1]]
+    assert linked(spark, prints, chunk=chunk) == want
+
+
+def test_no_link_between_short_texts_is_lost(spark):
+    rng = random.Random(9)
+    prints = []
+    for _ in range(60):
+        base = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, e.SHORT)))
+        prints += [base, *(changed_print(rng, base, rng.choice([0.1, 0.2, 0.25])) for _ in range(3))]
+    prints = list(dict.fromkeys(p for p in prints if p))
+    assert linked(spark, prints) == all_linked(prints)
