@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 _FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _AGAIN = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
@@ -78,8 +80,10 @@ def measures_by_key(
     if keys_resolved:
         return per_key
 
+    # written: read three times, and the joins with few lost keys need no shuffle of the fact
+    per_key = materialize(per_key)
     members = dim.select(key)
-    lost = per_key.join(members, key, "left_anti").select(F.col(key).alias("_key"))
+    lost = materialize(per_key.join(members, key, "left_anti").select(F.col(key).alias("_key")))
     rows = []
     for nth, (name, column) in enumerate(distinct.items()):
         theirs = groups[nth].join(lost, F.col(key).eqNullSafe(F.col("_key")), "left_semi")

@@ -189,3 +189,14 @@ def test_report_view(star, spark):
     fact, customers, _ = star
     reports.publish_view(reports.report_customers(fact, customers, D(2021, 1, 1)), "report_customers")
     assert spark.sql("SELECT count(*) FROM report_customers").first()[0] == 5
+
+
+def test_the_fact_is_read_once_a_count_to_find_orphans(spark):
+    fact = spark.range(900).selectExpr("id % 7 AS k", "id % 11 AS a", "id % 5 AS b", "id AS v")
+    dim = spark.createDataFrame([(k,) for k in range(5)], "k long")
+    got = measures_by_key(fact, dim, "k", {"as": "a", "bs": "b"}, {"total": ("sum", "v")})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 900") == 2
+    lost = {r for r in range(900) if r % 7 > 4}
+    row = got.where("k IS NULL").first()
+    assert (row["as"], row.bs, row.total) == (len({r % 11 for r in lost}), len({r % 5 for r in lost}), sum(lost))
