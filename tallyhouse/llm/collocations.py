@@ -12,6 +12,7 @@ share of all are dealt into several by the hash of the rest.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -115,13 +116,17 @@ class Vocabulary(dict):
         super().__init__({b"": PAD, b"\n": BREAK})
         self.names: list[bytes] = []
         self.hashes: list[int] = []
-        self.seed, self.allowed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")), allowed
+        self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+        # one byte of a view is read faster than one of an array
+        self.allowed = None if allowed is None else memoryview(allowed)
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, self.seed)
-        if self.allowed is not None and not in_bitmap(self.allowed, h):
-            self[word] = RARE
-            return RARE
+        if self.allowed is not None:
+            cell = h % (8 * len(self.allowed))
+            if not self.allowed[cell >> 3] >> (cell & 7) & 1:
+                self[word] = RARE
+                return RARE
         self.names.append(word)
         self.hashes.append(h)
         self[word] = value = len(self.names) - 1
@@ -138,11 +143,8 @@ def phrase_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def in_bitmap(bitmap: np.ndarray, hashes):
-    """Whether the cells of hashes are set; of an array, or of one number."""
-    if isinstance(hashes, int):
-        cell = hashes % (8 * len(bitmap))
-        return bool(bitmap[cell >> 3] >> (cell & 7) & 1)
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the cells of hashes are set."""
     cell = hashes % np.uint64(8 * len(bitmap))
     return (bitmap[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
@@ -200,8 +202,11 @@ class Counting:
         names = self.words.names
         for head, items in self.trie.spill(down_to):
             by_size: dict[int, list] = {}
-            for item in items:
-                by_size.setdefault(len(item[0]), []).append(item)
+            if len(self.lengths) == 1:
+                by_size[0] = items
+            else:
+                for item in items:
+                    by_size.setdefault(len(item[0]), []).append(item)
             for some in by_size.values():
                 ids = np.frombuffer(b"".join(t for t, _ in some), dtype=np.int32).reshape(len(some), -1)
                 columns = [[names[k] for k in ids[:, c].tolist()] for c in range(ids.shape[1])]
@@ -291,7 +296,12 @@ def _counting(lengths: list[int], allowed, shorter, hot, buckets: int, full: int
             yield from held.spilled(0)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _rows(runs(batches), hot, buckets)
+        # a trie has no cycles, and to look for some among its entries takes long
+        gc.disable()
+        try:
+            yield from _rows(runs(batches), hot, buckets)
+        finally:
+            gc.enable()
 
     return work
 
