@@ -48,23 +48,28 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
 
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
 def ngram_cells(words: Column, buckets: int) -> Column:
     """Cells of all word unigrams and bigrams."""
+    return let(hashes_of(words), lambda h: hashed_cells(h, buckets))
 
-    def cells(h: Column) -> Column:
-        n = F.size(h)
-        pairs = F.zip_with(
-            F.slice(h, 1, F.greatest(n - 1, F.lit(0))),
-            F.slice(h, 2, F.greatest(n - 1, F.lit(0))),
-            lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"),
-        )
-        return F.concat(F.transform(h, lambda a: F.pmod(a, F.lit(buckets)).cast("int")), pairs)
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), cells)
+def hashed_cells(h: Column, buckets: int) -> Column:
+    """The same from the hashes of the words."""
+    n = F.size(h)
+    pairs = F.zip_with(
+        F.slice(h, 1, F.greatest(n - 1, F.lit(0))),
+        F.slice(h, 2, F.greatest(n - 1, F.lit(0))),
+        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"),
+    )
+    return F.concat(F.transform(h, lambda a: F.pmod(a, F.lit(buckets)).cast("int")), pairs)
 
 
-def repeated_words(words: Column, window: int = WINDOW) -> Column:
-    """Words inside windows of `window` words that a text holds twice or more."""
+def repeated_words(h: Column, window: int = WINDOW) -> Column:
+    """Words inside windows of `window` words that a text holds twice or more, from the hashes of the words."""
 
     def covered(at: Column) -> Column:
         steps = F.transform(
@@ -86,13 +91,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
             let(pairs, twice)
         )
 
-    def hashed(h: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(h) - (window - 1))
-        return F.when(F.size(h) < window, F.lit(0).cast("long")).otherwise(
-            let(F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, window))), count)
-        )
-
-    return let(F.transform(words, lambda w: F.xxhash64(w)), hashed)
+    starts = F.sequence(F.lit(1), F.size(h) - (window - 1))
+    return F.when(F.size(h) < window, F.lit(0).cast("long")).otherwise(
+        let(F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, window))), count)
+    )
 
 
 def repeated_lines(text: Column) -> Column:
@@ -165,28 +167,38 @@ def perhaps_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.withColumn("_bits", packed.scalar()).where(found == 1).drop("_bits")
 
 
+def mean_ratio(h: Column, buckets: int) -> Column:
+    """The mean ratio of the n-grams of a text, from the hashes of its words and `_ratios`; 0 without words."""
+    return let(
+        hashed_cells(h, buckets),
+        lambda c: F.when(F.size(c) == 0, F.lit(0.0)).otherwise(
+            F.aggregate(c, F.lit(0.0), lambda acc, f: acc + F.get("_ratios", f)) / F.size(c)
+        ),
+    )
+
+
 def with_ratio(docs: DataFrame, text: Column, ratios: DataFrame, buckets: int, name: str) -> DataFrame:
-    """docs with the mean ratio of the n-grams of a text; 0 without words.
+    """docs with the mean ratio of the n-grams of a text.
 
     `_ratios` is read in one place only, so the optimizer puts the array there; kept
     as a column, it would be copied for every row.
     """
-    mean = let(
-        ngram_cells(words_of(text), buckets),
-        lambda c: F.when(F.size(c) == 0, F.lit(0.0)).otherwise(
-            F.aggregate(c, F.lit(0.0), lambda acc, f: acc + F.get("_ratios", f)) / F.size(c)
-        ),
-    )
+    mean = let(hashes_of(words_of(text)), lambda h: mean_ratio(h, buckets))
     return docs.withColumn("_ratios", ratios.scalar()).withColumn(name, mean).drop("_ratios")
 
 
-def word_rules(text: Column) -> Column:
+def word_rules(text: Column, *more) -> Column:
+    """A struct of the rules on words, and of what functions in `more` make of the hashes of the words."""
     return let(
         words_of(text),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-            repeated_words(w).alias("n_repeat_words"),
+        lambda w: let(
+            hashes_of(w),
+            lambda h: F.struct(
+                F.size(w).cast("long").alias("n_words"),
+                F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+                repeated_words(h).alias("n_repeat_words"),
+                *[made(h) for made in more],
+            ),
         ),
     )
 
@@ -291,8 +303,11 @@ def quality_rules(
     else:
         ratios = log_ratios(read, trusted, buckets, distinct_texts)
         least = F.lit(THRESHOLD if threshold is None else threshold)
-    out = with_ratio(docs.withColumn("_rules", word_rules(text)), text, ratios, buckets, "llr").withColumns(
+    # split and hashed once for the rules and the ratio; `_ratios` as in `with_ratio`
+    rules = word_rules(text, lambda h: mean_ratio(h, buckets).alias("llr"))
+    out = docs.withColumn("_ratios", ratios.scalar()).withColumn("_rules", rules).drop("_ratios").withColumns(
         {
+            "llr": F.col("_rules.llr"),
             "n_words": F.col("_rules.n_words"),
             "word_chars": F.col("_rules.word_chars"),
             "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
