@@ -44,6 +44,11 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def made_once(df: DataFrame, name: str) -> DataFrame:
+    """df with the column `name` behind a generator: the optimizer does not copy what makes it into filters on it."""
+    return df.withColumn(name, F.explode(F.array(name)))
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
@@ -220,7 +225,7 @@ def fitted_threshold(docs: DataFrame, ratios: DataFrame, buckets: int, held: Dat
     ids = known_ids(held).withColumn("good", F.lit(1)).unionByName(known_ids(rejected).withColumn("good", F.lit(0)))
     ids = ids.groupBy("doc_id").agg(F.min("good").alias("good"))
     near = perhaps_among(docs, ids)
-    fit = near.withColumn("_rules", word_rules(F.col("text"))).where(
+    fit = made_once(near.withColumn("_rules", word_rules(F.col("text"))), "_rules").where(
         ~fails_base(F.col("_rules.n_words"), F.col("_rules.n_repeat_words"))
     )
     # scored where they lie: only ids, hashes and scores are written, and meet the labels
@@ -305,7 +310,7 @@ def quality_rules(
         least = F.lit(THRESHOLD if threshold is None else threshold)
     # split and hashed once for the rules and the ratio; `_ratios` as in `with_ratio`
     rules = word_rules(text, lambda h: mean_ratio(h, buckets).alias("llr"))
-    out = docs.withColumn("_ratios", ratios.scalar()).withColumn("_rules", rules).drop("_ratios").withColumns(
+    out = made_once(docs.withColumn("_ratios", ratios.scalar()).withColumn("_rules", rules).drop("_ratios"), "_rules").withColumns(
         {
             "llr": F.col("_rules.llr"),
             "n_words": F.col("_rules.n_words"),

@@ -236,6 +236,14 @@ def test_all_labelled_documents_count(spark):
     assert all(r.kept == (not r.base_failed and r.llr >= least) for r in rows)
 
 
+def test_a_filter_on_the_verdict_does_not_repeat_the_rules(spark, table, prose):
+    ids = spark.createDataFrame([(1,)], "doc_id long")
+    judged = quality_rules(table([(k, prose(30)) for k in range(8)]), ids, buckets=256)
+    kept = judged.where("kept").select("doc_id")
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("array_join(") == 1
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in judged.collect() if r.kept)
+
+
 def test_cells_follow_the_documents():
     assert [cells_for(n) for n in (0, 1, 65_536, 65_537, 400_000, 10**9)] == [1 << 14, 1 << 14, 1 << 14, 1 << 15, 1 << 17, 1 << 18]
 
