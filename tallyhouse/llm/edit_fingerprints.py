@@ -12,12 +12,14 @@ fingerprints of all texts of a band are then compared, unless links join them al
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -37,6 +39,8 @@ END = 63
 AT_ONCE, BLOCK = 1 << 25, 4096
 #: Bands of a fingerprint at each of two scales, sampled characters in each, likeness that links two texts.
 BANDS, ROWS, LIKENESS = 12, 6, 0.8
+#: Texts up to which a band has ROWS characters; one more for each MORE times as many.
+FEW, MORE = 16_000, 5
 #: Fingerprints up to this length are banded so that no two like ones miss each other; texts of a band compared at once.
 SHORT, CHUNK = 2 * SAMPLES, 1000
 #: Sampled documents that cut the order of documents into ranges; they only decide how even these are.
@@ -367,13 +371,24 @@ def edit_fingerprints(
 # -- like fingerprints ----------------------------------------------------
 
 
+def rows_for(texts: int) -> int:
+    """Sampled characters in a band. Unlike texts that share one by chance grow with the square of the texts otherwise."""
+    return ROWS + max(0, math.ceil(math.log(max(texts, 1) / FEW, MORE)))
+
+
+def bands_for(rows: int) -> int:
+    """Bands at a scale with which texts as like as LIKENESS miss each other no more often than with BANDS of ROWS."""
+    return math.ceil(BANDS * math.log1p(-(LIKENESS**ROWS)) / math.log1p(-(LIKENESS**rows)) - 1e-9)
+
+
 @cache
-def band_places(scale: int) -> np.ndarray:
-    """BANDS rows of ROWS samples below step 64 * 2**scale; a sample is as likely as the steps it stands for."""
+def band_places(scale: int, rows: int = ROWS) -> np.ndarray:
+    """Bands of `rows` samples below step 64 * 2**scale; a sample is as likely as the steps it stands for."""
+    count = bands_for(rows)
     weight = weights(SAMPLES * (scale + 1))
     total = np.cumsum(weight)
-    draws = mixed(np.arange(BANDS * ROWS, dtype=np.uint64) + np.uint64((scale + 1) << 32)) >> np.uint64(11)
-    return np.searchsorted(total, draws / 2.0**53 * total[-1], side="right").reshape(BANDS, ROWS)
+    draws = mixed(np.arange(count * rows, dtype=np.uint64) + np.uint64((scale + 1) << 32)) >> np.uint64(11)
+    return np.searchsorted(total, draws / 2.0**53 * total[-1], side="right").reshape(count, rows)
 
 
 def short_places(upper: int, least: float) -> list[slice]:
@@ -382,7 +397,7 @@ def short_places(upper: int, least: float) -> list[slice]:
     return [slice(k, upper, parts) for k in range(parts)]
 
 
-def bands(print_: str, least: float = LIKENESS) -> list[int]:
+def bands(print_: str, least: float = LIKENESS, rows: int = ROWS) -> list[int]:
     """Hashes of the bands at the widest scale that a fingerprint fills and at the next narrower one.
 
     Texts whose walks differ by less than a factor of two share a scale. Samples up to
@@ -404,12 +419,12 @@ def bands(print_: str, least: float = LIKENESS) -> list[int]:
     widest = len(print_) // SAMPLES - 1
     if longest > SHORT and widest >= 0:
         for scale in {widest, max(widest - 1, 0)}:
-            for number, places in enumerate(band_places(scale)):
+            for number, places in enumerate(band_places(scale, rows)):
                 out.append(_tie(b"%d %d " % (scale, number) + symbols[places].tobytes()))
     return out
 
 
-def _banding(least: float):
+def _banding(least: float, rows: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # copies have the same bands; forgetting some only repeats them
         for batch in batches:
@@ -418,7 +433,7 @@ def _banding(least: float):
                 if key in seen:
                     continue
                 seen.add(key)
-                some = bands(print_, least)
+                some = bands(print_, least, rows)
                 keys += [key] * len(some)
                 found += some
             if len(seen) > REMEMBERED:
@@ -428,6 +443,27 @@ def _banding(least: float):
     return work
 
 
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(band, key, pivot) of sorted (band, key): each text but the least of its band, once. No band is held."""
+    last_band = last_key = pivot = None
+    for batch in batches:
+        band, keys = batch["band"].to_numpy(), batch["key"]
+        if len(band) == 0:
+            continue
+        first, again = np.ones(len(band), dtype=bool), np.zeros(len(band), dtype=bool)
+        first[0] = last_band is None or band[0] != last_band
+        first[1:] = band[1:] != band[:-1]
+        again[0] = keys[0].as_py() == last_key
+        again[1:] = pc.equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+        # place of the least text, after the one that an earlier batch began with
+        start = np.maximum.accumulate(np.where(first, np.arange(len(band)) + 1, 0))
+        at = np.flatnonzero(~first & ~again)
+        pivots = pa.concat_arrays([pa.array([pivot], pa.binary()), keys])
+        found = [pa.array(band[at]), keys.take(pa.array(at)), pivots.take(pa.array(start[at]))]
+        last_band, last_key, pivot = band[-1], keys[-1].as_py(), pivots[int(start[-1])].as_py()
+        yield pa.RecordBatch.from_arrays(found, names=["band", "key", "pivot"])
+
+
 def _verifying(least: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -505,11 +541,14 @@ def like_texts(prints: DataFrame, least: float = LIKENESS, chunk: int = CHUNK) -
     comparison a text. Where links do not join all texts of a band by then, those that
     they leave apart are compared with each other, in cells of two chunks of the band; so
     no task holds a whole band. Only the fingerprints of texts that share a band travel.
+    Bands grow with the logarithm of the number of texts, so that few share one by chance.
     """
-    rows = prints.mapInArrow(_banding(least), "key binary, band long")
-    pivots = rows.groupBy("band").agg(F.min("key").alias("pivot"), F.max("key").alias("last")).where("pivot <> last")
+    # dealt once; a band has narrow rows only, at most one a text, and is read as a stream
+    rows = prints.mapInArrow(_banding(least, rows_for(prints.count())), "key binary, band long")
     met = materialize(
-        rows.join(pivots.select("band", "pivot"), "band").where("key <> pivot").select("band", "key", "pivot").distinct()
+        rows.repartition("band")
+        .sortWithinPartitions("band", "key")
+        .mapInArrow(_meeting, "band long, key binary, pivot binary")
     )
     pairs = materialize(met.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()

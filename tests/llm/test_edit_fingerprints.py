@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyhouse.llm import edit_fingerprints as e
@@ -183,3 +184,41 @@ def test_no_link_between_short_texts_is_lost(spark):
         prints += [base, *(changed_print(rng, base, rng.choice([0.1, 0.2, 0.25])) for _ in range(3))]
     prints = list(dict.fromkeys(p for p in prints if p))
     assert linked(spark, prints) == all_linked(prints)
+
+
+def test_chance_meetings_do_not_grow_with_the_square(monkeypatch):
+    monkeypatch.setattr(e, "FEW", 400)
+    rng = random.Random(4)
+    per_text = []
+    for count in (2000, 10_000):
+        rows, met = e.rows_for(count), {}
+        for k in range(count):
+            print_ = "".join(rng.choices("abcde", k=3 * e.SAMPLES))
+            for band in e.bands(print_, rows=rows):
+                met.setdefault(band, []).append(k)
+        per_text.append(sum(len(texts) - 1 for texts in met.values()) / count)
+    # five times as many texts
+    assert per_text[1] < 2 * per_text[0]
+
+
+def test_longer_bands_miss_no_more():
+    assert (e.rows_for(0), e.rows_for(e.FEW), e.bands_for(e.ROWS)) == (e.ROWS, e.ROWS, e.BANDS)
+    missed = [(1 - e.LIKENESS**rows) ** e.bands_for(rows) for rows in range(e.ROWS, e.ROWS + 8)]
+    assert max(missed) <= missed[0] and e.rows_for(1 << 24) > e.rows_for(1 << 18) > e.ROWS
+
+
+def test_texts_of_a_band_over_several_batches():
+    rng = random.Random(6)
+    rows = sorted((rng.randint(0, 30), b"%04d" % rng.randint(0, 40)) for _ in range(300))
+    want = []
+    for band in sorted({b for b, _ in rows}):
+        keys = sorted({k for b, k in rows if b == band})
+        want += [(band, key, keys[0]) for key in keys[1:]]
+    for size in (1, 2, 7, 300):
+        parts = [rows[a : a + size] for a in range(0, len(rows), size)]
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), (pa.int64(), pa.binary()))], names=["band", "key"])
+            for part in parts
+        ]
+        found = [tuple(r.values()) for batch in e._meeting(iter(batches)) for r in batch.to_pylist()]
+        assert found == want
