@@ -39,8 +39,9 @@ END = 63
 AT_ONCE, BLOCK = 1 << 25, 4096
 #: Bands of a fingerprint at each of two scales, sampled characters in each, likeness that links two texts.
 BANDS, ROWS, LIKENESS = 12, 6, 0.8
-#: Texts up to which a band has ROWS characters; one more for each MORE times as many.
-FEW, MORE = 16_000, 5
+#: Texts up to which a band has ROWS characters, one more for each MORE times as many; likeness at a scale down to
+#: which longer bands find as much: texts as like as LIKENESS can be less so in the part that a scale covers.
+FEW, MORE, LEAST_ALIKE = 16_000, 6, 0.7
 #: Fingerprints up to this length are banded so that no two like ones miss each other; texts of a band compared at once.
 SHORT, CHUNK = 2 * SAMPLES, 1000
 #: Sampled documents that cut the order of documents into ranges; they only decide how even these are.
@@ -377,8 +378,8 @@ def rows_for(texts: int) -> int:
 
 
 def bands_for(rows: int) -> int:
-    """Bands at a scale with which texts as like as LIKENESS miss each other no more often than with BANDS of ROWS."""
-    return math.ceil(BANDS * math.log1p(-(LIKENESS**ROWS)) / math.log1p(-(LIKENESS**rows)) - 1e-9)
+    """Bands at a scale with which texts as like as LEAST_ALIKE miss each other no more often than with BANDS of ROWS."""
+    return math.ceil(BANDS * math.log1p(-(LEAST_ALIKE**ROWS)) / math.log1p(-(LEAST_ALIKE**rows)) - 1e-9)
 
 
 @cache

@@ -193,7 +193,7 @@ def test_chance_meetings_do_not_grow_with_the_square(monkeypatch):
     for count in (2000, 10_000):
         rows, met = e.rows_for(count), {}
         for k in range(count):
-            print_ = "".join(rng.choices("abcde", k=3 * e.SAMPLES))
+            print_ = "".join(rng.choices("abcdefg", k=3 * e.SAMPLES))
             for band in e.bands(print_, rows=rows):
                 met.setdefault(band, []).append(k)
         per_text.append(sum(len(texts) - 1 for texts in met.values()) / count)
@@ -203,8 +203,10 @@ def test_chance_meetings_do_not_grow_with_the_square(monkeypatch):
 
 def test_longer_bands_miss_no_more():
     assert (e.rows_for(0), e.rows_for(e.FEW), e.bands_for(e.ROWS)) == (e.ROWS, e.ROWS, e.BANDS)
-    missed = [(1 - e.LIKENESS**rows) ** e.bands_for(rows) for rows in range(e.ROWS, e.ROWS + 8)]
-    assert max(missed) <= missed[0] and e.rows_for(1 << 24) > e.rows_for(1 << 18) > e.ROWS
+    for alike in (e.LEAST_ALIKE, e.LIKENESS, 0.9):
+        missed = [(1 - alike**rows) ** e.bands_for(rows) for rows in range(e.ROWS, e.ROWS + 8)]
+        assert max(missed) <= missed[0]
+    assert e.rows_for(1 << 24) > e.rows_for(1 << 18) > e.ROWS
 
 
 def test_texts_of_a_band_over_several_batches():
