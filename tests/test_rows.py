@@ -7,7 +7,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.keys import assign_keys
-from tallyhouse.operators.rows import check_unique, keep_latest, next_in_group, number_in_group, pieces, require_unique
+from tallyhouse.operators.rows import (
+    check_unique,
+    join_side,
+    keep_latest,
+    next_in_group,
+    number_in_group,
+    pieces,
+    require_unique,
+)
 
 
 def hot_rows(count, seed, distinct_days=9):
@@ -127,3 +135,25 @@ def test_keys_are_dense_unique_and_repeatable(spark):
     assert sorted(first.values()) == list(range(11, 5011))
     assert first == again
     assert assign_keys(df.limit(0), "key", ["k"], 10).count() == 0
+
+
+def test_a_side_that_packs_well_is_broadcast_by_its_rows_only(spark, tmp_path):
+    """800,000 rows in files far below Spark's limit are shuffled; a few rows may be broadcast."""
+    spark.range(800_000).selectExpr("id", "'x' AS v").write.option("compression", "zstd").parquet(str(tmp_path / "many"))
+    spark.range(10).selectExpr("id", "'x' AS v").write.parquet(str(tmp_path / "few"))
+    many, few = spark.read.parquet(str(tmp_path / "many")), spark.read.parquet(str(tmp_path / "few"))
+    left = spark.range(1000)
+
+    def joins(right, how="left"):
+        return left.join(right, "id", how)._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in joins(many)  # what Spark does with it
+    assert "BroadcastHashJoin" not in joins(join_side(many)) and "SortMergeJoin" in joins(join_side(many))
+    assert "BroadcastHashJoin" not in joins(join_side(many.select("id")).where("id > 5"), "left_anti")
+    assert "BroadcastHashJoin" in joins(join_side(few)) and "BroadcastHashJoin" in joins(join_side(many, rows=10))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        assert "BroadcastHashJoin" in joins(join_side(many))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
