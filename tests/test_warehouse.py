@@ -1,9 +1,12 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tallyhouse import schemas
+from tallyhouse.operators import merge
 from tallyhouse.plans import gold, quality, reports
 from tallyhouse.plans.runlog import with_duration
 from tallyhouse.plans.warehouse import Warehouse
@@ -232,3 +235,58 @@ def test_repeated_products_of_an_order_are_lines_of_their_own(house):
     version = w.table("gold", "fact_sales").version()
     w.load_all(feeds(crm_sales_details=sales))
     assert w.table("gold", "fact_sales").version() == version
+
+
+def test_loads_broadcast_no_dimension_that_only_packs_well(spark, tmp_path, monkeypatch):
+    """Of tables with small files but many rows, none is built whole in the driver: neither in loads nor in reports."""
+    people = 4000
+    feeds = {
+        "crm_cust_info": [f"{i},AW{i},Ann,Lee,S,F,2020-01-01" for i in range(people)],
+        "crm_prd_info": [f"{i},AC-HE-P{i},Helmet,12,S ,2011-07-01," for i in range(people)],
+        "crm_sales_details": [f"SO{i},P{i},{i},20130101,20130105,20130110,28,2,14" for i in range(people)],
+        "erp_cust_az12": [f"AW{i},1980-05-05,Male" for i in range(people)],
+        "erp_loc_a101": [f"AW{i},DE" for i in range(people)],
+        "erp_px_cat_g1v2": ["AC_HE,Accessories,Helmets,Yes"],
+    }
+    paths = {}
+    for name, lines in feeds.items():
+        paths[name] = str(tmp_path / f"{name}.csv")
+        (tmp_path / f"{name}.csv").write_text("\n".join([",".join(schemas.BRONZE[name].names), *lines]) + "\n")
+    plans = {}
+
+    def watch(module, name):
+        real = getattr(module, name)
+
+        def watched(*args, **kwargs):
+            made = real(*args, **kwargs)
+            plans[name] = made._jdf.queryExecution().sparkPlan().toString()
+            return made
+
+        monkeypatch.setattr(module, name, watched)
+
+    for module, name in [(gold, "stage_customers"), (gold, "stage_sales"), (merge, "merge_delta")]:
+        watch(module, name)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    w = Warehouse(spark, str(tmp_path / "wh"), Clock())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        w.load_all(paths)
+        changed = [line.replace(",28,2,14", ",42,3,14") for line in feeds["crm_sales_details"]]
+        with open(paths["crm_sales_details"], "w") as feed:
+            feed.write("\n".join([",".join(schemas.BRONZE["crm_sales_details"].names), *changed]) + "\n")
+        w.load_bronze({"crm_sales_details": paths["crm_sales_details"]})
+        w.load_silver(["crm_sales_details"])
+        w.load_fact_sales()
+        w.register()
+        w.register_reports(dt.date(2020, 1, 1))
+        for name in ("report_customers", "report_products"):
+            plans[name] = spark.table(f"gold.{name}")._jdf.queryExecution().sparkPlan().toString()
+        plans["business keys"] = entry.with_business_keys(w)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    large = "_cid|_loc_cid|product_number|customer_id|order_number|customer_key|product_key"
+    built = re.compile(rf"BroadcastHashJoin \[[^]]*\], \[({large})#")
+    assert len(plans) == 6
+    assert {name: found for name, plan in plans.items() if (found := built.findall(plan))} == {}
+    assert {r.quantity for r in w.load("gold", "fact_sales").collect()} == {3}
+    assert w.load("gold", "fact_sales").count() == people
